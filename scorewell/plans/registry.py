@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "scorewell.plans.prep_queries",
+    "scorewell.plans.metric_queries",
 ]
 
 
