@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "scorewell.plans.prep_queries",
     "scorewell.plans.metric_queries",
+    "scorewell.plans.drift_queries",
 ]
 
 
