@@ -161,15 +161,15 @@ SELECT model, tp, fp, tn, fn, round(precision, 6) AS precision, round(recall, 6)
 FROM r""",
     "latency_summary_a": """
 SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS p50,
-       round(list_sort(list(value))[CAST(least(round_even(0.95 * (count(*) - 1), 0), count(*) - 1) AS BIGINT) + 1], 6) AS p95,
+       round(list_sort(list(value))[CAST(least(round_even(0.95::DOUBLE * (count(*) - 1), 0), count(*) - 1) AS BIGINT) + 1], 6) AS p95,
        round(min(value), 6) AS min, round(max(value), 6) AS max
 FROM events WHERE value IS NOT NULL GROUP BY event_type""",
     "latency_summary_b": """
 WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, * FROM events),
 v AS (SELECT day, list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS s FROM e GROUP BY day)
 SELECT day, count(*) AS request_total, CAST(count_if(event_type = 'error') AS BIGINT) AS request_errors,
-       round(s[least(len(s) - 1, CAST(floor(len(s) * 0.5) AS BIGINT)) + 1], 6) AS latency_p50,
-       round(s[least(len(s) - 1, CAST(floor(len(s) * 0.95) AS BIGINT)) + 1], 6) AS latency_p95
+       round(s[least(len(s) - 1, CAST(floor(len(s) * 0.5::DOUBLE) AS BIGINT)) + 1], 6) AS latency_p50,
+       round(s[least(len(s) - 1, CAST(floor(len(s) * 0.95::DOUBLE) AS BIGINT)) + 1], 6) AS latency_p95
 FROM e JOIN v USING (day) GROUP BY day, s""",
     "spearman": """
 WITH long AS (

@@ -8,6 +8,7 @@ _MODULES = [
     "scorewell.plans.prep_queries",
     "scorewell.plans.metric_queries",
     "scorewell.plans.drift_queries",
+    "scorewell.plans.monitor_queries",
 ]
 
 
