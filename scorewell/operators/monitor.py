@@ -105,20 +105,26 @@ def latency_histogram(df: DataFrame, time_col: str, latency: str, bounds: Sequen
                     F.array(*[F.col(f"b{i}") for i in range(len(bounds))]).alias("counts"))
 
 
-def histogram_quantile(q: float, counts: Column, bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> Column:
-    """Quantile from bucket counts, linear inside the bucket; the +Inf bucket returns its
-    lower bound; the first bucket starts at 0; no observations -> null."""
+def cumulative(counts: Column) -> Column:
+    """Running sums of an array of counts."""
+    k = F.size(counts)
+    return F.transform(F.sequence(F.lit(1), k),
+                       lambda i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("bigint"), lambda a, x: a + x))
+
+
+def histogram_quantile(q: float, counts: Column, cum: Column, bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> Column:
+    """Quantile from bucket counts (and their running sums ``cum``), linear inside the
+    bucket; the +Inf bucket returns its lower bound; the first bucket starts at 0; no
+    observations -> null."""
     k = len(bounds)
     b = F.array(*[F.lit(float(x)) for x in bounds])
-    cum = F.transform(F.sequence(F.lit(1), F.lit(k)),
-                      lambda i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("bigint"), lambda a, x: a + x))
     total = F.element_at(cum, k)
     rank = F.lit(float(q)) * total
-    first = F.element_at(F.filter(F.sequence(F.lit(1), F.lit(k)), lambda i: F.element_at(cum, i) >= rank), 1)
+    first = F.array_position(F.transform(cum, lambda c: c >= rank), F.lit(True)).cast("int")
     prev_cum = F.when(first > 1, F.element_at(cum, F.greatest(first - 1, F.lit(1)))).otherwise(F.lit(0))
     start = F.when(first > 1, F.element_at(b, F.greatest(first - 1, F.lit(1)))).otherwise(F.lit(0.0))
-    end = F.element_at(b, first)
-    n_in = F.element_at(counts, first)
+    end = F.element_at(b, F.greatest(first, F.lit(1)))
+    n_in = F.element_at(counts, F.greatest(first, F.lit(1)))
     val = start + (end - start) * F.try_divide(rank - prev_cum, n_in.cast("double"))
     return (F.when(total.isNull() | (total == 0), F.lit(None).cast("double"))
             .when(first == k, F.element_at(b, k - 1))
@@ -128,9 +134,9 @@ def histogram_quantile(q: float, counts: Column, bounds: Sequence[float] = LATEN
 
 def latency_quantiles(df: DataFrame, time_col: str, latency: str, qs=(0.5, 0.95, 0.99),
                       bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> DataFrame:
-    h = latency_histogram(df, time_col, latency, bounds)
-    return h.select("window_start", *[histogram_quantile(q, F.col("counts"), bounds).alias(f"p{int(q * 100)}")
-                                      for q in qs])
+    h = latency_histogram(df, time_col, latency, bounds).withColumn("_cum", cumulative(F.col("counts")))
+    return h.select("window_start", *[histogram_quantile(q, F.col("counts"), F.col("_cum"), bounds)
+                                      .alias(f"p{int(q * 100)}") for q in qs])
 
 
 def metric_samples(df: DataFrame, name: str, value: Column, labels: dict[str, Column],

@@ -9,6 +9,7 @@ _MODULES = [
     "scorewell.plans.metric_queries",
     "scorewell.plans.drift_queries",
     "scorewell.plans.monitor_queries",
+    "scorewell.plans.model_queries",
 ]
 
 
