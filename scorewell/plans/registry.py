@@ -10,6 +10,7 @@ _MODULES = [
     "scorewell.plans.drift_queries",
     "scorewell.plans.monitor_queries",
     "scorewell.plans.model_queries",
+    "scorewell.plans.scoring_queries",
 ]
 
 
