@@ -11,6 +11,7 @@ _MODULES = [
     "scorewell.plans.monitor_queries",
     "scorewell.plans.model_queries",
     "scorewell.plans.scoring_queries",
+    "scorewell.plans.stream_queries",
 ]
 
 
