@@ -44,6 +44,9 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
 
 def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.format("parquet").schema(schema)
+    if os.path.isfile(path):  # a single file: read it as a one-file glob of its folder
+        r = r.option("basePath", os.path.dirname(path))
+        path = os.path.join(os.path.dirname(path), "{" + os.path.basename(path) + "}")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
