@@ -55,6 +55,16 @@ def _valid_num():
     return F.col("num").isNotNull() & ~F.isnan("num")
 
 
+def value_counts(long: DataFrame) -> DataFrame:
+    """``(feature, side, num, cat, n)``: the long form reduced once (partial aggregation).
+
+    Every statistic below reads this table, so the wide input is scanned once
+    per drift check however many statistics are computed."""
+    if "n" in long.columns:
+        return long
+    return long.groupBy("feature", "side", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _lerp(a: float, b: float, t: float) -> float:
     # numpy's linear interpolation (rounds from the nearer end)
     d = b - a
@@ -67,7 +77,7 @@ def quantile_edges(long: DataFrame, n_bins: int = PSI_BINS) -> dict:
     Positions come from distributed running counts; only ``2 (n_bins + 1)``
     values per feature reach the driver.
     """
-    vc = long.where(_valid_num()).groupBy("feature", "num").agg(F.count(F.lit(1)).alias("_n"))
+    vc = value_counts(long).where(_valid_num()).groupBy("feature", "num").agg(F.sum("n").alias("_n")).persist()
     tot = _totals(vc, ["feature"], ["_n"])
     targets, frac = {}, {}
     for f, t in tot.items():
@@ -81,6 +91,7 @@ def quantile_edges(long: DataFrame, n_bins: int = PSI_BINS) -> dict:
             lst += [(f"{i}:lo", lo), (f"{i}:hi", hi)]
         targets[f] = lst
     picks = pick_by_rank(vc, ["feature"], "num", "_n", targets).collect()
+    vc.unpersist()  # shared by the split, total, offset and pick jobs above
     got: dict = {}
     for r in picks:
         got[(r["feature"], r["name"])] = r["num"]
@@ -108,9 +119,9 @@ def _edges_lookup(edges: Mapping[str, Sequence[float]]) -> Column:
 def histogram(long: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """A10: ``(feature, side, bin, n)``; bin = number of inner edges <= value."""
     inner = _edges_lookup(edges)
-    return (long.where(_valid_num() & F.col("feature").isin(list(edges)))
+    return (value_counts(long).where(_valid_num() & F.col("feature").isin(list(edges)))
             .withColumn("bin", F.size(F.filter(inner, lambda e: e <= F.col("num"))))
-            .groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("feature", "side", "bin").agg(F.sum("n").alias("n")))
 
 
 def _psi_terms(counts: DataFrame, cell: str) -> DataFrame:
@@ -139,6 +150,7 @@ def psi(long: DataFrame, feature_types: Mapping[str, str], n_bins: int = PSI_BIN
     num = [f for f, t in feature_types.items() if t == "numeric"]
     cat = [f for f, t in feature_types.items() if t == "categorical"]
     parts = []
+    long = value_counts(long)
     if num:
         if edges is None:
             edges = quantile_edges(long.where((F.col("side") == BASE) & F.col("feature").isin(num)), n_bins)
@@ -152,8 +164,8 @@ def psi(long: DataFrame, feature_types: Mapping[str, str], n_bins: int = PSI_BIN
             parts.append(spark.createDataFrame([(f, "numeric", 0.0) for f in const],
                                                "feature string, feature_type string, psi double"))
     if cat:
-        c = (long.where(F.col("feature").isin(cat) & F.col("cat").isNotNull())
-             .groupBy("feature", "side", "cat").agg(F.count(F.lit(1)).alias("n")))
+        c = (value_counts(long).where(F.col("feature").isin(cat) & F.col("cat").isNotNull())
+             .groupBy("feature", "side", "cat").agg(F.sum("n").alias("n")))
         parts.append(_psi_terms(c, "cat").select("feature", F.lit("categorical").alias("feature_type"), "psi"))
     out = parts[0]
     for p in parts[1:]:
@@ -172,14 +184,15 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
 
 def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """``(feature, ks_statistic, p_value, n_baseline, n_current)`` from running counts."""
-    vc = (long.where(F.col("feature").isin(list(numeric)) & _valid_num())
+    vc = (value_counts(long).where(F.col("feature").isin(list(numeric)) & _valid_num())
           .groupBy("feature", "num")
-          .agg(F.sum((F.col("side") == BASE).cast("bigint")).alias("b"),
-               F.sum((F.col("side") == CUR).cast("bigint")).alias("c")))
+          .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
+               F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c"))).persist()
     tot = _totals(vc, ["feature"], ["b", "c"])
+    schema = "feature string, ks_statistic double, p_value double, n_baseline bigint, n_current bigint"
     if not tot:
-        return long.sparkSession.createDataFrame(
-            [], "feature string, ks_statistic double, p_value double, n_baseline bigint, n_current bigint")
+        vc.unpersist()
+        return long.sparkSession.createDataFrame([], schema)
     nb = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(int(t["b"])))]), F.col("feature"))
     nc = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(int(t["c"])))]), F.col("feature"))
     rt = running_totals(vc, ["feature"], ["num"], ["b", "c"])
@@ -187,18 +200,20 @@ def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
     g = rt.groupBy("feature").agg(F.max(diff).alias("ks_statistic"),
                                   F.first(nb).cast("bigint").alias("n_baseline"),
                                   F.first(nc).cast("bigint").alias("n_current"))
-    return g.select("feature", "ks_statistic",
+    rows = g.select("feature", "ks_statistic",
                     ks_pvalue(F.col("ks_statistic"), F.col("n_baseline").cast("double"),
                               F.col("n_current").cast("double")).alias("p_value"),
-                    "n_baseline", "n_current")
+                    "n_baseline", "n_current").collect()  # one row per feature
+    vc.unpersist()  # shared by the split, total, offset and final jobs above
+    return long.sparkSession.createDataFrame(rows, schema)
 
 
 def chi2_statistic(long: DataFrame, categorical: Sequence[str]) -> DataFrame:
     """A13 statistic: ``(feature, chi2_statistic, dof, n_categories)``; Yates when k = 2."""
-    c = (long.where(F.col("feature").isin(list(categorical)) & F.col("cat").isNotNull())
+    c = (value_counts(long).where(F.col("feature").isin(list(categorical)) & F.col("cat").isNotNull())
          .groupBy("feature", "cat")
-         .agg(F.sum((F.col("side") == BASE).cast("bigint")).alias("b"),
-              F.sum((F.col("side") == CUR).cast("bigint")).alias("c")))
+         .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
+              F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c")))
     tot = _totals(c, ["feature"], ["b", "c"])
     if not tot:
         return long.sparkSession.createDataFrame(
@@ -295,7 +310,7 @@ def drift_check(baseline: DataFrame, current: DataFrame, feature_types: Mapping[
     """
     num = [f for f, t in feature_types.items() if t == "numeric"]
     cat = [f for f, t in feature_types.items() if t == "categorical"]
-    long = to_long(baseline, num, cat, BASE).unionByName(to_long(current, num, cat, CUR))
+    long = value_counts(to_long(baseline, num, cat, BASE).unionByName(to_long(current, num, cat, CUR))).persist()
     p = psi(long, feature_types, n_bins)
     tests = []
     if num:
@@ -305,19 +320,22 @@ def drift_check(baseline: DataFrame, current: DataFrame, feature_types: Mapping[
     if cat:
         c = chi2(long, cat)
         sizes = (long.where(F.col("feature").isin(cat) & F.col("cat").isNotNull())
-                 .groupBy("feature").agg(F.sum((F.col("side") == BASE).cast("bigint")).alias("n_baseline"),
-                                         F.sum((F.col("side") == CUR).cast("bigint")).alias("n_current")))
+                 .groupBy("feature").agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("n_baseline"),
+                                         F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("n_current")))
         tests.append(c.join(sizes, "feature").select(
             "feature", F.lit("chi2").alias("statistical_test"), F.col("chi2_statistic").alias("statistic"),
             "p_value", "n_baseline", "n_current"))
     t = tests[0]
     for x in tests[1:]:
         t = t.unionByName(x)
-    out = p.join(t, "feature", "left")
-    return out.select("feature", "feature_type", "psi", "statistical_test", "statistic", "p_value",
-                      verdict(F.col("psi"), F.col("p_value")).alias("verdict"),
-                      F.col("n_baseline").cast("bigint").alias("sample_size_baseline"),
-                      F.col("n_current").cast("bigint").alias("sample_size_current"))
+    out = p.join(t, "feature", "left").select(
+        "feature", "feature_type", "psi", "statistical_test", "statistic", "p_value",
+        verdict(F.col("psi"), F.col("p_value")).alias("verdict"),
+        F.col("n_baseline").cast("bigint").alias("sample_size_baseline"),
+        F.col("n_current").cast("bigint").alias("sample_size_current"))
+    rows = out.collect()  # one row per feature
+    long.unpersist()
+    return long.sparkSession.createDataFrame(rows, out.schema)
 
 
 def override_values(current_long: DataFrame, overrides: DataFrame) -> DataFrame:

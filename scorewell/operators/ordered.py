@@ -39,9 +39,10 @@ def pinned_splits(df: DataFrame, keys: Sequence[str], value: str | Column, n_buc
                   accuracy: int = 10_000) -> tuple[dict | None, list]:
     """Split points per key (``{key: [splits]}``) or global splits (``(None, [splits])``).
 
-    One aggregate; only ``#keys x n_buckets`` numbers reach the driver.  The
-    number of buckets per key adapts to its size (``ceil(n / rows_per_bucket)``,
-    at most ``n_buckets``).
+    First one count per key (at most ``max_keys + 1`` rows reach the driver); only
+    keys larger than ``rows_per_bucket`` get ``approx_percentile`` split points
+    (``ceil(n / rows_per_bucket)`` buckets, at most ``n_buckets``).  With more
+    keys than ``max_keys`` one global set of splits is used.
     """
     v = F.col(value) if isinstance(value, str) else value
     conf = df.sparkSession.conf.get("scorewell.rowsPerBucket", None)
@@ -51,18 +52,20 @@ def pinned_splits(df: DataFrame, keys: Sequence[str], value: str | Column, n_buc
     if n_buckets <= 1:
         return ({}, []) if keys else (None, [])
     if keys:
-        nk = df.select(*keys).agg(F.approx_count_distinct(_key_struct(keys)).alias("k")).first()["k"]
-        if nk <= max_keys:
-            rows = (df.groupBy(_key_struct(keys).alias("_k"))
-                    .agg(F.count(F.lit(1)).alias("n"),
-                         F.approx_percentile(v.cast("double"), pct, accuracy).alias("s"))
-                    .collect())
-            out = {}
-            for r in rows:
-                out[r["_k"]] = _thin(r["s"], r["n"], n_buckets, rows_per_bucket)
-            return out, []
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(v.cast("double"), pct, accuracy).alias("s")).first()
-    return None, _thin(r["s"], r["n"], n_buckets, rows_per_bucket)
+        k = _key_struct(keys)
+        counts = df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("n")).limit(max_keys + 1).collect()
+        if len(counts) <= max_keys:
+            big = {r["_k"]: r["n"] for r in counts if r["n"] > rows_per_bucket}
+            if not big:
+                return {}, []
+            rows = (df.where(k.isin(list(big))).groupBy(k.alias("_k"))
+                    .agg(F.approx_percentile(v.cast("double"), pct, accuracy).alias("s")).collect())
+            return {r["_k"]: _thin(r["s"], big[r["_k"]], n_buckets, rows_per_bucket) for r in rows}, []
+    n = df.count()
+    if n <= rows_per_bucket:
+        return None, []
+    r = df.agg(F.approx_percentile(v.cast("double"), pct, accuracy).alias("s")).first()
+    return None, _thin(r["s"], n, n_buckets, rows_per_bucket)
 
 
 def _thin(splits, n, n_buckets, rows_per_bucket) -> list:
