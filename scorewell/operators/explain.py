@@ -142,21 +142,35 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
                            score_fn, repeats: int = 5, seed: int = 42) -> DataFrame:
     """PR-AUC drop when one feature is shuffled; mean and population std over repeats.
 
-    All (feature, repeat) variants are scored in one job keyed by (feature, repeat).
+    Every (feature, repeat) variant is built in ONE keyed job: each row is expanded
+    to the variants, row positions and value positions come from two seeded hash
+    orders per variant (``running_totals`` keyed by variant), the shuffled value is
+    joined on (variant, position), and average precision is grouped by variant.
     """
-    from scorewell.operators.sampling import shuffle_column
+    from scorewell.operators.ordered import running_totals
+    variants = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
+                         for f in features for r in range(repeats)])
+    x = df.select("*", F.explode(variants).alias("_v")).select("*", F.col("_v.feature").alias("_feature"),
+                                                               F.col("_v.repeat").alias("_repeat")).drop("_v")
+    vkeys = ["_feature", "_repeat"]
+    rows = x.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), "_repeat", "_feature")).withColumn("_one", F.lit(1))
+    rows = running_totals(rows, vkeys, ["_h", key], ["_one"]).withColumn("_pos", F.col("cum__one")) \
+        .drop("_h", "_one", "cum__one")
+    own = F.lit(None).cast("double")
+    for f in features:
+        own = F.when(F.col("_feature") == f, F.col(f"`{f}`").cast("double")).otherwise(own)
+    vals = x.select(*vkeys, key, own.alias("_value"),
+                    F.xxhash64(F.col(key), F.lit(seed + 1), "_repeat", "_feature").alias("_h"), F.lit(1).alias("_one"))
+    vals = running_totals(vals, vkeys, ["_h", key], ["_one"]).select(*vkeys, F.col("cum__one").alias("_pos"), "_value")
+    shuffled = rows.join(vals, [*vkeys, "_pos"])
+    for f in features:
+        shuffled = shuffled.withColumn(f, F.when(F.col("_feature") == f, F.col("_value")).otherwise(F.col(f"`{f}`")))
+    scored = score_fn(shuffled).select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"),
+                                       label, "score")
+    ap = average_precision(scored, ["feature", "repeat"], label=label)
     base = average_precision(score_fn(df).select(F.lit("_").alias("feature"), F.lit(0).alias("repeat"),
                                                  label, "score"), ["feature", "repeat"], label=label)
-    parts = []
-    for f in features:
-        for r in range(repeats):
-            s = shuffle_column(df, f, key, seed + 1000 * r)
-            parts.append(score_fn(s).select(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), label, "score"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    ap = average_precision(u, ["feature", "repeat"], label=label)
     base_ap = base.first()["average_precision"]  # one number
-    return (ap.withColumn("_base", F.lit(base_ap)).withColumn("drop", F.col("_base") - F.col("average_precision"))
+    return (ap.withColumn("drop", F.lit(base_ap) - F.col("average_precision"))
             .groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
                                     F.stddev_pop("drop").alias("importance_std")))
