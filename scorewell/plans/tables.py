@@ -12,6 +12,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # the driver tables hold UTC wall-clock times; casts to timestamp must not shift them
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

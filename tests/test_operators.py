@@ -332,3 +332,24 @@ def test_versioned_scorer_reload():
     assert s.current() == ("1", "model-1")
     state["fail"] = False
     assert s.current() == ("2", "model-2") and loads == ["1", "2"]
+
+
+# ------------------------------------------------------------------ sources
+def test_sources_roundtrip(spark):
+    from scorewell.sources import io as IO
+    d = tempfile.mkdtemp(prefix="src-")
+    df = spark.createDataFrame([(i, f"g{i % 2}", float(i), int(i % 3 == 0)) for i in range(10)],
+                               "id long, generation_id string, x double, y int")
+    df.write.mode("overwrite").parquet(f"{d}/t")
+    assert [r["id"] for r in IO.projected_scan(spark, f"{d}/t", "id", ["x"], limit=3).collect()] == [0, 1, 2]
+    assert IO.batch_key_scan(spark, f"{d}/t", "generation_id", "g1").count() == 5
+    with pytest.raises(ValueError):
+        IO.batch_key_scan(spark, f"{d}/t", "generation_id", None)
+    ids = spark.createDataFrame([(1,), (1,), (4,)], "id long")
+    assert IO.membership_scan(spark.read.parquet(f"{d}/t"), ids, "id").count() == 2
+    df.write.mode("overwrite").option("header", True).csv(f"{d}/c")
+    assert IO.csv_scan(spark, f"{d}/c", "id long, generation_id string, x double, y int").count() == 10
+    meta = IO.write_splits(df.withColumn("split", F.lit("train")), f"{d}/s", ["x"], "y", 42).first()
+    assert meta["imbalance_ratio"] == pytest.approx(6 / 4)
+    IO.write_summary(spark.createDataFrame([meta]), f"{d}/j")
+    assert spark.read.json(f"{d}/j").count() == 1
