@@ -361,3 +361,21 @@ def baseline_long(df: DataFrame, columns: Sequence[str], computed_at: Column | N
     return (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
             .unpivot([], [F.col(f"`{c}`") for c in columns], "feature_name", "value")
             .withColumn("computed_at", at))
+
+
+def read_baseline(spark, path: str) -> DataFrame:
+    """The stored long baseline ``(feature_name, value, computed_at)``; error if empty.
+
+    Stays a long DataFrame (``feature``, ``side``, ``num``, ``cat``); never collected.
+    """
+    b = spark.read.parquet(path)
+    if b.limit(1).count() == 0:
+        raise ValueError(f"drift baseline is empty: {path}")
+    return b.select(F.col("feature_name").alias("feature"), F.lit(BASE).alias("side"),
+                    F.col("value").cast("double").alias("num"), F.lit(None).cast("string").alias("cat"))
+
+
+def append_results(results: DataFrame, path: str, computed_at: Column | None = None) -> None:
+    """One row per feature per run, appended."""
+    at = computed_at if computed_at is not None else F.current_timestamp()
+    results.withColumn("computed_at", at).write.mode("append").parquet(path)

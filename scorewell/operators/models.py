@@ -267,3 +267,37 @@ def sanity_check(scored: DataFrame, expected_rows: int, required: Sequence[str]
     if r["n"] != expected_rows:
         fails.append(f"rows={r['n']} expected {expected_rows}")
     return {"ok": not fails, "failures": fails}
+
+
+def normalise_identity(df: DataFrame, source_table: str, id_col: str = "customer_id",
+                       key_col: str = "customer_key", synthetic_source: str = "telco_customers_synthetic") -> DataFrame:
+    """Both identity columns exist and exactly one is filled (checked by ``one_of_filled``)."""
+    if source_table == synthetic_source:
+        out = df.withColumn(id_col, F.lit(None).cast("bigint")).withColumn(key_col, F.col(key_col).cast("string"))
+    else:
+        out = df.withColumn(key_col, F.lit(None).cast("string")).withColumn(id_col, F.col(id_col).cast("bigint"))
+    return out
+
+
+def per_version(pred: DataFrame, version: str = "model_version", prob: str = "probability") -> DataFrame:
+    """Count and mean probability per model version."""
+    return pred.groupBy(version).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_probability"))
+
+
+def cv_pr_auc(df: DataFrame, features: Sequence[str], estimator, label: str = "y", fold: str = "fold",
+              resample=None) -> float:
+    """M4: mean PR-AUC over the folds of ``df`` (``fold`` from ``sampling.kfold``).
+
+    ``resample`` (e.g. class weights) is applied to the training part of each fold only.
+    """
+    folds = [r[fold] for r in df.select(fold).distinct().collect()]  # k numbers
+    scores = []
+    for k in sorted(folds):
+        train = df.where(F.col(fold) != k)
+        if resample is not None:
+            train = resample(train)
+        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
+                                                 handleInvalid="keep"), estimator]).fit(train)
+        s = probability(model.transform(df.where(F.col(fold) == k))).select(F.lit("m").alias("model"), label, "score")
+        scores.append(M.average_precision(s, ["model"], label=label).first()["average_precision"])
+    return sum(scores) / len(scores)

@@ -143,3 +143,25 @@ def missing_report(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -
 def one_of_filled(a: str, b: str) -> Column:
     """XOR identity rule: exactly one of two id columns is filled."""
     return F.col(a).isNotNull() != F.col(b).isNotNull()
+
+
+def preparation_checks(before: DataFrame, after: DataFrame, dropped: Sequence[str], added: Sequence[str],
+                       tenure_dummies: Sequence[str], contract_dummies: Sequence[str], kept: str,
+                       scaled: str, residual: str) -> dict:
+    """V5: the seven checks on a prepared frame (schema checks + one aggregate).
+
+    Dropped columns gone, new columns present, the tenure and contract dummies
+    present, ``kept`` still there, |mean of the scaled column| < 0.01 and fewer
+    than 50 % zero residuals.
+    """
+    cols = set(after.columns)
+    out = {"dropped_gone": all(c not in cols for c in dropped),
+           "added_present": all(c in cols for c in added),
+           "tenure_dummies": all(c in cols for c in tenure_dummies),
+           "contract_dummies": all(c in cols for c in contract_dummies),
+           "kept_present": kept in cols}
+    r = after.agg(F.avg(F.col(f"`{scaled}`")).alias("m"),
+                  F.avg((F.col(f"`{residual}`") == 0).cast("double")).alias("z")).first()
+    out["scaled_mean_near_zero"] = r["m"] is not None and abs(r["m"]) < 0.01
+    out["residual_mostly_nonzero"] = r["z"] is not None and r["z"] < 0.5
+    return out

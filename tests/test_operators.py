@@ -353,3 +353,22 @@ def test_sources_roundtrip(spark):
     assert meta["imbalance_ratio"] == pytest.approx(6 / 4)
     IO.write_summary(spark.createDataFrame([meta]), f"{d}/j")
     assert spark.read.json(f"{d}/j").count() == 1
+
+
+def test_small_operators(spark):
+    from scorewell.operators import sampling as S
+    d = tempfile.mkdtemp(prefix="misc-")
+    df = spark.createDataFrame([(i, i % 4 == 0, float(i)) for i in range(40)], "id long, pos boolean, x double") \
+        .withColumn("y", F.col("pos").cast("int"))
+    rep = {r["split"]: r for r in S.split_report(S.stratified_split(df, "y", "id"), "split", "y").collect()}
+    assert sum(r["n"] for r in rep.values()) == 40 and rep["train"]["positives"] == 7
+    long = D.baseline_long(df, ["x"])
+    long.write.parquet(f"{d}/b")
+    assert D.read_baseline(spark, f"{d}/b").count() == 40
+    with pytest.raises(ValueError):
+        long.limit(0).write.parquet(f"{d}/e")
+        D.read_baseline(spark, f"{d}/e")
+    n = MD.normalise_identity(spark.createDataFrame([("k1",)], "customer_key string"), "telco_customers_synthetic")
+    assert n.select(V.one_of_filled("customer_id", "customer_key").alias("ok")).first()["ok"]
+    assert MD.per_version(spark.createDataFrame([("v1", 0.2), ("v1", 0.4)], "model_version string, probability double")) \
+        .first()["mean_probability"] == pytest.approx(0.3)
