@@ -269,10 +269,12 @@ def sanity_check(scored: DataFrame, expected_rows: int, required: Sequence[str]
     return {"ok": not fails, "failures": fails}
 
 
-def normalise_identity(df: DataFrame, source_table: str, id_col: str = "customer_id",
-                       key_col: str = "customer_key", synthetic_source: str = "telco_customers_synthetic") -> DataFrame:
-    """Both identity columns exist and exactly one is filled (checked by ``one_of_filled``)."""
-    if source_table == synthetic_source:
+def normalise_identity(df: DataFrame, uses_key: bool, id_col: str = "customer_id",
+                       key_col: str = "customer_key") -> DataFrame:
+    """Both identity columns exist and exactly one is filled (checked by ``one_of_filled``).
+
+    ``uses_key``: the source identifies rows by the string key (else by the numeric id)."""
+    if uses_key:
         out = df.withColumn(id_col, F.lit(None).cast("bigint")).withColumn(key_col, F.col(key_col).cast("string"))
     else:
         out = df.withColumn(key_col, F.lit(None).cast("string")).withColumn(id_col, F.col(id_col).cast("bigint"))

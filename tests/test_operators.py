@@ -368,7 +368,7 @@ def test_small_operators(spark):
     with pytest.raises(ValueError):
         long.limit(0).write.parquet(f"{d}/e")
         D.read_baseline(spark, f"{d}/e")
-    n = MD.normalise_identity(spark.createDataFrame([("k1",)], "customer_key string"), "telco_customers_synthetic")
+    n = MD.normalise_identity(spark.createDataFrame([("k1",)], "customer_key string"), uses_key=True)
     assert n.select(V.one_of_filled("customer_id", "customer_key").alias("ok")).first()["ok"]
     assert MD.per_version(spark.createDataFrame([("v1", 0.2), ("v1", 0.4)], "model_version string, probability double")) \
         .first()["mean_probability"] == pytest.approx(0.3)
