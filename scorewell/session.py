@@ -40,18 +40,24 @@ def get_session(master: str | None = None, app: str = "scorewell",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a folder of
-    our own created and registered.
+    Read from the session's configuration, so every call and every run of the
+    application gives the same folder.  Only where it is unset, and the master
+    is local (tests, bench), is a folder of our own made and registered once; a
+    cluster without the setting is an error, since executors could not see it.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    d = spark.conf.get("scorewell.localSharedDir", None)
     if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="scorewell-ckpt-")
-    sc.setCheckpointDir(d)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="scorewell-shared-")
+        spark.conf.set("scorewell.localSharedDir", d)
+        sc.setCheckpointDir(d)
     return d
 
 
