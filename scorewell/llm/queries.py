@@ -8,10 +8,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewell.llm import license_diagonal, quality_sketch
+from scorewell.llm import bpe_tree, license_diagonal, packing, quality_sketch
 from scorewell.llm.common import read
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer file (installed alike on driver and executors)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    return bpe_tree.encode_documents(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), with_ids=False)
+
+
 def op8_quality_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adaptive quality rules over all documents."""
     out = quality_sketch.quality_filter(read(spark, sf_dir, "documents"))
@@ -25,6 +41,8 @@ def op9_license_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_bpe_tree": op5_bpe_tree,
     "op8_quality_sketch": op8_quality_sketch,
     "op9_license_diagonal": op9_license_diagonal,
 }
