@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewell.llm import bpe_tree, license_diagonal, packing, quality_sketch
+from scorewell.llm import bpe_tree, edit_counts, license_diagonal, packing, quality_sketch, toxicity, warc_derivative
 from scorewell.llm.common import read
 
 
@@ -18,6 +18,51 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; rows whose id hash leaves 2 are held out of training."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=~toxicity.held_out(F.col("doc_id")))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def _with_edits(docs: DataFrame) -> DataFrame:
+    """Stand-in input: three edits per document (replace, insert, append)."""
+    n = F.char_length(F.coalesce("text", F.lit("")))
+    edit = lambda start, size, new: F.struct(
+        start.cast("bigint").alias("start"), F.lit(size).cast("bigint").alias("n_delete"), new.alias("insert"))
+    return docs.select("doc_id", "text", F.array(
+        edit(F.floor(n / 3), 9, F.concat(F.lit(" "), F.coalesce("lang", F.lit("")), F.lit(" edited "))),
+        edit(F.floor(2 * n / 3), 0, F.substring("text", 1, 40)),
+        edit(n, 4, F.concat(F.lit("\n"), F.coalesce("source", F.lit(""))))).alias("edits"))
+
+
+def op2_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after three edits each."""
+    path = _tokenizer("byte_bpe_50k.json")
+    trees = edit_counts.build_trees(_with_edits(read(spark, sf_dir, "documents")), path, edits="edits")
+    return edit_counts.apply_edits(trees, path)
+
+
+def _responses(pages: DataFrame) -> DataFrame:
+    """Stand-in input: pages as WARC response records."""
+    h = F.md5(F.concat_ws("|", F.col("page_id").cast("string"), F.col("url")))
+    part = lambda a, n: F.substring(h, a, n)
+    body = F.coalesce("html", F.lit(""))
+    return pages.select(
+        "page_id", F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12)), F.lit(">")).alias("record_id"),
+        F.col("url").alias("target_uri"),
+        F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") % 10_000_000), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("warc_date"),
+        F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
+                 F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body).alias("http"))
+
+
+def op10_warc_derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages."""
+    return warc_derivative.derivatives(_responses(read(spark, sf_dir, "pages")), keep=["page_id"])
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack_documents(read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
@@ -41,10 +86,13 @@ def op9_license_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity_mil": op1_toxicity_mil,
+    "op2_edit_token_counts": op2_edit_token_counts,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_tree": op5_bpe_tree,
     "op8_quality_sketch": op8_quality_sketch,
     "op9_license_diagonal": op9_license_diagonal,
+    "op10_warc_derivative": op10_warc_derivative,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables
