@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewell.llm import bpe_tree, edit_counts, edit_embedding, license_diagonal, packing, quality_sketch, toxicity, warc_derivative
+from scorewell.llm import (bpe_tree, edit_counts, edit_embedding, license_diagonal, minhash_bayes, packing, quality_sketch,
+                            toxicity, warc_derivative)
 from scorewell.llm.common import read
 
 
@@ -73,6 +74,11 @@ def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_documents(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
+def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on 2-word shingles."""
+    return minhash_bayes.near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80).drop("th")
+
+
 def op7_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return edit_embedding.edited_fingerprints(read(spark, sf_dir, "documents"))
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_edit_token_counts": op2_edit_token_counts,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_tree": op5_bpe_tree,
+    "op6_minhash_bayes": op6_minhash_bayes,
     "op7_edit_embedding": op7_edit_embedding,
     "op8_quality_sketch": op8_quality_sketch,
     "op9_license_diagonal": op9_license_diagonal,
