@@ -11,9 +11,9 @@
    the chosen miss probability.  Survivors are verified on the full sets.
 4. Verified links give components.  Where a bucket still holds classes of more
    than one component, the classes outside its largest one are compared with
-   all others in it, in blocks of bounded size spread over tasks; only pairs
-   that survive the same pruning leave a task, and they are verified too.  So no
-   link between buckets' members is lost to the stars, and a group of copies is
+   all others of that component and with each other, in blocks of bounded size
+   spread over tasks, with the same pruning and verification.  So no link
+   between a bucket's members is lost to the stars, and a group of copies is
    never expanded into its pairs.
 
 The banding misses a pair at the threshold with probability (1 - t**ROWS)**BANDS,
@@ -202,35 +202,88 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     return j.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
 
 
-def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Surviving pairs of different components within a bucket, by blocks."""
+def common_counts(ga: np.ndarray, oa: np.ndarray, gb: np.ndarray, ob: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Intersection size of every left set with every right set.
+
+    Only shingles on both sides count; they become the columns of two 0/1
+    matrices, multiplied a slice of columns at a time (sums stay exact)."""
+    out = np.zeros((len(oa) - 1, len(ob) - 1))
+    shared = np.intersect1d(ga, gb)
+    if not len(shared):
+        return out
+
+    def entries(g: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(shared, g), len(shared) - 1)
+        hit = shared[at] == g
+        row, col = np.repeat(np.arange(len(off) - 1), np.diff(off))[hit], at[hit]
+        order = np.argsort(col, kind="stable")
+        return row[order], col[order]
+
+    (ra, ca), (rb, cb) = entries(ga, oa), entries(gb, ob)
+    for lo in range(0, len(shared), columns):
+        m = []
+        for r, c, rows in ((ra, ca, len(oa) - 1), (rb, cb, len(ob) - 1)):
+            x, y = np.searchsorted(c, (lo, lo + columns))
+            d = np.zeros((rows, columns), np.float32)
+            d[r[x:y], c[x:y] - lo] = 1
+            m.append(d)
+        out += m[0] @ m[1].T
+    return out
+
+
+def _rest_links(shared: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components that meet in a bucket and that no star found.
+
+    A bucket is named after its largest component.  The classes outside it
+    (left) are compared with all its members and with each other (right), once
+    per named component rather than once per bucket, in blocks of about BLOCK
+    classes; signatures prune as before, survivors are verified on full sets,
+    and one link per class and component leaves the task."""
+    t = percent / 100
     r = shared.where("size > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
-        .select("bucket", "cid", "size", F.coalesce("root", "cid").alias("root"))
-    per = r.groupBy("bucket", "root").agg(F.count("*").alias("k"))
-    main = per.groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    rows = r.join(main.drop("roots"), "bucket").join(classes.select("cid", "n", "sig"), "cid")
-    salt = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / BLOCK)).alias("salt")
-    item = F.collect_list(F.struct("cid", "root", "n", "sig")).alias("items")  # about BLOCK classes
-    left = rows.where("root <> main").groupBy("bucket", salt).agg(item)
-    right = rows.groupBy("bucket", salt).agg(item).withColumnsRenamed({"salt": "salt_b", "items": "items_b"})
-    blocks = left.join(right, "bucket").select("items", "items_b")
-    least = prune_table(threshold)
+        .select("bucket", "cid", F.coalesce("root", "cid").alias("root"))
+    main = r.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket") \
+        .agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("n_roots")).where("n_roots > 1").drop("n_roots")
+    left = staged(r.join(main, "bucket").where("root <> main").select("main", "cid", "root").distinct(), "outside")
+    if left.isEmpty():
+        return left.select(F.col("cid").alias("a"), F.col("root").alias("b"))
+    named = left.select("main").distinct()
+    members = roots.join(named, F.col("root") == F.col("main")).select("main", F.col("node").alias("cid"), "root") \
+        .unionByName(named.select("main", F.col("main").alias("cid"), F.col("main").alias("root")))
+    right = left.unionByName(members).distinct()
+    size = left.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("n_left")) \
+        .join(right.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("n_right")), "main")
+    body = classes.select("cid", "n", "sig").join(texts, "cid")
+
+    def blocks(rows: DataFrame, count: str, salt: str, items: str) -> DataFrame:
+        s = F.pmod(F.xxhash64("cid"), F.col(count)).alias(salt)
+        return rows.join(size, "main").join(body, "cid") \
+            .groupBy("main", "n_left", "n_right", s).agg(F.collect_list(F.struct("cid", "root", "n", "sig", "text")).alias(items))
+
+    pairs = blocks(left, "n_left", "salt_a", "items").drop("n_left") \
+        .withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_right") - 1))).drop("n_right") \
+        .join(blocks(right, "n_right", "salt_b", "items_b").drop("n_left", "n_right"), ["main", "salt_b"]).select("items", "items_b")
+    least = prune_table(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             for i in range(x.num_rows):
                 p, q = (x.column(k).slice(i, 1).flatten() for k in (0, 1))
-                f = [[s.field(c).to_numpy() for c in ("cid", "root", "n")] + [_sigs(s.field("sig"))] for s in (p, q)]
-                (ca, ra, na, sa), (cb, rb, nb, sb) = f
-                small, large = np.minimum(na[:, None], nb[None, :]), np.maximum(na[:, None], nb[None, :])
-                u, v = np.nonzero((ra[:, None] != rb[None, :]) & (small >= threshold * large))
-                for at in range(0, len(u), 1 << 15):
-                    uu, vv = u[at:at + (1 << 15)], v[at:at + (1 << 15)]
-                    keep = survivors(sa[uu], sb[vv], least)
-                    a, b = ca[uu[keep]], cb[vv[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    return blocks.mapInArrow(run, "a bigint, b bigint").distinct()
+                (ca, ra, na, sa), (cb, rb, nb, sb) = [
+                    [s.field(c).to_numpy() for c in ("cid", "root", "n")] + [_sigs(s.field("sig"))] for s in (p, q)]
+                u, v = np.nonzero((ra[:, None] != rb[None, :]) & (np.minimum(na[:, None], nb[None, :]) >= t * np.maximum(na[:, None], nb[None, :])))
+                kept = [at + survivors(sa[u[at:at + 32768]], sb[v[at:at + 32768]], least) for at in range(0, len(u), 32768)]
+                if not kept or not sum(map(len, kept)):
+                    continue
+                kept = np.concatenate(kept)
+                u, v = u[kept], v[kept]
+                both = common_counts(*shingle_sets(p.field("text"), width), *shingle_sets(q.field("text"), width))[u, v]
+                ok = 100 * both >= percent * (na[u] + nb[v] - both)
+                u, v = u[ok], v[ok]
+                _, one = np.unique(np.stack([ca[u], rb[v]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ca[u[one]]), pa.array(cb[v[one]])], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,20 +305,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     tried = staged(prune_pairs(_star_pairs(shared), classes, t), "candidates")
     links = staged(verify_pairs(tried, texts, width, percent), "links")
     roots = staged(components(links), "roots")
-    rest = staged(_rest_pairs(shared, roots, classes, t).join(tried, ["a", "b"], "left_anti"), "candidates")
-    if not rest.isEmpty():
-        more = staged(verify_pairs(rest, texts, width, percent), "links")
-        if not more.isEmpty():
-            # new links join whole components: run over the roots
-            up = lambda c: F.coalesce(F.col(f"root_{c}"), F.col(c))
-            j = more
-            for c in ("a", "b"):
-                j = j.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
-            top = components(j.select(up("a").alias("a"), up("b").alias("b")))
-            first = roots.join(top.withColumnsRenamed({"node": "root", "root": "top"}), "root", "left") \
-                .select("node", F.coalesce("top", "root").alias("root"))
-            new = top.join(roots.select("node"), "node", "left_anti")
-            roots = staged(first.unionByName(new), "roots")
+    more = staged(_rest_links(shared, roots, classes, texts, width, percent), "links")
+    if not more.isEmpty():
+        # new links join whole components: run over the roots
+        up = lambda c: F.coalesce(F.col(f"root_{c}"), F.col(c)).alias(c)
+        j = more
+        for c in ("a", "b"):
+            j = j.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+        top = components(j.select(up("a"), up("b")))
+        first = roots.join(top.select(F.col("root").alias("top"), F.col("node").alias("root")), "root", "left") \
+            .select("node", F.coalesce("top", "root").alias("root"))
+        roots = staged(first.unionByName(top.join(roots.select("node"), "node", "left_anti")), "roots")
     named = classes.select("cid", "check", "n", "first_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
