@@ -324,3 +324,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     comp = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.col("doc_id").eqNullSafe(comp).alias("kept"))
+
+
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that stand for their component; of rows
+    equal in id and text, one stays."""
+    kept = near_duplicates(docs, width, percent, id_col, text).where("kept") \
+        .select(F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("_kid"), F.col("th").alias("_th")).distinct()
+    keyed = docs.withColumns({"_kid": F.coalesce(F.xxhash64(id_col), F.lit(0)), "_th": F.xxhash64(F.col(text).cast("string"))})
+    return keyed.join(kept, ["_kid", "_th"]).dropDuplicates(["_kid", "_th"]).select(*[F.col(c) for c in docs.columns])

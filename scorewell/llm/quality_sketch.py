@@ -16,12 +16,14 @@ the named columns are read, so other columns' names cannot clash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from scorewell.llm.common import staged
 from scorewell.llm.textbytes import PLAIN_WORD, Words, byte_class, pieces
@@ -165,3 +167,32 @@ def quality_filter(docs: DataFrame, **names: str) -> DataFrame:
     the sketches and the verdict."""
     f = staged(rule_features(docs, **names), "quality-features")
     return apply_rules(f, thresholds(f))
+
+
+def keep_sound(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that pass the base rules and the fences
+    of their language and source.
+
+    The texts are measured once for the sketches and once more beside the rows,
+    which is cheaper than moving the texts to join a verdict."""
+    fences = staged(thresholds(rule_features(docs, id_col=docs.columns[0], lang=lang, source=source, text=text)), "fences")
+    at, names = docs.columns.index(text), [f"_q_{c}" for c in COUNTS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in pieces(batch, text):
+                m = measure(b.column(at))
+                yield pa.RecordBatch.from_arrays(b.columns + [pa.array(m[c].astype(np.int64)) for c in COUNTS],
+                                                 names=b.schema.names + names)
+
+    measured = docs.mapInArrow(run, StructType(docs.schema.fields + [StructField(n, LongType()) for n in names]))
+    fails = F.lit(False)
+    for r, (e, side, _w, _m) in RULES.items():
+        v = F.expr(re.sub(r"\b(" + "|".join(COUNTS) + r")\b", r"_q_\1", e)).cast("double")
+        fails = fails | F.coalesce(v > F.col(f"_t_{r}_high"), F.lit(False))
+        if side == "both":
+            fails = fails | F.coalesce(v < F.col(f"_t_{r}_low"), F.lit(False))
+    base = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
+    t = fences.select(*[F.col(c).alias(f"_t_{c}") for c in fences.columns])
+    return measured.join(t, F.col(lang).eqNullSafe(F.col("_t_lang")) & F.col(source).eqNullSafe(F.col("_t_source")), "left") \
+        .where(~base & ~fails).select(*[F.col(c) for c in docs.columns])

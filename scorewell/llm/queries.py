@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.llm import (bpe_tree, edit_counts, edit_embedding, license_diagonal, minhash_bayes, packing, quality_sketch,
-                            toxicity, warc_derivative)
+                           substring_dedup, toxicity, warc_derivative)
 from scorewell.llm.common import read
 
 
@@ -64,6 +64,11 @@ def op10_warc_derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derivative.derivatives(_responses(read(spark, sf_dir, "pages")), keep=["page_id"])
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of 35 words removed from all documents."""
+    return substring_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack_documents(read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
@@ -99,6 +104,7 @@ def op9_license_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_mil": op1_toxicity_mil,
     "op2_edit_token_counts": op2_edit_token_counts,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_tree": op5_bpe_tree,
     "op6_minhash_bayes": op6_minhash_bayes,

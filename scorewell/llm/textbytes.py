@@ -161,6 +161,13 @@ class Words:
         at = np.flatnonzero(self.row[:n] == self.row[k - 1:])
         return mix((c[at + k] - c[at]) * back[at]), at
 
+    def spans(self, h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """One hash per stretch of words [first, end)."""
+        power, back = _powers(_R, len(h) + 1)
+        c = np.zeros(len(h) + 1, _U)
+        np.cumsum(h * power[:len(h)], out=c[1:])
+        return mix((c[end] - c[first]) * back[first] + (end - first).astype(_U))
+
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Minimum of each w consecutive values."""

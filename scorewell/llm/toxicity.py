@@ -217,3 +217,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]) + ", score double"
     return src.mapInArrow(run, schema + (", sentences array<struct<first:int,end:int,score:double>>" if spans else ""))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score below the threshold."""
+    weights = docs.sparkSession.sparkContext.broadcast(model.weights)
+    bias, at = model.bias, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(weights.value, bias)
+        for batch in batches:
+            for b in pieces(batch, text):
+                s, z = _sentence_scores(m, b.column(at))
+                total = np.bincount(s.row, weights=np.logaddexp(0, np.clip(z, -30, 30)), minlength=s.rows)
+                yield b.filter(pa.array(-np.expm1(-total) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
