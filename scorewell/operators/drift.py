@@ -24,8 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorewell.operators.metrics import _totals
-from scorewell.operators.ordered import pick_by_rank, running_totals
+from scorewell.operators.ordered import pick_by_rank, running_totals, with_totals
 
 # PSI bins, clipping, verdict thresholds, baseline sample size.
 PSI_BINS = 10
@@ -78,29 +77,24 @@ def quantile_edges(long: DataFrame, n_bins: int = PSI_BINS) -> dict:
     values per feature reach the driver.
     """
     vc = value_counts(long).where(_valid_num()).groupBy("feature", "num").agg(F.sum("n").alias("_n")).persist()
-    tot = _totals(vc, ["feature"], ["_n"])
-    targets, frac = {}, {}
-    for f, t in tot.items():
-        n = int(t["_n"])
-        lst = []
+
+    def targets(n: Column) -> dict[str, Column]:
+        out = {}
         for i in range(n_bins + 1):
-            h = (i / n_bins) * (n - 1)
-            lo = int(math.floor(h))
-            hi = min(lo + 1, n - 1)
-            frac[(f, i)] = h - lo
-            lst += [(f"{i}:lo", lo), (f"{i}:hi", hi)]
-        targets[f] = lst
+            lo = F.floor(F.lit(i / n_bins) * (n - 1))
+            out[f"{i}:lo"], out[f"{i}:hi"] = lo, F.least(lo + 1, n - 1)
+        return out
+
     picks = pick_by_rank(vc, ["feature"], "num", "_n", targets).collect()
-    vc.unpersist()  # shared by the split, total, offset and pick jobs above
-    got: dict = {}
-    for r in picks:
-        got[(r["feature"], r["name"])] = r["num"]
+    vc.unpersist()  # shared by the split, offset and pick jobs above
+    got = {(r["feature"], r["name"]): r["num"] for r in picks}
+    total = {r["feature"]: r["n"] for r in picks}
     edges = {}
-    for f in tot:
+    for f, n in total.items():
         e = []
         for i in range(n_bins + 1):
-            a, b = got[(f, f"{i}:lo")], got[(f, f"{i}:hi")]
-            e.append(_lerp(a, b, frac[(f, i)]))
+            h = (i / n_bins) * (n - 1)
+            e.append(_lerp(got[(f, f"{i}:lo")], got[(f, f"{i}:hi")], h - math.floor(h)))
         edges[f] = sorted(set(e))
     return edges
 
@@ -129,16 +123,13 @@ def _psi_terms(counts: DataFrame, cell: str) -> DataFrame:
     p = counts.groupBy("feature", cell).agg(
         F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
         F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c"))
-    tot = _totals(p, ["feature"], ["b", "c"])
-    nb = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(float(t["b"])))]),
-                          F.col("feature")) if tot else F.lit(None)
-    nc = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(float(t["c"])))]),
-                          F.col("feature")) if tot else F.lit(None)
-    bp = F.greatest(F.try_divide(F.col("b"), nb), F.lit(PSI_EPSILON))
-    cp = F.greatest(F.try_divide(F.col("c"), nc), F.lit(PSI_EPSILON))
-    return (p.groupBy("feature")
-            .agg(F.sum((cp - bp) * F.log(cp / bp)).alias("psi"),
-                 F.first(nb).alias("n_baseline"), F.first(nc).alias("n_current")))
+    t = with_totals(p, ["feature"], {"nb": F.col("b"), "nc": F.col("c")})
+    bp = F.greatest(F.try_divide(F.col("b"), F.col("nb")), F.lit(PSI_EPSILON))
+    cp = F.greatest(F.try_divide(F.col("c"), F.col("nc")), F.lit(PSI_EPSILON))
+    both = (F.first("nb") > 0) & (F.first("nc") > 0)  # an empty side has no distribution to compare
+    return (t.groupBy("feature")
+            .agg(F.when(both, F.sum((cp - bp) * F.log(cp / bp))).alias("psi"),
+                 F.first("nb").alias("n_baseline"), F.first("nc").alias("n_current")))
 
 
 def psi(long: DataFrame, feature_types: Mapping[str, str], n_bins: int = PSI_BINS,
@@ -188,24 +179,16 @@ def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
           .groupBy("feature", "num")
           .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
                F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c"))).persist()
-    tot = _totals(vc, ["feature"], ["b", "c"])
-    schema = "feature string, ks_statistic double, p_value double, n_baseline bigint, n_current bigint"
-    if not tot:
-        vc.unpersist()
-        return long.sparkSession.createDataFrame([], schema)
-    nb = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(int(t["b"])))]), F.col("feature"))
-    nc = F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(int(t["c"])))]), F.col("feature"))
-    rt = running_totals(vc, ["feature"], ["num"], ["b", "c"])
-    diff = F.abs(F.try_divide(F.col("cum_b").cast("double"), nb) - F.try_divide(F.col("cum_c").cast("double"), nc))
-    g = rt.groupBy("feature").agg(F.max(diff).alias("ks_statistic"),
-                                  F.first(nb).cast("bigint").alias("n_baseline"),
-                                  F.first(nc).cast("bigint").alias("n_current"))
+    rt = with_totals(running_totals(vc, ["feature"], ["num"], ["b", "c"]), ["feature"], {"nb": F.col("b"), "nc": F.col("c")})
+    diff = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("nb")) - F.try_divide(F.col("cum_c").cast("double"), F.col("nc")))
+    g = rt.groupBy("feature").agg(F.max(diff).alias("ks_statistic"), F.first("nb").alias("n_baseline"), F.first("nc").alias("n_current"))
     rows = g.select("feature", "ks_statistic",
                     ks_pvalue(F.col("ks_statistic"), F.col("n_baseline").cast("double"),
                               F.col("n_current").cast("double")).alias("p_value"),
                     "n_baseline", "n_current").collect()  # one row per feature
-    vc.unpersist()  # shared by the split, total, offset and final jobs above
-    return long.sparkSession.createDataFrame(rows, schema)
+    vc.unpersist()  # shared by the split, offset and final jobs above
+    return long.sparkSession.createDataFrame(
+        rows, "feature string, ks_statistic double, p_value double, n_baseline bigint, n_current bigint")
 
 
 def chi2_statistic(long: DataFrame, categorical: Sequence[str]) -> DataFrame:
@@ -214,19 +197,8 @@ def chi2_statistic(long: DataFrame, categorical: Sequence[str]) -> DataFrame:
          .groupBy("feature", "cat")
          .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
               F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c")))
-    tot = _totals(c, ["feature"], ["b", "c"])
-    if not tot:
-        return long.sparkSession.createDataFrame(
-            [], "feature string, chi2_statistic double, dof int, n_categories int")
-
-    def lk(col):
-        return F.try_element_at(F.create_map(*[x for f, t in tot.items() for x in (F.lit(f), F.lit(float(t[col])))]),
-                                F.col("feature"))
-
-    k = _totals(c.withColumn("_one", F.lit(1)), ["feature"], ["_one"])
-    kk = F.try_element_at(F.create_map(*[x for f, t in k.items() for x in (F.lit(f), F.lit(int(t["_one"])))]),
-                          F.col("feature"))
-    nb, nc = lk("b"), lk("c")
+    c = with_totals(c, ["feature"], {"nb": F.col("b"), "nc": F.col("c"), "kk": F.lit(1)})
+    nb, nc, kk = F.col("nb").cast("double"), F.col("nc").cast("double"), F.col("kk")
     n = nb + nc
     col_tot = F.col("b") + F.col("c")
 

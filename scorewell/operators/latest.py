@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewell.operators.ordered import BUCKET, bucket_of, pinned_splits
+from scorewell.operators.ordered import BUCKET, bucket_of, null_safe_join, pinned_splits
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
@@ -47,7 +47,7 @@ def _order_value(df: DataFrame, col: str) -> Column:
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                  prefix: str = "prev_", **split_args) -> DataFrame:
+                  prefix: str = "prev_", per_bucket: int | None = None) -> DataFrame:
     """``lag`` of ``cols`` along ``order`` within each key, skew-safe.
 
     Time is cut into pinned global buckets; ``lag`` runs per (key, bucket); the
@@ -55,15 +55,14 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     bucket from a ``(key, bucket)`` table (at most ``#keys x #buckets`` rows).
     """
     ov = _order_value(df, order[0])
-    splits = pinned_splits(df, [], ov, **split_args)
-    b = df.withColumn(BUCKET, bucket_of(ov, [], splits))
+    b = df.withColumn(BUCKET, bucket_of(ov, pinned_splits(df, ov, per_bucket)))
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     lagged = b.select("*", *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols],
                       (F.row_number().over(w) == 1).alias("_first"))
     last = b.groupBy(*keys, BUCKET).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     bound = last.select(*keys, BUCKET, F.lag("_last").over(wb).alias("_before"))
-    j = lagged.join(bound, [*keys, BUCKET], "left")
+    j = null_safe_join(lagged, bound, [*keys, BUCKET], "left")
     out = j.select(*df.columns, *[F.when(F.col("_first"), F.col(f"_before.{c}")).otherwise(F.col(f"{prefix}{c}"))
                                   .alias(f"{prefix}{c}") for c in cols])
     return out

@@ -13,26 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.operators.ordered import _key_struct, mid_ranks, pick_by_rank, running_totals
+from scorewell.operators.ordered import null_safe_join, pick_by_rank, running_totals, value_ranks, with_totals
 
 RECALL_FLOOR = 0.60
 
 
-def _totals(df: DataFrame, keys: Sequence[str], cols: Sequence[str], max_keys: int = 100_000) -> dict:
-    """Per-key totals on the driver (aggregates; the key count is checked)."""
-    rows = df.groupBy(_key_struct(keys).alias("_k")).agg(*[F.sum(c).alias(c) for c in cols]).limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} keys")
-    return {r["_k"]: {c: r[c] for c in cols} for r in rows}
-
-
-def _lookup(keys: Sequence[str], totals: dict, col: str) -> Column:
-    if not totals:
-        return F.lit(None).cast("double")
-    m = F.create_map(*[x for k, t in totals.items() for x in (F.lit(k), F.lit(float(t[col] or 0)))])
-    return F.try_element_at(m, _key_struct(keys))
-
-
 def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
     """(keys, score, pos, neg) with one row per distinct score; null scores / labels dropped."""
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(score))
@@ -44,9 +29,9 @@ def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str) ->
 def curve(df: DataFrame, keys: Sequence[str], score: str = "score", label: str = "y") -> DataFrame:
     """One point per distinct score: ``tp, fp`` of ``score >= threshold``, precision, recall, fpr."""
     sc = score_counts(df, keys, score, label)
-    tot = _totals(sc, keys, ["pos", "neg"])
     rt = running_totals(sc, keys, [score], ["pos", "neg"], descending=True)
-    P, N = _lookup(keys, tot, "pos"), _lookup(keys, tot, "neg")
+    rt = with_totals(rt, keys, {"_p": F.col("pos"), "_n": F.col("neg")})
+    P, N = F.col("_p").cast("double"), F.col("_n").cast("double")
     return rt.select(
         *keys, F.col(score).alias("threshold"), "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -127,13 +112,8 @@ def _value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def latency_summary_a(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """N, median (mean of the two middle values when n is even), p95 = element at
     ``round(0.95 (n-1))`` (half-even), min, max."""
-    vc = _value_counts(df, keys, value)
-    tot = _totals(vc, keys, ["_n"])
-    targets = {}
-    for k, t in tot.items():
-        n = int(t["_n"])
-        targets[k] = [("lo", (n - 1) // 2), ("hi", n // 2), ("p95", min(int(round(0.95 * (n - 1))), n - 1))]
-    picks = pick_by_rank(vc, keys, value, "_n", targets)
+    picks = pick_by_rank(_value_counts(df, keys, value), keys, value, "_n", lambda n: {
+        "lo": F.floor((n - 1) / 2), "hi": F.floor(n / 2), "p95": F.least(F.rint(0.95 * (n - 1)), n - 1)})
     g = picks.groupBy(*keys).agg(
         F.avg(F.when(F.col("name").isin("lo", "hi"), F.col(value))).alias("_mid2"),
         F.first(F.when(F.col("name") == "lo", F.col(value)), True).alias("_lo"),
@@ -141,23 +121,20 @@ def latency_summary_a(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
         F.first(F.when(F.col("name") == "p95", F.col(value)), True).alias("p95"))
     stats = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
-    return stats.join(g, list(keys), "left").select(
+    return null_safe_join(stats, g, keys, "left").select(
         *keys, "n", ((F.col("_lo") + F.col("_hi")) / 2.0).alias("p50"), "p95", "min", "max")
 
 
 def latency_summary_b(df: DataFrame, keys: Sequence[str], value: str, is_error: Column) -> DataFrame:
     """Totals, errors, p50 / p95 at index ``min(n-1, int(n p))``."""
-    vc = _value_counts(df, keys, value)
-    tot = _totals(vc, keys, ["_n"])
-    targets = {k: [("p50", min(int(t["_n"]) - 1, int(int(t["_n"]) * 0.5))),
-                   ("p95", min(int(t["_n"]) - 1, int(int(t["_n"]) * 0.95)))] for k, t in tot.items()}
-    picks = pick_by_rank(vc, keys, value, "_n", targets)
+    picks = pick_by_rank(_value_counts(df, keys, value), keys, value, "_n", lambda n: {
+        "p50": F.least(n - 1, F.floor(n * 0.5)), "p95": F.least(n - 1, F.floor(n * 0.95))})
     g = picks.groupBy(*keys).agg(
         F.first(F.when(F.col("name") == "p50", F.col(value)), True).alias("latency_p50"),
         F.first(F.when(F.col("name") == "p95", F.col(value)), True).alias("latency_p95"))
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("request_total"),
                                   F.sum(is_error.cast("bigint")).alias("request_errors"))
-    return stats.join(g, list(keys), "left")
+    return null_safe_join(stats, g, keys, "left")
 
 
 def resource_summary(df: DataFrame, keys: Sequence[str], cpu: str, mem: str) -> DataFrame:
@@ -171,6 +148,19 @@ def resource_summary(df: DataFrame, keys: Sequence[str], cpu: str, mem: str) ->
 def spearman_pearson(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Spearman (Pearson on average ranks) and Pearson per key; rows with a null dropped."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rx = mid_ranks(d, keys, x, "_rx")
-    rxy = mid_ranks(rx, keys, y, "_ry")
-    return rxy.groupBy(*keys).agg(F.corr("_rx", "_ry").alias("spearman"), F.corr(x, y).alias("pearson"))
+    # all raw rows are reduced to distinct pairs first; both rankings and the
+    # weighted correlations read that table
+    xy = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n")).persist()
+    for v, out in ((x, "_rx"), (y, "_ry")):
+        ranks = value_ranks(xy.groupBy(*keys, v).agg(F.sum("_n").alias("_n")), keys, v, "_n", out)
+        ranked = null_safe_join(xy if v == x else ranked, ranks, [*keys, v])
+    means = ranked.groupBy(*keys).agg(*[(F.sum(F.col("_n") * F.col(c)) / F.sum("_n")).alias(f"_m_{c}") for c in (x, y, "_rx", "_ry")])
+    c = null_safe_join(ranked, means, keys)
+
+    def corr(p: str, q: str) -> Column:
+        dp, dq = F.col(p) - F.col(f"_m_{p}"), F.col(q) - F.col(f"_m_{q}")
+        # without spread the correlation is not defined: NaN, as Spark's corr gives
+        spread = F.sqrt(F.sum(F.col("_n") * dp * dp)) * F.sqrt(F.sum(F.col("_n") * dq * dq))
+        return F.when(spread > 0, F.sum(F.col("_n") * dp * dq) / spread).otherwise(F.lit(float("nan")))
+
+    return c.groupBy(*keys).agg(corr("_rx", "_ry").alias("spearman"), corr(x, y).alias("pearson"))

@@ -6,157 +6,148 @@ without a partition moves every row to one task, and ``partitionBy(key)``
 still sends a hot key to one task.  Here:
 
 1. the caller reduces first (``groupBy(key, value)`` counts; ties collapse);
-2. split points of the leading order value are computed once per key with
-   ``approx_percentile`` and *pinned* (collected: a few numbers per key), so a
-   recomputed stage buckets rows identically; their accuracy only affects
-   balance, never the result;
-3. bucket totals give running offsets on a ``keys x buckets`` table;
-4. a window over ``(key, bucket)`` adds the offset.
-
-When there are too many keys for per-key splits, one global set of splits is
-used instead (still spreading a hot key over all buckets).
+2. the order is cut into ``ceil(rows / rows_per_bucket)`` buckets of about equal
+   row numbers, over all keys together, so a key of any size is spread as widely
+   as its rows are.  The cut points are pinned (collected once), so a recomputed
+   stage buckets rows identically; their accuracy only affects balance, never
+   the result.  Hash orders need no cut points: the hash's top bits are the bucket;
+3. bucket totals give running offsets on a (key, bucket) table;
+4. a window over (key, bucket) adds the offset.
+
+All joins on keys are null-safe: rows with a null key form a group of their own.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+ROWS_PER_BUCKET = 2_000_000
 
 
-def _key_struct(keys: Sequence[str]) -> Column:
-    if len(keys) == 1:
-        return F.col(keys[0]).cast("string")
-    return F.to_json(F.struct(*[F.col(k) for k in keys]))
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null; the keys appear once, from the left."""
+    if not keys:
+        return left.join(right, F.lit(True), how)  # the right side is one row of totals
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def pinned_splits(df: DataFrame, keys: Sequence[str], value: str | Column, n_buckets: int = 64,
-                  rows_per_bucket: int = 2_000_000, max_keys: int = 10_000,
-                  accuracy: int = 10_000) -> tuple[dict | None, list]:
-    """Split points per key (``{key: [splits]}``) or global splits (``(None, [splits])``).
+def with_totals(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Adds per-key totals (``{name: column to sum}``) by a join; Spark picks a
+    broadcast only where the totals are small by its own measure."""
+    t = df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return null_safe_join(df, t, keys)
 
-    First one count per key (at most ``max_keys + 1`` rows reach the driver); only
-    keys larger than ``rows_per_bucket`` get ``approx_percentile`` split points
-    (``ceil(n / rows_per_bucket)`` buckets, at most ``n_buckets``).  With more
-    keys than ``max_keys`` one global set of splits is used.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    conf = df.sparkSession.conf.get("scorewell.rowsPerBucket", None)
-    if conf:
-        rows_per_bucket = int(conf)
-    pct = [i / n_buckets for i in range(1, n_buckets)]
-    if n_buckets <= 1:
-        return ({}, []) if keys else (None, [])
-    if keys:
-        k = _key_struct(keys)
-        counts = df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("n")).limit(max_keys + 1).collect()
-        if len(counts) <= max_keys:
-            big = {r["_k"]: r["n"] for r in counts if r["n"] > rows_per_bucket}
-            if not big:
-                return {}, []
-            rows = (df.where(k.isin(list(big))).groupBy(k.alias("_k"))
-                    .agg(F.approx_percentile(v.cast("double"), pct, accuracy).alias("s")).collect())
-            return {r["_k"]: _thin(r["s"], big[r["_k"]], n_buckets, rows_per_bucket) for r in rows}, []
-    n = df.count()
-    if n <= rows_per_bucket:
-        return None, []
-    r = df.agg(F.approx_percentile(v.cast("double"), pct, accuracy).alias("s")).first()
-    return None, _thin(r["s"], n, n_buckets, rows_per_bucket)
-
-
-def _thin(splits, n, n_buckets, rows_per_bucket) -> list:
-    s = sorted({x for x in (splits or []) if x is not None and not math.isnan(x)})
-    want = max(1, min(n_buckets, math.ceil((n or 0) / max(1, rows_per_bucket))))
-    if want <= 1 or not s:
+
+def rows_per_bucket(df: DataFrame, given: int | None = None) -> int:
+    """The bucket size: the argument, else ``scorewell.rowsPerBucket``, else the default."""
+    return given or int(df.sparkSession.conf.get("scorewell.rowsPerBucket", str(ROWS_PER_BUCKET)))
+
+
+def pinned_splits(df: DataFrame, value: str | Column, per_bucket: int | None = None) -> list[float]:
+    """Cut points of ``value`` that leave about ``per_bucket`` rows in a bucket
+    (one number per bucket reaches the driver)."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    want = math.ceil(df.count() / rows_per_bucket(df, per_bucket))
+    if want <= 1:
         return []
-    step = max(1, len(s) // (want - 1)) if want > 1 else len(s)
-    return s[step - 1::step][: want - 1] if step > 1 else s
+    got = df.agg(F.approx_percentile(v, [i / want for i in range(1, want)], max(10_000, 10 * want)).alias("s")).first()["s"]
+    return sorted({x for x in (got or []) if x is not None and not math.isnan(x)})
 
 
-def bucket_of(value: str | Column, keys: Sequence[str], splits: tuple[dict | None, list]) -> Column:
-    """Bucket = number of split points strictly below the value (monotone in the value)."""
-    per_key, glob = splits
+def bucket_of(value: str | Column, splits: Sequence[float]) -> Column:
+    """Number of cut points strictly below the value (monotone in the value), by
+    binary search over the pinned points."""
+    if not splits:
+        return F.lit(0)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    if per_key is None:
-        arr = F.array(*[F.lit(float(x)) for x in glob]) if glob else F.array().cast("array<double>")
-    else:
-        items = [(k, s) for k, s in per_key.items() if s]
-        if not items:
-            return F.lit(0)
-        m = F.create_map(*[x for k, s in items
-                           for x in (F.lit(k), F.array(*[F.lit(float(y)) for y in s]))])
-        arr = F.coalesce(F.try_element_at(m, _key_struct(keys)), F.array().cast("array<double>"))
-    return F.coalesce(F.size(F.filter(arr, lambda s: s < v)), F.lit(0))
+    top = 1 << (len(splits).bit_length() - 1)
+    steps = F.array(*[F.lit(top >> i) for i in range(top.bit_length())])
+    points = F.array(*[F.lit(float(x)) for x in splits])
+
+    def go(at: Column, step: Column) -> Column:
+        return at + F.when(F.coalesce(F.get(points, at + step - 1) < v, F.lit(False)), step).otherwise(F.lit(0))
+
+    return F.aggregate(steps, F.lit(0), go)
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str],
-                   descending: bool = False, splits=None, prefix: str = "cum_",
-                   **split_args) -> DataFrame:
+                   descending: bool = False, splits: Sequence[float] | None = None, prefix: str = "cum_",
+                   bucket: Column | None = None, per_bucket: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` along ``order`` within each key.
 
     ``df`` must have unique ``(keys, order)`` rows (reduce with ``groupBy``
-    first).  The leading order column must be numeric.  Adds ``cum_<col>``.
+    first).  The leading order column must be numeric, without nulls, unless a
+    ``bucket`` column monotone in the order is given.  Adds ``cum_<col>``.
     """
-    lead = order[0]
-    oval = -F.col(lead).cast("double") if descending else F.col(lead).cast("double")
-    if splits is None:
-        splits = pinned_splits(df, keys, oval, **split_args)
-    b = df.withColumn(BUCKET, bucket_of(oval, keys, splits))
+    if bucket is None:
+        lead = F.col(order[0]).cast("double")
+        lead = -lead if descending else lead
+        bucket = bucket_of(lead, pinned_splits(df, lead, per_bucket) if splits is None else splits)
+    b = df.withColumn(BUCKET, bucket)
     tot = b.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     wk = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*keys, BUCKET, *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}")
                                        for c in sums])
-    # keys x buckets rows: bounded by construction (per-key splits only below max_keys)
-    j = b.join(F.broadcast(offs) if splits[0] is not None or not keys else offs, [*keys, BUCKET])
+    j = null_safe_join(b, offs, [*keys, BUCKET])
     ords = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w = Window.partitionBy(*keys, BUCKET).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
     return j.select(*[c for c in df.columns],
                     *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sums])
 
 
+def value_ranks(counts: DataFrame, keys: Sequence[str], value: str, count_col: str, out: str) -> DataFrame:
+    """Average rank (1-based, ties averaged) of each distinct value of a count table."""
+    rt = running_totals(counts.where(F.col(value).isNotNull()), keys, [value], [count_col])
+    return rt.select(*keys, value, (F.col(f"cum_{count_col}") - (F.col(count_col) - 1) / 2.0).alias(out))
+
+
 def mid_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
-    """K7: average rank (1-based, ties averaged) of every row's ``value`` within its key.
+    """K7: average rank (1-based, ties averaged) of every row's ``value`` within its
+    key; null for a null value.
 
     Reduces to distinct values, runs the running count, joins back on (key, value).
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    rt = running_totals(counts.where(F.col(value).isNotNull()), keys, [value], ["_n"])
-    ranks = rt.select(*keys, value, (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias(out))
-    return df.join(ranks, [*keys, value], "left")
+    return null_safe_join(df, value_ranks(counts, keys, value, "_n", out), [*keys, value], "left")
 
 
 def pick_by_rank(counts: DataFrame, keys: Sequence[str], value: str, count_col: str,
-                 targets: dict) -> DataFrame:
+                 targets: Callable[[Column], dict[str, Column]]) -> DataFrame:
     """Value at 0-based position ``pos`` of the sorted values of each key.
 
-    ``counts``: (keys, value, count) with unique (keys, value).  ``targets``:
-    ``{key: [(name, pos), ...]}`` (a few positions per key, built from counts on
-    the driver).  Every distinct value knows its position range
-    ``[cum - n, cum - 1]`` and keeps the targets that fall inside it: no join.
+    ``counts``: (keys, value, count) with unique (keys, value).  ``targets`` gives
+    the named positions from a key's total ``n``.  Every distinct value knows its
+    position range ``[cum - n, cum - 1]`` and keeps the targets that fall inside
+    it.  Columns: keys, name, pos, n (the key's total), value.
     """
     rt = running_totals(counts, keys, [value], [count_col])
-    items = [(k, t) for k, t in targets.items() if t]
-    if not items:
-        return rt.limit(0).select(*keys, F.lit(None).cast("string").alias("name"),
-                                  F.lit(None).cast("long").alias("pos"), value)
-    m = F.create_map(*[x for k, t in items for x in (
-        F.lit(k), F.array(*[F.struct(F.lit(n).alias("name"), F.lit(int(p)).cast("long").alias("pos"))
-                            for n, p in t]))])
-    lo = F.col(f"cum_{count_col}") - F.col(count_col)
-    hi = F.col(f"cum_{count_col}") - 1
-    hits = F.filter(F.coalesce(F.try_element_at(m, _key_struct(keys)),
-                               F.array().cast("array<struct<name:string,pos:bigint>>")),
-                    lambda t: (t["pos"] >= lo) & (t["pos"] <= hi))
-    return (rt.select(*keys, value, F.explode(hits).alias("_t"))
-            .select(*keys, F.col("_t.name").alias("name"), F.col("_t.pos").alias("pos"), value))
-
-
-def positions(df: DataFrame, keys: Sequence[str], seed: int, id_col: str, out: str = "pos") -> DataFrame:
+    rt = with_totals(rt, keys, {"_total": F.col(count_col)})
+    lo, hi = F.col(f"cum_{count_col}") - F.col(count_col), F.col(f"cum_{count_col}") - 1
+    named = F.array(*[F.struct(F.lit(name).alias("name"), pos.cast("bigint").alias("pos"))
+                      for name, pos in targets(F.col("_total")).items()])
+    hits = F.filter(named, lambda t: (t["pos"] >= lo) & (t["pos"] <= hi))
+    return rt.select(*keys, value, F.col("_total").alias("n"), F.explode(hits).alias("_t")) \
+        .select(*keys, F.col("_t.name").alias("name"), F.col("_t.pos").alias("pos"), "n", value)
+
+
+def hash_bucket(h: str, buckets: int) -> tuple[Column, int]:
+    """Bucket of a 64-bit hash by its top bits, and the number of buckets (a power of two)."""
+    bits = max(0, (buckets - 1).bit_length())
+    return (F.shiftright(F.col(h), 64 - bits) if bits else F.lit(0)).cast("bigint"), 1 << bits
+
+
+def positions(df: DataFrame, keys: Sequence[str], seed: int, id_col: str, out: str = "pos",
+              per_bucket: int | None = None) -> DataFrame:
     """0-based position of each row within its key in the seeded hash order ``(xxhash64(id, seed), id)``."""
     h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("_one", F.lit(1))
-    rt = running_totals(h, keys, ["_h", id_col], ["_one"])
+    bucket, _n = hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df, per_bucket)))
+    rt = running_totals(h, keys, ["_h", id_col], ["_one"], bucket=bucket)
     return rt.withColumn(out, F.col("cum__one") - 1).drop("_h", "_one", "cum__one")
