@@ -12,11 +12,11 @@ of what the driver holds).  Everything else covers all rows and whole texts:
 scoring is one pass over the table with the weights (2**20 floats, 4 MB, a fixed
 bound) sent to the tasks.
 
-Defined results: null or empty text has no sentences and the score of the
-prior ``EMPTY_SCORE``; rows without a label are scored only; repeated rows are
+Defined results: null or empty text has no sentences and the score
+``EMPTY_SCORE``; rows without a label are scored only; repeated rows are
 scored each, and used once in training per row of the join; a null doc_id joins
 no label; an empty labels table gives a model that scores everything
-``EMPTY_SCORE``; only the named columns are read.
+about 0; only the named columns are read.
 """
 
 from __future__ import annotations
