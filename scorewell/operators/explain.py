@@ -64,28 +64,66 @@ def parent_importance(imp: DataFrame, parents: Sequence[str]) -> DataFrame:
 
 def top_n(imp: DataFrame, name: str, n: int) -> DataFrame:
     """K5: the ``n`` most important (ties by name), with their 1-based rank."""
-    w = Window.partitionBy(F.lit(1)).orderBy(F.col("importance").desc(), F.col(name))  # <= #features rows
-    return imp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    w = Window.orderBy(F.col("importance").desc(), F.col(name))
+    # the n rows are taken by a top-n plan (n rows per task) before they are numbered
+    return imp.orderBy(F.col("importance").desc(), F.col(name)).limit(n).withColumn("rank", F.row_number().over(w))
 
 
 def relevance(top: DataFrame, name: str, expected: Sequence[str], prefix_match: bool = False) -> DataFrame:
-    """Share of the top features that are expected (exact, or ``name_`` prefix)."""
-    hit = F.col(name).isin(list(expected))
-    if prefix_match:
-        for e in expected:
+    """Share of the *expected* features found among the top ones.
+
+    Exact names (gate 1), or also any feature that starts with ``name_`` (gate 2).
+    """
+    found = []
+    for e in expected:
+        hit = F.col(name) == e
+        if prefix_match:
             hit = hit | F.col(name).startswith(e + "_")
-    return top.agg(F.avg(hit.cast("double")).alias("relevance"),
-                   F.count(F.lit(1)).alias("n_top")).withColumn("relevance_pass", F.col("relevance") >= RELEVANCE_MIN)
+        found.append(F.coalesce(F.max(hit.cast("int")), F.lit(0)))
+    share = sum(found[1:], found[0]) / F.lit(float(len(expected)))
+    return top.agg(share.alias("relevance"), F.count(F.lit(1)).alias("n_top")) \
+        .withColumn("relevance_pass", F.col("relevance") >= RELEVANCE_MIN)
 
 
 def magnitude(top: DataFrame) -> DataFrame:
-    """Dominance (1st / 2nd; 2nd = 0 -> inf) and coefficient of variation (population)."""
+    """Dominance (1st / 2nd; 2nd not positive -> inf; no 2nd -> 0) and
+    coefficient of variation (population; mean not positive -> 0)."""
     a = top.agg(F.max(F.when(F.col("rank") == 1, F.col("importance"))).alias("first"),
                 F.max(F.when(F.col("rank") == 2, F.col("importance"))).alias("second"),
-                (F.stddev_pop("importance") / F.avg("importance")).alias("cv"))
-    dom = F.when(F.col("second") == 0, F.lit(float("inf"))).otherwise(F.col("first") / F.col("second"))
-    return a.select(dom.alias("dominance"), "cv",
-                    ((dom <= DOMINANCE_MAX) & (F.col("cv") >= CV_MIN)).alias("magnitude_pass"))
+                F.stddev_pop("importance").alias("sd"), F.avg("importance").alias("mean"))
+    dom = F.when(F.col("second").isNull(), F.lit(0.0)).when(F.col("second") > 0, F.try_divide("first", "second")) \
+        .otherwise(F.lit(float("inf")))
+    cv = F.when(F.col("mean") > 0, F.try_divide("sd", "mean")).otherwise(F.lit(0.0))
+    return a.select(dom.alias("dominance"), cv.alias("cv")).withColumn(
+        "magnitude_pass", (F.col("dominance") <= DOMINANCE_MAX) & (F.col("cv") >= CV_MIN))
+
+
+def garbage(top: DataFrame, name: str, unwanted: Sequence[str]) -> DataFrame:
+    """Gate 2: none of the unwanted features is among the top ones."""
+    return top.agg((F.coalesce(F.max(F.col(name).isin(list(unwanted)).cast("int")), F.lit(0)) == 0).alias("garbage_pass"))
+
+
+def gate2(attr: DataFrame, permutation: DataFrame | None, expected: Sequence[str], unwanted: Sequence[str],
+          expected_sign: Mapping[str, int], n_top: int = 10, n_garbage: int = 5) -> DataFrame:
+    """E8, gate 2: overlap of the top features by attribution and by permutation
+    importance (name or ``name_`` prefix), no unwanted feature in the first five,
+    directions by Pearson.  All must pass; an ensemble has no permutation table,
+    and then the other three decide."""
+    imp = mean_abs(attr)
+    parts = [relevance(top_n(imp, "feature", n_top), "feature", expected, True)
+             .select(F.col("relevance").alias("attribution_overlap"), F.col("relevance_pass").alias("attribution_pass"))]
+    if permutation is not None:
+        parts.append(relevance(top_n(permutation, "feature", n_top), "feature", expected, True)
+                     .select(F.col("relevance").alias("permutation_overlap"), F.col("relevance_pass").alias("permutation_pass")))
+    parts.append(garbage(top_n(imp, "feature", n_garbage), "feature", unwanted))
+    parts.append(direction_verdict(direction(attr, expected_sign, "pearson"), "pearson").select("direction_pass"))
+    one = parts[0]
+    for p in parts[1:]:
+        one = one.crossJoin(p)  # one-row aggregates
+    if permutation is None:
+        one = one.withColumns({"permutation_overlap": F.lit(None).cast("double"), "permutation_pass": F.lit(None).cast("boolean")})
+    ok = F.col("attribution_pass") & F.coalesce("permutation_pass", F.lit(True)) & F.col("garbage_pass") & F.col("direction_pass")
+    return one.withColumn("all_pass", ok)
 
 
 def direction(attr: DataFrame, expected_sign: Mapping[str, int], method: str = "spearman") -> DataFrame:
@@ -129,10 +167,12 @@ def consistency(rank_a: DataFrame, rank_b: DataFrame, rank_c: DataFrame, name: s
         "consistency_pass", F.col("consistency") >= CONSISTENCY_MIN)
 
 
-def scorecard(relevance_pass: Column, direction_pass: Column, magnitude_pass: Column) -> tuple[Column, Column]:
-    """Fail relevance or direction -> 3; all pass -> 1; else 2; trials 100 / 30 / 0."""
+def scorecard(relevance_pass: Column, direction_pass: Column, magnitude_pass: Column,
+              consistency_pass: Column) -> tuple[Column, Column]:
+    """E8, gate 1: fail relevance or direction -> 3; magnitude and consistency pass
+    -> 1; else 2; trials 100 / 30 / 0."""
     score = (F.when(~relevance_pass | ~direction_pass, F.lit(3))
-             .when(relevance_pass & direction_pass & magnitude_pass, F.lit(1)).otherwise(F.lit(2)))
+             .when(magnitude_pass & consistency_pass, F.lit(1)).otherwise(F.lit(2)))
     trials = F.when(score == 1, F.lit(TRIALS_BY_SCORE[1])).when(score == 2, F.lit(TRIALS_BY_SCORE[2])) \
         .otherwise(F.lit(TRIALS_BY_SCORE[3]))
     return score, trials

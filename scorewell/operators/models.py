@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import json
 import os
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -17,7 +18,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorewell.functions.columns import label_from_threshold
@@ -197,27 +199,44 @@ def load_bundle(root: str, version: str):
 
 
 def set_alias(spark: SparkSession, log_path: str, alias: str, version: str) -> None:
-    """M7: the alias log is append-only; the newest row per alias wins (rollback = set again)."""
-    spark.createDataFrame([(alias, version)], "alias string, version string") \
-        .withColumn("set_at", F.current_timestamp()).withColumn("seq", F.monotonically_increasing_id()) \
-        .write.mode("append").parquet(log_path)
+    """M7: the alias log is append-only; the newest row per alias wins (rollback = set
+    again).  ``seq`` is the setter's clock in nanoseconds and breaks equal times."""
+    spark.createDataFrame([(alias, version, time.time_ns())], "alias string, version string, seq bigint") \
+        .withColumn("set_at", F.current_timestamp()).write.mode("append").parquet(log_path)
 
 
 def resolve_alias(spark: SparkSession, log_path: str, alias: str) -> str:
     """M7: latest version of an alias (K1 over the log: one row reaches the driver)."""
-    r = (spark.read.parquet(log_path).where(F.col("alias") == alias)
-         .agg(F.max_by("version", F.struct("set_at", "seq")).alias("v")).first())
+    try:
+        log = spark.read.parquet(log_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise KeyError(f"alias not set: {alias}") from e
+    r = log.where(F.col("alias") == alias).agg(F.max_by("version", F.struct("set_at", "seq")).alias("v")).first()
     if r is None or r["v"] is None:
         raise KeyError(f"alias not set: {alias}")
     return r["v"]
 
 
+def has_alias(spark: SparkSession, log_path: str, alias: str) -> bool:
+    """Whether an alias has been set (asked of Spark, so any shared path works)."""
+    try:
+        resolve_alias(spark, log_path, alias)
+    except KeyError:
+        return False
+    return True
+
+
 def score_batch(df: DataFrame, prep, model: PipelineModel, threshold: float, model_name: str,
                 version: str, keep: Sequence[str], contract: V.Contract | None = None,
-                run_id: str | None = None) -> DataFrame:
+                run_id: str | None = None, alias: str | None = None, flow_run_id: str | None = None,
+                generation_id: str | None = None) -> DataFrame:
     """M6: validate (whole batch) -> prepare -> score -> label -> lineage columns.
 
-    The concrete version (never an alias) and ONE timestamp per run are stored.
+    The concrete version, the alias it was resolved from (``model_alias``, if one
+    was) and ONE timestamp per run are stored, with the ids of the flow run and of
+    the data generation where there are any.
     """
     if contract is not None:
         V.assert_valid(df, contract)
@@ -226,7 +245,10 @@ def score_batch(df: DataFrame, prep, model: PipelineModel, threshold: float, mod
     return scored.select(*keep, F.col("score").alias("probability"),
                          label_from_threshold("score", threshold).alias("label"),
                          F.lit(model_name).alias("model_name"), F.lit(version).alias("model_version"),
+                         F.lit(alias).cast("string").alias("model_alias"),
                          F.lit(run_id or str(uuid.uuid4())).alias("batch_run_id"),
+                         F.lit(flow_run_id).cast("string").alias("flow_run_id"),
+                         F.lit(generation_id).cast("string").alias("generation_id"),
                          F.current_timestamp().alias("predicted_at"))
 
 
@@ -237,19 +259,28 @@ def prediction_constraints() -> dict:
             "probability_in_0_1": (F.col("probability") >= 0) & (F.col("probability") <= 1)}
 
 
-def append_predictions(pred: DataFrame, path: str, source_table: str, constraints=None) -> int:
-    """All-or-nothing append.  Constraints are counted first (one aggregate); any
-    violation writes nothing.  The write replaces only this run's partition, so a retry
-    of the same ``batch_run_id`` cannot duplicate rows."""
-    cons = constraints or prediction_constraints()
-    counts = V.constraint_counts(pred, cons).first().asDict()
-    bad = {k: v for k, v in counts.items() if v}
-    if bad:
-        raise V.ContractError(f"prediction batch rejected: {bad}")
-    out = pred.withColumn("source_table", F.lit(source_table))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_table", "batch_run_id").parquet(path))
-    return 0
+def append_predictions(pred: DataFrame, path: str, source_table: str, constraints=None,
+                       identity: tuple[str, str] | None = None) -> int:
+    """All-or-nothing append; returns the rows written.
+
+    The constraints (and, with ``identity``, that exactly one of two id columns is
+    filled) are part of the write itself: the first bad row fails the job, and a
+    failed job commits nothing.  The model runs once.  The write replaces only this
+    run's partition, so a retry of the same ``batch_run_id`` cannot duplicate rows."""
+    rules = dict(constraints or prediction_constraints())
+    if identity:
+        rules["one_identity"] = V.one_of_filled(*identity)
+    seen = Observation()
+    out = V.enforce_constraints(pred, rules).withColumn("source_table", F.lit(source_table)) \
+        .observe(seen, F.count(F.lit(1)).alias("n"))
+    try:
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("source_table", "batch_run_id").parquet(path))
+    except Exception as e:
+        if "constraint violated" in str(e):
+            raise V.ContractError("prediction batch rejected: constraint violated") from e
+        raise
+    return seen.get["n"]
 
 
 def sanity_check(scored: DataFrame, expected_rows: int, required: Sequence[str] = ("probability", "label")) -> dict:

@@ -23,6 +23,8 @@ ATTR_WEIGHTS_C = {"l_quantity": 1.0, "l_extendedprice": 0.00001, "l_discount": -
                   "l_returnflag_N": -0.6, "l_returnflag_R": 0.5}
 PARENTS = ["l_returnflag"]
 EXPECTED = ["l_quantity", "l_discount", "l_returnflag"]
+EXPECTED_GATE2 = ["l_quantity", "l_discount", "l_returnflag", "l_shipmode"]
+UNWANTED = ["l_tax"]
 EXPECTED_SIGN = {"l_quantity": 1, "l_discount": -1, "l_tax": 1}
 
 
@@ -92,16 +94,21 @@ def parity_compare(spark, sf_dir):
     return p.select("column", "n_compared", "n_mismatch", r6("max_abs_diff").alias("max_abs_diff"))
 
 
+def _labelled_orders(spark, sf_dir):
+    """Orders with their status as label; status P counts as unlabelled."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+
+
 def stratified_split(spark, sf_dir):
-    """B1: 70 / 15 / 15 per order status; rows per (class, split)."""
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    """B1: 70 / 15 / 15 per order status (no label: a class of its own); rows per (class, split)."""
+    od = _labelled_orders(spark, sf_dir)
     s = S.stratified_split(od, "o_orderstatus", "o_orderkey", seed=42)
     return s.groupBy("o_orderstatus", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 def kfold(spark, sf_dir):
     """B2: stratified 3-fold; rows per (class, fold)."""
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    od = _labelled_orders(spark, sf_dir)
     k = S.kfold(od, "o_orderstatus", "o_orderkey", k=3, seed=42)
     return k.groupBy("o_orderstatus", "fold").agg(F.count(F.lit(1)).alias("n"))
 
@@ -135,23 +142,37 @@ def direction_gate(spark, sf_dir):
 
 
 def scorecard(spark, sf_dir):
-    """E4 + E5 + A24 + E8: relevance of the top 10 parents, direction, magnitude -> score, trials."""
+    """E4-E8 (gate 1): relevance of the top 10 parents, direction, magnitude of the top
+    10 features, consistency of three rankings -> score, trials."""
     attr = _attributions(spark, sf_dir, ATTR_WEIGHTS)
-    imp = E.parent_importance(E.mean_abs(attr), PARENTS)
-    top10 = E.top_n(imp, "parent", 10)
-    rel = E.relevance(top10, "parent", EXPECTED)
-    mag = E.magnitude(E.top_n(imp, "parent", 5))
+    raw = E.mean_abs(attr)
+    rel = E.relevance(E.top_n(E.parent_importance(raw, PARENTS), "parent", 10), "parent", EXPECTED)
+    mag = E.magnitude(E.top_n(raw, "feature", 10))
     dirv = E.direction_verdict(E.direction(attr, EXPECTED_SIGN, "spearman"))
-    one = rel.withColumn("_k", F.lit(1)).join(mag.withColumn("_k", F.lit(1)), "_k").join(
-        dirv.withColumn("_k", F.lit(1)), "_k")  # one-row aggregates joined on a constant key
-    score, trials = E.scorecard(F.col("relevance_pass"), F.col("direction_pass"), F.col("magnitude_pass"))
+    con = E.consistency(raw, *[E.mean_abs(_attributions(spark, sf_dir, w)) for w in (ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)])
+    one = rel.crossJoin(mag).crossJoin(dirv).crossJoin(con)  # one-row aggregates
+    score, trials = E.scorecard(F.col("relevance_pass"), F.col("direction_pass"), F.col("magnitude_pass"), F.col("consistency_pass"))
     return one.select(r6("relevance").alias("relevance"), F.col("relevance_pass").cast("int").alias("relevance_pass"),
                       r6("dominance").alias("dominance"), r6("cv").alias("cv"),
                       F.col("magnitude_pass").cast("int").alias("magnitude_pass"),
                       F.col("direction_pass").cast("int").alias("direction_pass"),
+                      F.col("consistency_pass").cast("int").alias("consistency_pass"),
                       score.alias("score"), trials.alias("trials"))
 
 
+def gate2_verdict(spark, sf_dir):
+    """E8 (gate 2): prefix overlap on two rankings (the second weight set stands in for
+    a permutation table), unwanted features, Pearson directions; and without a
+    permutation table, as for an ensemble."""
+    attr = _attributions(spark, sf_dir, ATTR_WEIGHTS)
+    second = E.mean_abs(_attributions(spark, sf_dir, ATTR_WEIGHTS_B))
+    rows = [E.gate2(attr, p, EXPECTED_GATE2, UNWANTED, EXPECTED_SIGN, n_top=4, n_garbage=3).withColumn("model", F.lit(m))
+            for m, p in (("single", second), ("ensemble", None))]
+    out = rows[0].unionByName(rows[1])
+    return out.select("model", r6("attribution_overlap").alias("attribution_overlap"), r6("permutation_overlap").alias("permutation_overlap"),
+                      *[F.col(c).cast("int").alias(c) for c in ("attribution_pass", "permutation_pass", "garbage_pass", "direction_pass", "all_pass")])
+
+
 def ranking_consistency(spark, sf_dir):
     """Mean pairwise Spearman of three importance rankings (three weight sets)."""
     r = [E.mean_abs(_attributions(spark, sf_dir, w)) for w in (ATTR_WEIGHTS, ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)]
@@ -192,7 +213,7 @@ QUERIES = {
     "soft_vote": soft_vote, "weight_search": weight_search, "promotion_check": promotion_check,
     "model_rank": model_rank, "parity_compare": parity_compare, "stratified_split": stratified_split,
     "kfold": kfold, "importance_top_n": importance_top_n, "direction_gate": direction_gate,
-    "scorecard": scorecard, "ranking_consistency": ranking_consistency,
+    "scorecard": scorecard, "gate2_verdict": gate2_verdict, "ranking_consistency": ranking_consistency,
     "permutation_importance": permutation_importance, "hash_sample": hash_sample,
     "class_weights": class_weights,
 }
@@ -308,33 +329,60 @@ SELECT 'o_totalprice' AS "column", count(*) AS n_compared,
        round(max(abs(ap - bp)), 6) AS max_abs_diff FROM j
 UNION ALL
 SELECT 'o_orderstatus', count(*), CAST(count_if(ast IS DISTINCT FROM bst) AS BIGINT), NULL FROM j""",
-    "stratified_split": """WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
+    "stratified_split": """WITH c AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
 s AS (SELECT o_orderstatus, n, CAST(floor(n * 0.15::DOUBLE + 0.5) AS BIGINT) AS nt FROM c),
 s2 AS (SELECT *, CAST(floor((n - nt) * (0.15::DOUBLE / (1.0::DOUBLE - 0.15::DOUBLE)) + 0.5) AS BIGINT) AS nv FROM s)
 SELECT o_orderstatus, 'test' AS split, nt AS n FROM s2 WHERE nt > 0
 UNION ALL SELECT o_orderstatus, 'val', nv FROM s2 WHERE nv > 0
 UNION ALL SELECT o_orderstatus, 'train', n - nt - nv FROM s2 WHERE n - nt - nv > 0""",
-    "kfold": """WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
+    "kfold": """WITH c AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
 SELECT o_orderstatus, CAST(f AS INTEGER) AS fold, n // 3 + CASE WHEN f < n % 3 THEN 1 ELSE 0 END AS n
 FROM c, range(0, 3) t(f) WHERE n // 3 + CASE WHEN f < n % 3 THEN 1 ELSE 0 END > 0""",
     "importance_top_n": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_IMP}
 SELECT parent, round(importance, 6) AS importance, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5""",
     "direction_gate": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_DIR}
 SELECT feature, round(c, 6) AS corr, CAST(checked AS INTEGER) AS checked, CAST(correct AS INTEGER) AS correct FROM dir2""",
-    "scorecard": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_IMP}, {_DIR},
-rel AS (SELECT avg(CASE WHEN parent IN ('l_quantity', 'l_discount', 'l_returnflag') THEN 1.0 ELSE 0.0 END) AS relevance
-        FROM ranked WHERE rank <= 10),
+    "scorecard": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_attr_long(ATTR_WEIGHTS_B, 'a2')}, {_attr_long(ATTR_WEIGHTS_C, 'a3')}, {_IMP}, {_DIR},
+want(e) AS (VALUES ('l_quantity'), ('l_discount'), ('l_returnflag')),
+rel AS (SELECT count(*) FILTER (WHERE e IN (SELECT parent FROM ranked WHERE rank <= 10)) / count(*) AS relevance FROM want),
+feat AS (SELECT feature, avg(abs(phi)) AS importance, row_number() OVER (ORDER BY avg(abs(phi)) DESC, feature) AS rank FROM a GROUP BY feature),
 mag AS (SELECT max(importance) FILTER (WHERE rank = 1) AS f, max(importance) FILTER (WHERE rank = 2) AS s,
-               stddev_pop(importance) / avg(importance) AS cv FROM ranked WHERE rank <= 5),
+               stddev_pop(importance) / avg(importance) AS cv FROM feat WHERE rank <= 10),
+three AS (
+  SELECT feature, avg(abs(phi)) FILTER (WHERE src = 1) AS a, avg(abs(phi)) FILTER (WHERE src = 2) AS b, avg(abs(phi)) FILTER (WHERE src = 3) AS c
+  FROM (SELECT 1 AS src, * FROM a UNION ALL SELECT 2, * FROM a2 UNION ALL SELECT 3, * FROM a3) GROUP BY feature),
+pairs AS (SELECT 'ab' AS pair, a AS x, b AS y FROM three UNION ALL SELECT 'ac', a, c FROM three UNION ALL SELECT 'bc', b, c FROM three),
+pr AS (SELECT pair, rank() OVER (PARTITION BY pair ORDER BY x) + (count(*) OVER (PARTITION BY pair, x) - 1) / 2.0 AS rx,
+              rank() OVER (PARTITION BY pair ORDER BY y) + (count(*) OVER (PARTITION BY pair, y) - 1) / 2.0 AS ry FROM pairs),
+con AS (SELECT avg(sp) >= 0.7 AS cp FROM (SELECT corr(rx, ry) AS sp FROM pr GROUP BY pair)),
 dv AS (SELECT sum(CAST(checked AS INTEGER)) = sum(CAST(correct AS INTEGER)) AS direction_pass FROM dir2),
 all1 AS (SELECT relevance, relevance >= 0.5 AS rp, CASE WHEN s = 0 THEN 'inf'::DOUBLE ELSE f / s END AS dominance, cv,
-                direction_pass FROM rel, mag, dv),
+                direction_pass, cp FROM rel, mag, dv, con),
 all2 AS (SELECT *, dominance <= 3.0 AND cv >= 0.1 AS mp FROM all1)
 SELECT round(relevance, 6) AS relevance, CAST(rp AS INTEGER) AS relevance_pass, round(dominance, 6) AS dominance,
        round(cv, 6) AS cv, CAST(mp AS INTEGER) AS magnitude_pass, CAST(direction_pass AS INTEGER) AS direction_pass,
-       CASE WHEN NOT rp OR NOT direction_pass THEN 3 WHEN mp THEN 1 ELSE 2 END AS score,
-       CASE WHEN NOT rp OR NOT direction_pass THEN 0 WHEN mp THEN 100 ELSE 30 END AS trials
+       CAST(cp AS INTEGER) AS consistency_pass,
+       CASE WHEN NOT rp OR NOT direction_pass THEN 3 WHEN mp AND cp THEN 1 ELSE 2 END AS score,
+       CASE WHEN NOT rp OR NOT direction_pass THEN 0 WHEN mp AND cp THEN 100 ELSE 30 END AS trials
 FROM all2""",
+    "gate2_verdict": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_attr_long(ATTR_WEIGHTS_B, 'a2')},
+want(e) AS (VALUES ('l_quantity'), ('l_discount'), ('l_returnflag'), ('l_shipmode')),
+t1 AS (SELECT feature, row_number() OVER (ORDER BY avg(abs(phi)) DESC, feature) AS rank FROM a GROUP BY feature),
+t2 AS (SELECT feature, row_number() OVER (ORDER BY avg(abs(phi)) DESC, feature) AS rank FROM a2 GROUP BY feature),
+o1 AS (SELECT count(*) FILTER (WHERE EXISTS (SELECT 1 FROM t1 WHERE rank <= 4 AND (feature = e OR starts_with(feature, e || '_')))) / count(*) AS v FROM want),
+o2 AS (SELECT count(*) FILTER (WHERE EXISTS (SELECT 1 FROM t2 WHERE rank <= 4 AND (feature = e OR starts_with(feature, e || '_')))) / count(*) AS v FROM want),
+g AS (SELECT count(*) FILTER (WHERE feature = 'l_tax') = 0 AS ok FROM t1 WHERE rank <= 3),
+r AS (SELECT feature, coalesce(corr(value, phi), 0.0) AS c FROM a WHERE feature IN ('l_quantity', 'l_discount', 'l_tax') GROUP BY feature),
+d AS (SELECT count(*) FILTER (WHERE abs(c) > 0.05) AS checked,
+             count(*) FILTER (WHERE abs(c) > 0.05 AND sign(c) = CASE feature WHEN 'l_discount' THEN -1 ELSE 1 END) AS correct FROM r),
+dv AS (SELECT correct >= greatest(1, round(checked * 2.0 / 3.0)) AS ok FROM d)
+SELECT 'single' AS model, round(o1.v, 6) AS attribution_overlap, round(o2.v, 6) AS permutation_overlap,
+       CAST(o1.v >= 0.5 AS INTEGER) AS attribution_pass, CAST(o2.v >= 0.5 AS INTEGER) AS permutation_pass,
+       CAST(g.ok AS INTEGER) AS garbage_pass, CAST(dv.ok AS INTEGER) AS direction_pass,
+       CAST(o1.v >= 0.5 AND o2.v >= 0.5 AND g.ok AND dv.ok AS INTEGER) AS all_pass FROM o1, o2, g, dv
+UNION ALL
+SELECT 'ensemble', round(o1.v, 6), NULL, CAST(o1.v >= 0.5 AS INTEGER), NULL, CAST(g.ok AS INTEGER), CAST(dv.ok AS INTEGER),
+       CAST(o1.v >= 0.5 AND g.ok AND dv.ok AS INTEGER) FROM o1, g, dv""",
     "ranking_consistency": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a1')}, {_attr_long(ATTR_WEIGHTS_B, 'a2')},
 {_attr_long(ATTR_WEIGHTS_C, 'a3')},
 i AS (

@@ -125,38 +125,59 @@ def _batch(spark, n, share_m2m, null_share=0.0):
 @pytest.fixture(scope="module")
 def history(spark):
     import datetime as dt
-    runs = []
+    h = None
     for d in range(3):
-        r = Q.run_gate(_batch(spark, 1000, 0.50), "src", ["tenure", "MonthlyCharges"], ["Contract"])
-        runs.append(Q.history_row(spark, r, "src", dt.datetime(2024, 1, 1 + d)))
-    h = runs[0]
-    for r in runs[1:]:
-        h = h.unionByName(r)
-    return h
+        r = Q.run_gate(_batch(spark, 1000, 0.50), "src", ["tenure", "MonthlyCharges"], ["Contract"], run_at=dt.datetime(2024, 1, 1 + d))
+        r = r.select(*Q.HISTORY_SCHEMA.fieldNames())
+        h = r if h is None else h.unionByName(r)
+    return spark.createDataFrame(h.collect(), Q.HISTORY_SCHEMA)
 
 
 @pytest.mark.parametrize("n,share,nulls,verdict", [(1000, 0.51, 0.0, "pass"), (100, 0.50, 0.0, "stop"),
                                                    (1000, 0.50, 0.15, "stop"), (1000, 0.65, 0.0, "flag")])
 def test_gate_cases(spark, history, n, share, nulls, verdict):
     r = Q.run_gate(_batch(spark, n, share, nulls), "src", ["tenure", "MonthlyCharges"], ["Contract"], history=history)
-    assert r.verdict == verdict
+    assert r.first()["verdict"] == verdict
 
 
 def test_gate_without_history(spark):
     r = Q.run_gate(_batch(spark, 100, 0.9), "src", ["tenure"], ["Contract"], history=None)
-    assert r.verdict == "pass"
+    assert r.first()["verdict"] == "pass"
+
+
+def test_gate_counts_nan_as_missing(spark, history):
+    nan = _batch(spark, 1000, 0.50, 0.30).fillna(float("nan"), ["tenure"])
+    r = Q.run_gate(nan, "src", ["tenure", "MonthlyCharges"], ["Contract"], history=history).first()
+    assert r["verdict"] == "stop" and abs(r["null_proportions"]["tenure"] - 0.30) < 1e-9
+    with pytest.raises(RuntimeError):
+        Q.apply_policy(r)
+
+
+def test_gate_of_an_empty_batch(spark, history):
+    r = Q.run_gate(_batch(spark, 10, 0.5).limit(0), "src", ["tenure"], ["Contract"], history=history).first()
+    assert r["row_count"] == 0 and r["volume_verdict"] == "stop" and r["null_verdict"] == "pass"
+
+
+def test_gate_sees_new_but_not_vanished_categories(spark, history):
+    new = _batch(spark, 1000, 0.50).replace("Two year", "Three year", ["Contract"])
+    assert Q.run_gate(new, "src", ["tenure"], ["Contract"], history=history).first()["category_verdict"] == "stop"
+    gone = _batch(spark, 1000, 0.50).where("Contract = 'Two year'")  # share 1.0 against 0.5
+    r = Q.run_gate(gone, "src", ["tenure"], ["Contract"], history=history).first()
+    assert "Month-to-month" not in r["details"] and abs(r["worst_shift"] - 0.5) < 1e-9
 
 
 def test_gate_append_history(spark, history):
     path = tempfile.mkdtemp(prefix="gate-hist-")
+    assert Q.read_history(spark, os.path.join(path, "none")).count() == 0
     Q.append_run(history, path)
     back = spark.read.parquet(path)
     assert back.count() == 3 and Q.read_recent_runs(back, "src", 7).count() == 3
 
 
 @pytest.mark.parametrize("dev,v", [(0.19, "pass"), (0.20, "flag"), (0.49, "flag"), (0.50, "stop")])
-def test_volume_boundaries(dev, v):
-    assert Q.check_volume(int(round(1000 * (1 + dev))), [1000, 1000, 1000])["verdict"] == v
+def test_volume_boundaries(spark, history, dev, v):
+    r = Q.run_gate(_batch(spark, int(round(1000 * (1 + dev))), 0.5), "src", ["tenure"], ["Contract"], history=history).first()
+    assert r["volume_verdict"] == v
 
 
 # ------------------------------------------------------------------ drift
@@ -294,9 +315,9 @@ def test_append_rolls_back_bad_batch(spark):
     bad = spark.createDataFrame([(1, 0.2, 0, "r1"), (2, 0.9, 2, "r1")], "id long, probability double, label int, batch_run_id string")
     with pytest.raises(V.ContractError):
         MD.append_predictions(bad, path, "src")
-    assert not os.path.exists(path)
+    assert not [f for _d, _s, fs in os.walk(path) for f in fs if f.endswith('.parquet')]  # a failed job commits nothing
     good = spark.createDataFrame([(1, 0.2, 0, "r1")], "id long, probability double, label int, batch_run_id string")
-    MD.append_predictions(good, path, "src")
+    assert MD.append_predictions(good, path, "src") == 1
     MD.append_predictions(good, path, "src")  # retry of the same run replaces its partition
     assert spark.read.parquet(path).count() == 1
 
