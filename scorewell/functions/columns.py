@@ -21,9 +21,9 @@ def residual(total, tenure, monthly) -> Column:
 
 
 def safe_ratio(num, den, default: float = 1.0) -> Column:
-    """``num / den`` with a zero (or null) denominator or any null result -> ``default``."""
-    return F.coalesce(F.try_divide(_c(num).cast("double"), _c(den).cast("double")),
-                      F.lit(float(default)))
+    """``num / den``; a zero or missing denominator, or a null or NaN result -> ``default``."""
+    r = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
+    return F.when(r.isNull() | F.isnan(r), F.lit(float(default))).otherwise(r)
 
 
 def interval_bin(c, edges: Sequence[float], labels: Sequence[str]) -> Column:

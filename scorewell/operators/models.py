@@ -68,7 +68,7 @@ def train_evaluate(spark: SparkSession, name: str, estimator, features: Sequence
                        "pr_auc": r["average_precision"], "f1": r["f1"], "recall": r["recall"],
                        "precision": r["precision"]}
     except Exception as e:  # noqa: BLE001 - recorded, not raised
-        return None, {"model": name, "status": "failed", "error": str(e)[:500], "roc_auc": None,
+        return None, {"model": name, "status": "failed", "error": str(e), "roc_auc": None,
                       "pr_auc": None, "f1": None, "recall": None, "precision": None}
 
 

@@ -60,7 +60,7 @@ def alert_repeat(spark, sf_dir):
 
     def sink(batch, batch_id):
         batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-    J.run_available_now(n, "alert_repeat", sink)
+    J.run_available_now(n, "alert_repeat", out, sink)
     r = spark.read.parquet(out)
     return r.select("rule", F.col("series").cast("bigint").alias("user_id"), "ts_us")
 
@@ -70,14 +70,11 @@ def request_windows_stream(spark, sf_dir):
     s = _event_stream(spark, sf_dir)
     w = J.request_windows(s, "ts", F.col("event_type") == "error", "value")
     out = shared_path(spark, "scorewell-stream-out", os.urandom(8).hex())
-    spark_ = spark
 
     def sink(batch, batch_id):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             os.path.join(out, f"b={batch_id}"))
-    q = (w.writeStream.outputMode("update").trigger(availableNow=True)
-         .option("checkpointLocation", J.checkpoint_for(spark_, "windows")).foreachBatch(sink).start())
-    q.awaitTermination()
+    J.run_available_now(w, "windows", out, sink, mode="update")
     r = spark.read.parquet(out)
     latest = r.groupBy("window_start").agg(F.max_by(F.struct("requests", "errors", "rate", "error_pct"),
                                                     F.col("batch_id")).alias("x"))
@@ -86,10 +83,31 @@ def request_windows_stream(spark, sf_dir):
                          r6(F.col("x.error_pct")).alias("error_pct"))
 
 
-QUERIES = {"score_stream": score_stream, "dead_letter": dead_letter, "alert_repeat": alert_repeat,
+def completed_runs(spark, sf_dir):
+    """A run log from ``events`` (a user is a generation, a purchase completes it):
+    the times at which each becomes completed, and the score of its rows so far."""
+    log = _event_stream(spark, sf_dir).withColumn("status", F.when(F.col("event_type") == "purchase", "completed").otherwise("running"))
+    out = shared_path(spark, "scorewell-stream-out", os.urandom(8).hex())
+    events = table(spark, sf_dir, "events")
+
+    def handle(batch, batch_id):
+        rows = events.join(batch.select(F.col("generation_id").cast("bigint").alias("user_id")).distinct(), "user_id", "left_semi")
+        scored = rows.select("user_id", _score_col().alias("score")).groupBy("user_id").agg(F.count("*").alias("n_scored"))
+        batch.withColumn("user_id", F.col("generation_id").cast("bigint")).join(scored, "user_id") \
+            .select("user_id", "completed_us", "n_scored").write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+    J.score_completed_runs(J.completed_runs(log, "user_id", "status", "ts", "event_id"), "completed_runs", out, handle)
+    return spark.read.parquet(out).select("user_id", "completed_us", "n_scored")
+
+
+QUERIES = {"completed_runs": completed_runs, "score_stream": score_stream, "dead_letter": dead_letter, "alert_repeat": alert_repeat,
            "request_windows_stream": request_windows_stream}
 
 ORACLE = {
+    "completed_runs": """
+WITH l AS (SELECT user_id, epoch_us(ts) AS completed_us, event_type = 'purchase' AS done,
+                  lag(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+n AS (SELECT user_id, count(*) AS n_scored FROM events GROUP BY user_id)
+SELECT user_id, completed_us, n_scored FROM l JOIN n USING (user_id) WHERE done AND NOT coalesce(before, false)""",
     "score_stream": """
 SELECT event_id, round(1.0 / (1.0 + exp(-(value / 100.0 - 1.0))), 6) AS score FROM events
 WHERE value IS NOT NULL AND NOT isnan(value) AND value BETWEEN 0 AND 300

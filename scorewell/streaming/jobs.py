@@ -5,7 +5,8 @@ The reference polls; here the same work runs as streaming queries:
 * ``request_windows``: watermarked sliding windows (T1, T3) and histogram
   quantiles (T2) over a request stream.
 * ``notify_with_repeat``: alert routing with repeat suppression (T7), a
-  stateful ``applyInPandasWithState`` whose state is one timestamp per key.
+  stateful ``applyInPandasWithState`` whose state is one timestamp per key and
+  expires with the repeat interval.
 * ``score_stream``: per-record scoring with a dead-letter sink (T9, V2); each
   micro-batch is written once per batch id, so a retried batch overwrites its
   own output.
@@ -13,18 +14,22 @@ The reference polls; here the same work runs as streaming queries:
   version changes, keep the old model when loading fails (T10).
 * ``snapshot_batch``: every metric spec in its own try block, appended per
   micro-batch (T4, S15).
-* ``score_completed_runs``: event-driven scoring of completed generations (T8).
+* ``completed_runs`` / ``score_completed_runs``: event-driven scoring of runs that
+  become completed (T8); the state is the last status per generation.
 
-Checkpoints live under the session's ``spark.checkpoint.dir``.
+Checkpoints live under the session's ``spark.checkpoint.dir``, at a name made of
+the job and its sink: the same job on the same sink resumes where it stopped,
+and a batch id is never used for two inputs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
-import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,24 +43,27 @@ from scorewell.session import shared_path
 REPEAT_INTERVAL = {"drift": dt.timedelta(hours=4), "pipeline": dt.timedelta(hours=1)}
 
 
-def checkpoint_for(spark: SparkSession, name: str) -> str:
-    return shared_path(spark, "scorewell-streams", f"{name}-{uuid.uuid4().hex}")
+def checkpoint_for(spark: SparkSession, name: str, sink: str) -> str:
+    """The checkpoint of one job on one sink."""
+    return shared_path(spark, "scorewell-streams", f"{name}-{hashlib.sha256(sink.encode()).hexdigest()[:24]}")
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.format("parquet").schema(schema)
-    if os.path.isfile(path):  # a single file: read it as a one-file glob of its folder
-        r = r.option("basePath", os.path.dirname(path))
-        path = os.path.join(os.path.dirname(path), "{" + os.path.basename(path) + "}")
+    """Stream of a Parquet file or folder; named as a pattern of its parent, so both
+    work and no local file access is needed."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    r = spark.readStream.format("parquet").schema(schema).option("basePath", parent)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(path)
+    return r.load(f"{parent}/{{{name}}}")
 
 
-def run_available_now(df: DataFrame, name: str, batch_fn: Callable[[DataFrame, int], None]) -> None:
-    """Process everything available with ``foreachBatch``, then stop."""
-    spark = df.sparkSession
-    q = (df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint_for(spark, name))
+def run_available_now(df: DataFrame, name: str, sink: str, batch_fn: Callable[[DataFrame, int], None],
+                      mode: str = "append") -> None:
+    """Process everything new with ``foreachBatch``, then stop; ``sink`` names the
+    output and with it the checkpoint."""
+    q = (df.writeStream.outputMode(mode).trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint_for(df.sparkSession, name, sink))
          .foreachBatch(batch_fn).start())
     q.awaitTermination()
     if q.exception():
@@ -81,31 +89,47 @@ def request_windows(stream: DataFrame, time_col: str, is_error: Column, latency:
 
 
 # ---------------------------------------------------------------- T7
+def sent_times(times: np.ndarray, interval: int, last: int | None) -> list[int]:
+    """Of ascending firing times, those that are sent: the first, then each first one
+    at least ``interval`` after the one sent before."""
+    out = []
+    i = 0 if last is None else int(np.searchsorted(times, last + interval))
+    while i < len(times):
+        out.append(int(times[i]))
+        i = int(np.searchsorted(times, out[-1] + interval))
+    return out
+
+
 def _fold_notifications(key, pdfs: Iterator[pd.DataFrame], state):
-    interval_s = None
+    if state.hasTimedOut:  # nothing sent for a whole interval: the next firing is sent anyway
+        state.remove()
+        yield pd.DataFrame({"rule": [], "series": [], "ts_us": []})
+        return
+    interval = int(REPEAT_INTERVAL.get(key[2], dt.timedelta(hours=1)).total_seconds() * 1_000_000)
+    # a group's rows come in chunks of any order: gather its times, then sort once
+    times = np.sort(np.concatenate([p["ts_us"].to_numpy(np.int64) for p in pdfs]))
     last = state.get[0] if state.exists else None
-    out = []
-    for pdf in pdfs:
-        pdf = pdf.sort_values(["ts_us"], kind="stable")
-        for route, ts in zip(pdf["route"], pdf["ts_us"]):
-            if interval_s is None:
-                interval_s = REPEAT_INTERVAL.get(route, dt.timedelta(hours=1)).total_seconds()
-            if last is None or ts >= last + int(interval_s * 1_000_000):
-                out.append(int(ts))
-                last = int(ts)
-    if last is not None:
-        state.update((last,))
+    out = sent_times(times, interval, last)
+    last = out[-1] if out else last
+    state.update((last,))
+    state.setTimeoutTimestamp(max((last + interval) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
     yield pd.DataFrame({"rule": [key[0]] * len(out), "series": [key[1]] * len(out), "ts_us": out})
 
 
-def notify_with_repeat(firings: DataFrame, rule: str, series: str, time_col: str, route: Column) -> DataFrame:
-    """A firing is sent when nothing was sent for the same (rule, series) within the
-    route's repeat interval.  State per key: the last sent time."""
-    f = firings.select(F.col(rule).alias("rule"), F.col(series).cast("string").alias("series"),
-                       F.unix_micros(F.col(time_col).cast("timestamp")).alias("ts_us"), route.alias("route"))
-    return f.groupBy("rule", "series").applyInPandasWithState(
+def notify_with_repeat(firings: DataFrame, rule: str, series: str, time_col: str, route: Column,
+                       watermark: str = "1 day") -> DataFrame:
+    """A firing is sent when nothing was sent for the same (rule, series, route)
+    within the route's repeat interval.
+
+    State per key: the last sent time, dropped when the watermark passes its
+    interval.  Firings later than the watermark are not considered.
+    """
+    f = firings.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark).select(
+        F.col(rule).alias("rule"), F.col(series).cast("string").alias("series"), route.alias("route"),
+        F.unix_micros("_at").alias("ts_us"), "_at")
+    return f.groupBy("rule", "series", "route").applyInPandasWithState(
         _fold_notifications, "rule string, series string, ts_us long", "last_sent long", "append",
-        GroupStateTimeout.NoTimeout)
+        GroupStateTimeout.EventTimeTimeout)
 
 
 # ---------------------------------------------------------------- T9 / V2
@@ -128,7 +152,7 @@ def score_stream(stream: DataFrame, contract: V.Contract, score: Column, keep: S
         good, bad = score_and_route(batch, contract, score, keep)
         good.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(out_dir, "dead_letter", f"batch_id={batch_id}"))
-    run_available_now(stream, name, handle)
+    run_available_now(stream, name, out_dir, handle)
 
 
 # ---------------------------------------------------------------- T10
@@ -162,26 +186,46 @@ def snapshot_batch(batch: DataFrame, specs: Mapping[str, Callable[[DataFrame], D
     """Evaluate every spec on the micro-batch; one failing spec does not stop the others.
     An empty result writes nothing and is not an error."""
     status = {}
+    batch = batch.persist()  # every spec reads it
     for name, fn in specs.items():
         try:
-            rows = fn(batch)
-            rows.write.mode("overwrite").parquet(os.path.join(path, f"spec={name}", f"batch_id={batch_id}"))
+            rows = fn(batch).persist()
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(os.path.join(path, f"spec={name}", f"batch_id={batch_id}"))
+            rows.unpersist()
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001 - isolated per spec
-            status[name] = f"failed: {str(e)[:200]}"
+            status[name] = f"failed: {e}"
+    batch.unpersist()
     return status
 
 
 # ---------------------------------------------------------------- T8
-def score_completed_runs(runs: DataFrame, name: str, on_generation: Callable[[str], None]) -> None:
-    """Each run that *becomes* completed triggers scoring of exactly that generation.
+def _fold_status(key, pdfs: Iterator[pd.DataFrame], state):
+    rows = pd.concat(list(pdfs)).sort_values(["ts_us", "seq"], kind="stable")
+    done = (rows["status"] == "completed").to_numpy()
+    before = np.concatenate([[state.get[0] if state.exists else False], done[:-1]])
+    state.update((bool(done[-1]),))
+    at = rows["ts_us"].to_numpy()[done & ~before]
+    yield pd.DataFrame({"generation_id": [key[0]] * len(at), "completed_us": at})
+
 
-    ``runs`` is a stream of run-log rows (generation_id, status, ...).  Within a
-    micro-batch the completed generations are deduplicated; ``on_generation`` must
-    be idempotent (the prediction sink overwrites the generation's partition).
+def completed_runs(runs: DataFrame, generation: str, status: str, time_col: str, seq: str) -> DataFrame:
+    """One row each time a run *becomes* completed (K8 on a stream).
+
+    State per generation: whether its last status was completed, so a repeated
+    ``completed`` in a later micro-batch does not fire again.  Rows are ordered by
+    time and ``seq`` within a micro-batch.
     """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        done = batch.where(F.col("status") == "completed").select("generation_id").distinct().collect()
-        for r in done:  # one row per completed generation (run-log rows, not data rows)
-            on_generation(r["generation_id"])
-    run_available_now(runs, name, handle)
+    r = runs.select(F.col(generation).cast("string").alias("generation_id"), F.col(status).alias("status"),
+                    F.unix_micros(F.col(time_col).cast("timestamp")).alias("ts_us"), F.col(seq).cast("long").alias("seq"))
+    return r.groupBy("generation_id").applyInPandasWithState(
+        _fold_status, "generation_id string, completed_us long", "done boolean", "append", GroupStateTimeout.NoTimeout)
+
+
+def score_completed_runs(completed: DataFrame, name: str, sink: str,
+                         on_generations: Callable[[DataFrame, int], None]) -> None:
+    """Hand each micro-batch of newly completed runs to ``on_generations`` as a
+    DataFrame: the handler reads their rows by a semi join (S2), scores (M6) and
+    appends (S11) them all in one job.  It must be idempotent per batch id."""
+    run_available_now(completed, name, sink, on_generations)
