@@ -19,10 +19,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scorewell.operators.ordered import pick_by_rank, running_totals, with_totals
 
@@ -215,56 +213,44 @@ def chi2_statistic(long: DataFrame, categorical: Sequence[str]) -> DataFrame:
                     F.col("n_categories").cast("int").alias("n_categories")))
 
 
-def chi2_sf(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution (regularised upper incomplete gamma)."""
-    if x is None or dof is None or math.isnan(x):
-        return float("nan")
-    if dof <= 0:
-        return 1.0
-    if x <= 0:
-        return 1.0
-    a, z = dof / 2.0, x / 2.0
-    gln = math.lgamma(a)
-    if z < a + 1:  # series for P, then Q = 1 - P
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(10_000):
-            ap += 1
-            d *= z / ap
-            s += d
-            if abs(d) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-z + a * math.log(z) - gln))
-    # continued fraction for Q (modified Lentz)
-    b = z + 1 - a
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        de = d * c
-        h *= de
-        if abs(de - 1) < 1e-15:
-            break
-    return min(1.0, math.exp(-z + a * math.log(z) - gln) * h)
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_pvalue_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    """Per-feature p-value (one row per feature reaches Python)."""
-    return pd.Series([1.0 if (d is None or pd.isna(d) or d < 1) else chi2_sf(float(v), int(d))
-                      for v, d in zip(x, dof)], dtype="float64")
+def erfc(z: Column, terms: int = 80) -> Column:
+    """Complementary error function of z >= 0: the power series up to 2.5, the
+    continued fraction (evaluated from its end) above."""
+    k = F.sequence(F.lit(1), F.lit(terms))
+    start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+
+    def add(acc: Column, n: Column) -> Column:
+        t = acc["t"] * 2.0 * z * z / (2 * n + 1)
+        return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
+
+    series = 1.0 - 2.0 / math.sqrt(math.pi) * z * F.exp(-z * z) * F.aggregate(k, start, add, lambda acc: acc["s"])
+    far = F.aggregate(F.reverse(k), F.lit(1.0), lambda f, n: 1.0 + n / (2.0 * z * z) / f)
+    return F.when(z <= 2.5, series).otherwise(F.exp(-z * z) / (z * math.sqrt(math.pi) * far))
+
+
+def chi2_sf(x: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution for whole degrees of freedom, as a
+    finite sum of Poisson-like terms (plus erfc when dof is odd); 1 where dof < 1 or x <= 0."""
+    z = x.cast("double") / 2.0
+    odd = dof % 2 == 1
+    first = F.when(odd, 2.0 * F.sqrt(z / math.pi) * F.exp(-z)).otherwise(F.exp(-z))
+    half = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    n_terms = F.floor(dof / 2).cast("int")
+    start = F.struct(first.alias("t"), F.lit(0.0).alias("s"))
+
+    def add(acc: Column, k: Column) -> Column:
+        return F.struct((acc["t"] * z / (k + half)).alias("t"), (acc["s"] + acc["t"]).alias("s"))
+
+    total = F.aggregate(F.when(n_terms > 0, F.sequence(F.lit(1), n_terms)).otherwise(F.array().cast("array<int>")),
+                        start, add, lambda acc: acc["s"])
+    tail = total + F.when(odd, erfc(F.sqrt(z))).otherwise(F.lit(0.0))
+    return F.when(x.isNull() | dof.isNull() | (dof < 1) | (x <= 0), F.lit(1.0)).otherwise(F.least(F.lit(1.0), tail))
 
 
 def chi2(long: DataFrame, categorical: Sequence[str]) -> DataFrame:
     s = chi2_statistic(long, categorical)
     return s.withColumn("p_value", F.when(F.col("n_categories") < 2, F.lit(1.0))
-                        .otherwise(chi2_pvalue_udf(F.col("chi2_statistic"), F.col("dof"))))
+                        .otherwise(chi2_sf(F.col("chi2_statistic"), F.col("dof"))))
 
 
 def verdict(psi_col: Column, p_col: Column) -> Column:
@@ -303,6 +289,8 @@ def drift_check(baseline: DataFrame, current: DataFrame, feature_types: Mapping[
     out = p.join(t, "feature", "left").select(
         "feature", "feature_type", "psi", "statistical_test", "statistic", "p_value",
         verdict(F.col("psi"), F.col("p_value")).alias("verdict"),
+        F.when(F.coalesce("n_baseline", F.lit(0)) == 0, "empty baseline").when(F.coalesce("n_current", F.lit(0)) == 0, "empty current")
+        .alias("reason"),
         F.col("n_baseline").cast("bigint").alias("sample_size_baseline"),
         F.col("n_current").cast("bigint").alias("sample_size_current"))
     rows = out.collect()  # one row per feature

@@ -18,17 +18,19 @@ from scorewell.operators.ordered import null_safe_join, pick_by_rank, running_to
 RECALL_FLOOR = 0.60
 
 
-def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
-    """(keys, score, pos, neg) with one row per distinct score; null scores / labels dropped."""
+def score_counts(df: DataFrame, keys: Sequence[str], score: str, label: str, weight: str | None = None) -> DataFrame:
+    """(keys, score, pos, neg) with one row per distinct score; null scores / labels
+    dropped.  ``weight``: a column with the number of rows that each row stands for."""
+    w = F.col(weight) if weight else F.lit(1)
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(score))
             .groupBy(*keys, score)
-            .agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-                 F.sum((F.col(label) != 1).cast("bigint")).alias("neg")))
+            .agg(F.sum((F.col(label) == 1).cast("bigint") * w).alias("pos"),
+                 F.sum((F.col(label) != 1).cast("bigint") * w).alias("neg")))
 
 
-def curve(df: DataFrame, keys: Sequence[str], score: str = "score", label: str = "y") -> DataFrame:
+def curve(df: DataFrame, keys: Sequence[str], score: str = "score", label: str = "y", weight: str | None = None) -> DataFrame:
     """One point per distinct score: ``tp, fp`` of ``score >= threshold``, precision, recall, fpr."""
-    sc = score_counts(df, keys, score, label)
+    sc = score_counts(df, keys, score, label, weight)
     rt = running_totals(sc, keys, [score], ["pos", "neg"], descending=True)
     rt = with_totals(rt, keys, {"_p": F.col("pos"), "_n": F.col("neg")})
     P, N = F.col("_p").cast("double"), F.col("_n").cast("double")

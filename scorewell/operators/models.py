@@ -95,14 +95,16 @@ def weight_search(df: DataFrame, probs: Sequence[str], label: str = "y",
                   values: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:
     """M5: average precision of the soft vote for every weight tuple, scored in ONE job.
 
-    Each row is expanded by the fixed parameter grid (``len(values) ** k`` tuples,
-    a literal), then the metric is grouped by the tuple.
+    Rows are first reduced to distinct (label, probabilities) with counts; only that
+    table is expanded by the fixed grid (``len(values) ** k`` tuples, a literal), and
+    equal scores collapse again before the metric is grouped by the tuple.
     """
     grid = weight_grid(len(probs), values)
     wnames = [f"w{i + 1}" for i in range(len(probs))]
     arr = F.array(*[F.struct(*[F.lit(int(v)).alias(n) for v, n in zip(t, wnames)]) for t in grid])
-    e = df.select(label, *probs, F.explode(arr).alias("_w")).select(label, *probs, *[F.col(f"_w.{n}").alias(n)
-                                                                                     for n in wnames])
+    few = df.groupBy(label, *probs).agg(F.count(F.lit(1)).alias("_rows"))
+    e = few.select(label, *probs, "_rows", F.explode(arr).alias("_w")) \
+        .select(label, *probs, "_rows", *[F.col(f"_w.{n}").alias(n) for n in wnames])
     num = F.col(probs[0]) * F.col(wnames[0])
     for p, n in zip(probs[1:], wnames[1:]):
         num = num + F.col(p) * F.col(n)
@@ -110,7 +112,7 @@ def weight_search(df: DataFrame, probs: Sequence[str], label: str = "y",
     for n in wnames[1:]:
         den = den + F.col(n)
     e = e.withColumn("score", num / den)
-    return M.average_precision(e, wnames, label=label)
+    return M.average_precision(e, wnames, label=label, points=M.curve(e, wnames, label=label, weight="_rows"))
 
 
 # ---------------------------------------------------------------- selection

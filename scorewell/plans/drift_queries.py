@@ -104,3 +104,21 @@ SELECT feature,
        CAST(max(k) - 1 AS INTEGER) AS dof, CAST(max(k) AS INTEGER) AS n_categories
 FROM x GROUP BY feature""",
 }
+
+# p of chi-square: exp(-x/2) for 2 degrees of freedom; erfc(sqrt(x/2)) by its series for 1 (below 5e-7 beyond 26)
+ORACLE["drift_check"] = f"""WITH psi AS ({ORACLE['drift_psi']}), ks AS ({ORACLE['drift_ks']}), chi AS ({ORACLE['drift_chi2']}),
+sizes AS (SELECT feature, count(*) FILTER (WHERE side = 'baseline') AS nb, count(*) FILTER (WHERE side = 'current') AS nc
+          FROM (WITH {_LONG} SELECT * FROM cats) GROUP BY feature),
+t AS (
+  SELECT feature, 'ks' AS statistical_test, ks_statistic AS statistic, p_value, n_baseline AS nb, n_current AS nc FROM ks
+  UNION ALL
+  SELECT feature, 'chi2', chi2_statistic,
+         CASE WHEN n_categories < 2 THEN 1.0 WHEN dof = 2 THEN exp(-chi2_statistic / 2) WHEN chi2_statistic > 26 THEN 0.0
+              ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 60), lambda n: pow(-1.0, n)
+                   * pow(sqrt(chi2_statistic / 2), 2 * n + 1) / (exp(lgamma(n + 1.0)) * (2 * n + 1)))) END, nb, nc
+  FROM chi JOIN sizes USING (feature)
+)
+SELECT feature, feature_type, psi, statistical_test, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
+       CASE WHEN psi >= 0.25 OR p_value < 0.01 THEN 'stop' WHEN psi >= 0.1 OR p_value < 0.05 THEN 'flag' ELSE 'pass' END AS verdict,
+       CAST(nb AS BIGINT) AS sample_size_baseline, CAST(nc AS BIGINT) AS sample_size_current
+FROM psi JOIN t USING (feature)"""

@@ -396,6 +396,8 @@ i AS (
          rank() OVER (PARTITION BY pair ORDER BY y) + (count(*) OVER (PARTITION BY pair, y) - 1) / 2.0 AS ry FROM long
 ), s AS (SELECT pair, corr(rx, ry) AS sp FROM r GROUP BY pair)
 SELECT round(avg(sp), 6) AS consistency, CAST(avg(sp) >= 0.7 AS INTEGER) AS consistency_pass FROM s""",
+    "hash_sample": """SELECT l_orderkey || '-' || l_linenumber AS row_id, l_quantity, l_returnflag FROM lineitem
+ORDER BY md5(l_orderkey || '-' || l_linenumber || ':42'), row_id LIMIT 1000""",
     "class_weights": """WITH c AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, count(*) AS n FROM lineitem GROUP BY 1),
 t AS (SELECT sum(n) AS tot, count(*) AS k FROM c)
 SELECT y, n, round(tot / (k * n), 6) AS weight, round(n * (tot / (k * n)), 6) AS weight_sum FROM c, t""",

@@ -184,8 +184,9 @@ def test_volume_boundaries(spark, history, dev, v):
 @pytest.mark.parametrize("x,k,p", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
                                    (11.070497693516351, 5, 0.05), (6.6348966010212145, 1, 0.01),
                                    (0.0, 3, 1.0), (100.0, 4, 1.3014e-20)])
-def test_chi2_sf(x, k, p):
-    assert D.chi2_sf(x, k) == pytest.approx(p, rel=1e-4)
+def test_chi2_sf(spark, x, k, p):
+    got = spark.range(1).select(D.chi2_sf(F.lit(x), F.lit(k)).alias("p")).first()["p"]
+    assert got == pytest.approx(p, rel=1e-4)
 
 
 def _long(spark, base, cur, feature="f", kind="num"):
@@ -213,6 +214,21 @@ def test_psi_and_ks_numeric(spark):
     assert ks_shift["ks_statistic"] == pytest.approx(d)
 
 
+@pytest.mark.parametrize("kind", ["num", "cat"])
+def test_empty_current_side_has_no_psi(spark, kind):
+    base = [1.0, 2.0, 3.0, 4.0] if kind == "num" else ["A", "B", "A"]
+    r = D.psi(_long(spark, base, [], kind=kind), {"f": "numeric" if kind == "num" else "categorical"}).first()
+    assert r["psi"] is None
+
+
+def test_drift_check_names_the_empty_side(spark):
+    b = spark.createDataFrame([(float(i), "A" if i % 2 else "B") for i in range(40)], "x double, c string")
+    rows = D.drift_check(b, b.limit(0), {"x": "numeric", "c": "categorical"}).collect()
+    assert {(r["verdict"], r["reason"]) for r in rows} == {("flag", "empty current")}
+    rows = D.drift_check(b, b, {"x": "numeric", "c": "categorical"}).collect()
+    assert {(r["verdict"], r["reason"]) for r in rows} == {("pass", None)}
+
+
 def test_psi_constant_baseline_is_zero(spark):
     assert D.psi(_long(spark, [42] * 50, [1, 2, 3]), {"f": "numeric"}).first()["psi"] == 0.0
 
