@@ -115,4 +115,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_suffix_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT r, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM d),
+s AS (SELECT r, i, word, CASE WHEN count(*) OVER win = 35 THEN string_agg(word, ' ') OVER win END AS passage FROM w
+      WINDOW win AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+p AS (SELECT passage FROM s WHERE passage IS NOT NULL GROUP BY passage HAVING count(*) > 1),
+c AS (SELECT r, i, word, max(CASE WHEN p.passage IS NOT NULL THEN 1 ELSE 0 END)
+             OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+      FROM s LEFT JOIN p USING (passage)),
+k AS (SELECT r, sum(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS kept FROM c GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)""",
+}
