@@ -17,12 +17,13 @@ All features are handled in one job per statistic: values are unpivoted to
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.operators.ordered import pick_by_rank, running_totals, with_totals
+from scorewell.operators.sampling import hash_sample
 
 # PSI bins, clipping, verdict thresholds, baseline sample size.
 PSI_BINS = 10
@@ -323,6 +324,16 @@ def baseline_long(df: DataFrame, columns: Sequence[str], computed_at: Column | N
             .withColumn("computed_at", at))
 
 
+def build_baseline(df: DataFrame, key: str, prepare: Callable[[DataFrame], DataFrame], features: Sequence[str],
+                   output: str, n: int = BASELINE_SAMPLE_SIZE, seed: int = 42, computed_at: Column | None = None) -> DataFrame:
+    """The long baseline of a fixed seeded sample.
+
+    S4 sample of ``n`` rows -> ``prepare`` (preparation and scoring of the sample
+    only) -> S13 long form of the features and the model output.
+    """
+    return baseline_long(prepare(hash_sample(df, n, key, seed)), [*features, output], computed_at)
+
+
 def read_baseline(spark, path: str) -> DataFrame:
     """The stored long baseline ``(feature_name, value, computed_at)``; error if empty.
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from scorewell.functions.columns import label_from_threshold
 from scorewell.operators import metrics as M
 from scorewell.operators import validate as V
+from scorewell.operators.latest import latest
 
 # Production threshold, candidate filter, promotion advisory gap.
 DEFAULT_THRESHOLD = 0.6238
@@ -319,6 +320,13 @@ def per_version(pred: DataFrame, version: str = "model_version", prob: str = "pr
     return pred.groupBy(version).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_probability"))
 
 
+def latest_with_features(predictions: DataFrame, raw: DataFrame, key: str, version: str, order: Sequence[str],
+                         version_col: str = "model_version") -> DataFrame:
+    """The newest stored prediction of the active version per key, with its raw
+    features (a prediction of another version is not comparable)."""
+    return latest(predictions.where(F.col(version_col) == version), [key], order).join(raw, key)
+
+
 def cv_pr_auc(df: DataFrame, features: Sequence[str], estimator, label: str = "y", fold: str = "fold",
               resample=None) -> float:
     """M4: mean PR-AUC over the folds of ``df`` (``fold`` from ``sampling.kfold``).

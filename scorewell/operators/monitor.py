@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorewell.functions.columns import run_status_code, verdict_code
+
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("metric_name", T.StringType()),
     T.StructField("value", T.DoubleType()),
@@ -146,3 +148,65 @@ def metric_samples(df: DataFrame, name: str, value: Column, labels: dict[str, Co
         else F.create_map().cast("map<string,string>")
     return df.select(F.lit(name).alias("metric_name"), value.cast("double").alias("value"),
                      lab.alias("labels"), at.cast("timestamp").alias("computed_at"))
+
+
+def metric_specs(tables: dict[str, DataFrame], now: Column) -> dict:
+    """T4: the twelve named metrics as functions that give snapshot rows.
+
+    ``tables``: requests (at, status, is_error, latency_ms), flow_runs (flow_name,
+    status, duration_s, ended_at), gate_runs (source_table, verdict, run_at),
+    predictions (source_table, predicted_at), drift (feature_name, psi, p_value,
+    verdict, computed_at).  Request metrics cover the five minutes before ``now``;
+    the others are each label's newest value.  Nothing runs until a function is
+    called, so a missing or broken table fails its own specs only.
+    """
+    def recent() -> DataFrame:
+        r = tables["requests"]
+        return r.where((F.col("at") > now - F.expr("INTERVAL 5 MINUTES")) & (F.col("at") <= now))
+
+    def rate() -> DataFrame:
+        r = recent().groupBy(status_class(F.col("status")).alias("status")).agg((F.count(F.lit(1)) / 300.0).alias("v"))
+        return metric_samples(r, "api_request_rate_per_second", F.col("v"), {"status": F.col("status")}, now)
+
+    def quantile(q: float) -> DataFrame:
+        idx = F.size(F.filter(F.array(*[F.lit(float(b)) for b in LATENCY_BUCKETS_MS]), lambda b: b < F.col("latency_ms")))
+        h = recent().where("latency_ms is not null").agg(F.array(*[F.coalesce(F.sum((idx == i).cast("bigint")), F.lit(0))
+                                                                   for i in range(len(LATENCY_BUCKETS_MS))]).alias("counts"))
+        h = h.withColumn("cum", cumulative(F.col("counts")))
+        v = histogram_quantile(q, F.col("counts"), F.col("cum")) / 1000.0
+        return metric_samples(h.where(F.element_at("cum", -1) > 0), f"api_latency_p{int(q * 100)}_seconds", v, {}, now)
+
+    def errors() -> DataFrame:
+        e = recent().agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_error").cast("bigint")).alias("e")).where("n > 0")
+        return metric_samples(e, "api_error_rate_percent", 100.0 * F.col("e") / F.col("n"), {}, now)
+
+    def newest(name: str, table: str, label: str, value: Column, at: str) -> DataFrame:
+        g = tables[table].where(F.col(at) <= now).groupBy(label).agg(F.max_by(value, F.struct(F.col(at), value)).alias("v"))
+        return metric_samples(g.where("v is not null"), name, F.col("v"), {label: F.col(label)}, now)
+
+    def age() -> DataFrame:
+        g = tables["predictions"].groupBy("source_table").agg(F.max("predicted_at").alias("at"))
+        v = (F.unix_micros(now) - F.unix_micros(F.col("at").cast("timestamp"))) / 1e6
+        return metric_samples(g, "predictions_staleness_seconds", v, {"source_table": F.col("source_table")}, now)
+
+    return {
+        "api_request_rate_per_second": rate,
+        **{f"api_latency_p{int(q * 100)}_seconds": (lambda q=q: quantile(q)) for q in (0.50, 0.95, 0.99)},
+        "api_error_rate_percent": errors,
+        "pipeline_flow_status": lambda: newest("pipeline_flow_status", "flow_runs", "flow_name", run_status_code("status"), "ended_at"),
+        "pipeline_flow_duration_seconds": lambda: newest("pipeline_flow_duration_seconds", "flow_runs", "flow_name", F.col("duration_s"), "ended_at"),
+        "quality_gate_verdict": lambda: newest("quality_gate_verdict", "gate_runs", "source_table", verdict_code("verdict"), "run_at"),
+        "predictions_staleness_seconds": age,
+        "drift_psi": lambda: newest("drift_psi", "drift", "feature_name", F.col("psi"), "computed_at"),
+        "drift_pvalue": lambda: newest("drift_pvalue", "drift", "feature_name", F.col("p_value"), "computed_at"),
+        "drift_verdict": lambda: newest("drift_verdict", "drift", "feature_name", verdict_code("verdict"), "computed_at"),
+    }
+
+
+def publish(published: DataFrame, fresh: DataFrame) -> DataFrame:
+    """T5: the newest value per (metric, labels) of what was published and a new
+    snapshot; a spec that failed has no fresh rows, so its last value stays."""
+    key = F.to_json("labels").alias("_labels")
+    both = published.unionByName(fresh).select("*", key)
+    return both.groupBy("metric_name", "_labels").agg(F.max_by(F.struct("value", "labels", "computed_at"), F.struct("computed_at", "value")).alias("x")) \
+        .select("metric_name", "x.value", "x.labels", "x.computed_at")

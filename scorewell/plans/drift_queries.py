@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.functions.columns import r6
 from scorewell.operators import drift as D
 from scorewell.plans.tables import table
+from scorewell.session import shared_path
 
 # Fixed values of the fixture.
 CUTOFF = "1998-01-01"
@@ -47,7 +50,26 @@ def drift_check(spark, sf_dir):
                       "sample_size_baseline", "sample_size_current")
 
 
-QUERIES = {"drift_psi": drift_psi, "drift_ks": drift_ks, "drift_chi2": drift_chi2, "drift_check": drift_check}
+def drift_baseline(spark, sf_dir):
+    """G6 + S13 + S8: 10,000 sampled lines, scored, stored long and read back."""
+    li = table(spark, sf_dir, "lineitem").withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    long = D.build_baseline(li, "row_id", lambda d: d.withColumn("score", 0.02 * F.col("l_quantity") - F.col("l_discount")),
+                            ["l_quantity", "l_discount"], "score")
+    path = shared_path(spark, "scorewell-baseline", os.urandom(8).hex())
+    long.write.parquet(path)
+    b = D.read_baseline(spark, path)
+    return b.groupBy("feature").agg(F.count("num").alias("n"), r6(F.avg("num")).alias("mean"), r6(F.max("num")).alias("largest"))
+
+
+def drift_override(spark, sf_dir):
+    """S10 + A11: values from elsewhere (events) in place of one feature's current ones."""
+    over = table(spark, sf_dir, "events").where("value is not null").select(F.lit("l_tax").alias("feature"), (F.col("value") / 1000).alias("num"))
+    long = _long(spark, sf_dir).select("feature", "side", "num", "cat")
+    long = long.where(F.col("side") == D.BASE).unionByName(D.override_values(long.where(F.col("side") == D.CUR), over))
+    return D.psi(long, TYPES).select("feature", "feature_type", r6("psi").alias("psi"))
+
+
+QUERIES = {"drift_baseline": drift_baseline, "drift_override": drift_override, "drift_psi": drift_psi, "drift_ks": drift_ks, "drift_chi2": drift_chi2, "drift_check": drift_check}
 
 _LONG = """li AS (
   SELECT CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 'baseline' ELSE 'current' END AS side, * FROM lineitem
@@ -122,3 +144,14 @@ SELECT feature, feature_type, psi, statistical_test, round(statistic, 6) AS stat
        CASE WHEN psi >= 0.25 OR p_value < 0.01 THEN 'stop' WHEN psi >= 0.1 OR p_value < 0.05 THEN 'flag' ELSE 'pass' END AS verdict,
        CAST(nb AS BIGINT) AS sample_size_baseline, CAST(nc AS BIGINT) AS sample_size_current
 FROM psi JOIN t USING (feature)"""
+
+ORACLE["drift_override"] = ORACLE["drift_psi"].replace(
+    "UNION ALL SELECT side, 'l_tax', l_tax FROM li",
+    "UNION ALL SELECT side, 'l_tax', l_tax FROM li WHERE side = 'baseline'"
+    " UNION ALL SELECT 'current', 'l_tax', value / 1000 FROM events WHERE value IS NOT NULL")
+ORACLE["drift_baseline"] = """
+WITH s AS (SELECT l_quantity, l_discount, 0.02 * l_quantity - l_discount AS score FROM lineitem
+           ORDER BY md5(l_orderkey || '-' || l_linenumber || ':42'), l_orderkey || '-' || l_linenumber LIMIT 10000)
+SELECT feature, count(num) AS n, round(avg(num), 6) AS mean, round(max(num), 6) AS largest
+FROM (SELECT 'l_quantity' AS feature, CAST(l_quantity AS DOUBLE) AS num FROM s
+      UNION ALL SELECT 'l_discount', l_discount FROM s UNION ALL SELECT 'score', score FROM s) GROUP BY feature"""

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import map_values, r6, ts_micros
 from scorewell.operators import latest as L
+from scorewell.operators import models as MD
 from scorewell.operators import monitor as MO
-from scorewell.plans.tables import events
+from scorewell.plans.tables import events, table
 
 # Fixed values of the fixture.
 NOW = "2024-02-01 00:00:00"
@@ -109,7 +110,23 @@ def alerts(spark, sf_dir):
     return f.select("rule", "feature", r6("value").alias("value"))
 
 
-QUERIES = {
+def latest_prediction_features(spark, sf_dir):
+    """Newest event of the active "version" per user, joined to the customer row."""
+    pred = events(spark, sf_dir).select(F.col("user_id").alias("c_custkey"), "event_id", F.col("value").alias("probability"),
+                                        F.col("event_type").alias("model_version"), "ts")
+    raw = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    j = MD.latest_with_features(pred, raw, "c_custkey", "purchase", ["ts", "event_id"])
+    return j.select("c_custkey", "event_id", r6("probability").alias("probability"), r6("c_acctbal").alias("c_acctbal"), "c_mktsegment")
+
+
+def time_range(spark, sf_dir):
+    """K9: events of a fixed half-open range."""
+    r = L.time_range(events(spark, sf_dir), "ts", AS_OF, NOW)
+    return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
+
+
+QUERIES = {"latest_prediction_features": latest_prediction_features, "time_range": time_range,
+           
     "latest_state": latest_state, "as_of_state": as_of_state, "status_change": status_change,
     "staleness": staleness, "snapshot_gap": snapshot_gap, "request_rate": request_rate,
     "error_rate": error_rate, "latency_quantile": latency_quantile, "dashboard_join": dashboard_join,
@@ -134,6 +151,13 @@ _WIN = """w AS (
 )"""
 
 ORACLE = {
+    "latest_prediction_features": """
+WITH p AS (SELECT user_id AS c_custkey, max_by(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT c_custkey, event_id, round(value, 6) AS probability, round(c_acctbal, 6) AS c_acctbal, c_mktsegment
+FROM p JOIN events USING (event_id) JOIN customer USING (c_custkey)""",
+    "time_range": """
+SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-02-01 00:00:00' GROUP BY event_type""",
     "latest_state": """
 SELECT user_id, r.event_id AS event_id, r.event_type AS event_type, round(r.value, 6) AS value, epoch_us(r.ts) AS ts_us
 FROM (SELECT user_id, arg_max({'event_id': event_id, 'event_type': event_type, 'value': value, 'ts': ts}, (ts, event_id)) AS r

@@ -15,6 +15,7 @@ from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import ordered as O
 from scorewell.operators import quality as Q
+from scorewell.operators import sampling as S
 from scorewell.operators import validate as V
 from scorewell.operators import monitor as MO
 from scorewell.streaming.jobs import VersionedScorer
@@ -409,3 +410,71 @@ def test_small_operators(spark):
     assert n.select(V.one_of_filled("customer_id", "customer_key").alias("ok")).first()["ok"]
     assert MD.per_version(spark.createDataFrame([("v1", 0.2), ("v1", 0.4)], "model_version string, probability double")) \
         .first()["mean_probability"] == pytest.approx(0.3)
+
+
+def test_metric_specs_and_publication(spark):
+    """T4 / T5: twelve specs, each on its own; a failing one keeps its last value."""
+    import datetime as dt
+
+    t = dt.datetime(2024, 5, 1, 12)
+    ago = lambda s: t - dt.timedelta(seconds=s)
+    tables = {
+        "requests": spark.createDataFrame([(ago(10), 200, False, 3.0), (ago(20), 200, False, 8.0), (ago(30), 503, True, 40.0), (ago(900), 200, False, 1.0)],
+                                          "at timestamp, status int, is_error boolean, latency_ms double"),
+        "flow_runs": spark.createDataFrame([("f", "failed", 9.0, ago(99)), ("f", "completed", 5.0, ago(9))], "flow_name string, status string, duration_s double, ended_at timestamp"),
+        "gate_runs": spark.createDataFrame([("s", "flag", ago(5))], "source_table string, verdict string, run_at timestamp"),
+        "predictions": spark.createDataFrame([("s", ago(70)), ("s", ago(60))], "source_table string, predicted_at timestamp"),
+    }
+    specs = MO.metric_specs(tables, F.lit(t).cast("timestamp"))
+    assert len(specs) == 12
+    got, failed = {}, []
+    for name, fn in specs.items():
+        try:
+            for r in fn().collect():
+                got[name, tuple(sorted(r["labels"].items()))] = r["value"]
+        except KeyError:  # the drift table is missing
+            failed.append(name)
+    assert failed == ["drift_psi", "drift_pvalue", "drift_verdict"]
+    assert got["api_request_rate_per_second", (("status", "2xx"),)] == 2 / 300 and got["api_error_rate_percent", ()] == pytest.approx(100 / 3)
+    assert got["pipeline_flow_status", (("flow_name", "f"),)] == 1 and got["pipeline_flow_duration_seconds", (("flow_name", "f"),)] == 5.0
+    assert got["quality_gate_verdict", (("source_table", "s"),)] == 1 and got["predictions_staleness_seconds", (("source_table", "s"),)] == 60.0
+    assert got["api_latency_p50_seconds", ()] == pytest.approx(0.0075)
+    fresh = specs["quality_gate_verdict"]()
+    old = spark.createDataFrame([("drift_psi", 0.3, {"feature_name": "x"}, ago(500)), ("quality_gate_verdict", 0.0, {"source_table": "s"}, ago(500))], MO.SNAPSHOT_SCHEMA)
+    assert {(r["metric_name"], r["value"]) for r in MO.publish(old, fresh).collect()} == {("drift_psi", 0.3), ("quality_gate_verdict", 1.0)}
+
+
+def test_column_helpers(spark):
+    """P1, P15, P20, P21 and the per-version summary."""
+    df = FE.rename(spark.createDataFrame([("F", 3, 1.0)], "gender string, tenure int, MonthlyCharges double"))
+    assert df.columns == ["gender", "tenure", "monthly_charges"]
+    r = MD.per_version(spark.createDataFrame([("v1", 0.2), ("v1", 0.4), (None, 1.0)], "model_version string, probability double")).collect()
+    assert {(x["model_version"], x["n"], round(x["mean_probability"], 6)) for x in r} == {("v1", 2, 0.3), (None, 1, 1.0)}
+
+
+def test_sampling_helpers(spark):
+    """B6 keeps the multiset of values; A5 reports each split."""
+    df = spark.range(2000).withColumn("v", F.col("id") * 3).withColumn("y", (F.col("id") % 4 == 0).cast("int"))
+    s = S.shuffle_column(df, "v", "id", 7)
+    assert s.agg(F.sum("v")).first()[0] == df.agg(F.sum("v")).first()[0] and s.select("v").distinct().count() == 2000
+    assert s.where("v = id * 3").count() < 50
+    rep = {r["split"]: (r["n"], r["positives"]) for r in S.split_report(S.stratified_split(df, "y", "id"), "split", "y").collect()}
+    assert sum(n for n, _p in rep.values()) == 2000 and rep["test"] == (300, 75)
+
+
+def test_null_keys_are_a_group(spark):
+    """B1, B2, A18 and K8 with rows of a null key, over many small buckets."""
+    df = spark.range(1000).withColumn("y", F.when(F.col("id") % 4 < 3, F.col("id") % 2))
+    assert S.stratified_split(df, "y", "id").count() == 1000 and S.kfold(df, "y", "id").count() == 1000
+    sc = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit("m")).alias("model"), (F.col("id") / 3000).alias("score"),
+                                  (F.col("id") > 1500).cast("int").alias("y"))
+    assert {(r["model"], r["roc_auc"]) for r in M.roc_auc(sc, ["model"]).collect()} == {("m", 1.0), (None, 1.0)}
+    ev = spark.range(2000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("t"), F.lit("completed").alias("s"))
+    assert L.becomes(ev, ["k"], ["t", "t"], "s", "completed").count() == 1
+
+
+def test_buckets_are_even_and_unbounded(spark):
+    df = spark.range(100_000).select(F.col("id").alias("v"))
+    for per in (50_000, 1000, 500):
+        n = [r["count"] for r in df.groupBy(O.bucket_of("v", O.pinned_splits(df, "v", per)).alias("b")).count().collect()]
+        assert len(n) == 100_000 // per and max(n) <= 1.3 * per
