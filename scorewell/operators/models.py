@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import os
+import random
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -344,3 +346,39 @@ def cv_pr_auc(df: DataFrame, features: Sequence[str], estimator, label: str = "y
         s = probability(model.transform(df.where(F.col(fold) == k))).select(F.lit("m").alias("model"), label, "score")
         scores.append(M.average_precision(s, ["model"], label=label).first()["average_precision"])
     return sum(scores) / len(scores)
+
+
+def draw_params(space: Mapping, seed: int, trial: int) -> dict:
+    """Parameters of one trial: a list is a choice, ``(low, high)`` a uniform range (whole
+    numbers if both ends are), ``(low, high, "log")`` a log-uniform one."""
+    rng = random.Random(f"{seed}:{trial}")
+    out = {}
+    for name, s in space.items():
+        if isinstance(s, list):
+            out[name] = rng.choice(s)
+        elif len(s) == 3:
+            out[name] = math.exp(rng.uniform(math.log(s[0]), math.log(s[1])))
+        elif all(isinstance(x, int) for x in s):
+            out[name] = rng.randint(*s)
+        else:
+            out[name] = rng.uniform(*s)
+    return out
+
+
+def random_search(df: DataFrame, features: Sequence[str], make: Callable[..., object], space: Mapping, trials: int = 100,
+                  seed: int = 42, label: str = "y", fold: str = "fold", resample=None) -> DataFrame:
+    """M5: seeded random search; one row per trial (trial, params as JSON, pr_auc, error).
+
+    Every trial is a distributed M4 run over the same cached folds; the driver only
+    holds the drawn parameters and one score per trial.  A trial that fails is a row.
+    """
+    df = df.persist()
+    rows = []
+    for t in range(trials):
+        params = draw_params(space, seed, t)
+        try:
+            rows.append((t, json.dumps(params), cv_pr_auc(df, features, make(**params), label, fold, resample), None))
+        except Exception as e:  # noqa: BLE001 - recorded, not raised
+            rows.append((t, json.dumps(params), None, str(e)))
+    df.unpersist()
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, pr_auc double, error string")

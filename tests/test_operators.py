@@ -478,3 +478,17 @@ def test_buckets_are_even_and_unbounded(spark):
     for per in (50_000, 1000, 500):
         n = [r["count"] for r in df.groupBy(O.bucket_of("v", O.pinned_splits(df, "v", per)).alias("b")).count().collect()]
         assert len(n) == 100_000 // per and max(n) <= 1.3 * per
+
+
+def test_random_search(spark):
+    """M5 over M4 folds: seeded parameters, a failing trial is a row, signal is found."""
+    from pyspark.ml.classification import LogisticRegression
+    df = spark.range(600).select("id", (F.pmod(F.xxhash64("id"), F.lit(2001)) / 1000 - 1).alias("a"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2001)) / 1000 - 1).alias("b")) \
+        .withColumn("y", (F.col("a") + 0.2 * F.col("b") > 0.3).cast("int"))
+    folds = S.kfold(df, "y", "id", k=2)
+    space = {"regParam": (1e-4, 1e-1, "log"), "maxIter": (5, 30), "elasticNetParam": [0.0, 0.5, 7.0]}
+    make = lambda **p: LogisticRegression(featuresCol="features", labelCol="y", **p)
+    got = MD.random_search(folds, ["a", "b"], make, space, trials=4, seed=3).collect()
+    assert [r["params"] for r in got] == [__import__("json").dumps(MD.draw_params(space, 3, t)) for t in range(4)]
+    assert all((r["pr_auc"] is None) == ('"elasticNetParam": 7.0' in r["params"]) == (r["error"] is not None) for r in got)
+    assert max(r["pr_auc"] or 0 for r in got) > 0.9
