@@ -35,6 +35,9 @@ _WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]*[a-zA-Z](?![^ \t\n\r\x0b\x0c" + _PUNCT
 _COMMON = re.compile("[ \n!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 _WORD_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
 
+#: fixed value: the split that byte-level tokenizers use before merging
+_SPACED_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -96,9 +99,8 @@ def merge_core(t):
             body = token[:-len(suffix)] if end else token
             ranks[bytes(alphabet[c] for c in body) + (b"\xff" if end else b"")] = i
     if pre.get("type") == "ByteLevel" and norm is None and not suffix and pre["use_regex"] and not pre["add_prefix_space"]:
-        import public_tokenizers
-        return tiktoken.Encoding("spaced", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                 special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("spaced", pat_str=_SPACED_SPLIT, mergeable_ranks=ranks,
+                                 special_tokens={})._core_bpe.encode_ordinary
     steps = [p["type"] for p in pre.get("pretokenizers", [])]
     if steps == ["Split", "ByteLevel"] and [n["type"] for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] \
             and suffix and pre["pretokenizers"][0]["pattern"]["Regex"] == "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+":
