@@ -6,6 +6,7 @@ grouped aggregate over that table, so any attribution source fits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import parent_feature
 from scorewell.operators.metrics import average_precision, spearman_pearson
+from scorewell.operators.ordered import BUCKET, hash_bucket, null_safe_join, rows_per_bucket
 
 # Thresholds of the explanation gates.
 RELEVANCE_MIN = 0.5
@@ -182,31 +184,30 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
                            score_fn, repeats: int = 5, seed: int = 42) -> DataFrame:
     """PR-AUC drop when one feature is shuffled; mean and population std over repeats.
 
-    Every (feature, repeat) variant is built in ONE keyed job: each row is expanded
-    to the variants, row positions and value positions come from two seeded hash
-    orders per variant (``running_totals`` keyed by variant), the shuffled value is
-    joined on (variant, position), and average precision is grouped by variant.
+    Rows are put in one seeded hash order per repeat, and every row gets the values of
+    the row before it in that order (the first one those of the last): a random
+    cyclic permutation, the same for all features of a repeat.  So rows are sorted
+    once per repeat, in hash buckets, without a join of shuffled values; only then
+    is each feature's variant scored, and scores are reduced at once.  ``df`` should
+    hold only the key, the label and what ``score_fn`` reads.
     """
-    from scorewell.operators.ordered import running_totals
-    variants = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-                         for f in features for r in range(repeats)])
-    x = df.select("*", F.explode(variants).alias("_v")).select("*", F.col("_v.feature").alias("_feature"),
-                                                               F.col("_v.repeat").alias("_repeat")).drop("_v")
-    vkeys = ["_feature", "_repeat"]
-    rows = x.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), "_repeat", "_feature")).withColumn("_one", F.lit(1))
-    rows = running_totals(rows, vkeys, ["_h", key], ["_one"]).withColumn("_pos", F.col("cum__one")) \
-        .drop("_h", "_one", "cum__one")
-    own = F.lit(None).cast("double")
+    x = df.select("*", F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("_repeat"))
+    x = x.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), "_repeat"))
+    bucket, _n = hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df)))
+    x = x.withColumn(BUCKET, bucket)
+    own = F.struct(*[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    w = Window.partitionBy("_repeat", BUCKET).orderBy("_h", key)
+    x = x.withColumn("_own", own).withColumn("_before", F.lag("_own").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    last = x.groupBy("_repeat", BUCKET).agg(F.max_by("_own", F.struct("_h", key)).alias("_last"))
+    wb = Window.partitionBy("_repeat").orderBy(BUCKET)  # one row per repeat and bucket
+    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    edge = last.select("_repeat", BUCKET, F.coalesce(F.lag("_last").over(wb), F.last("_last").over(whole)).alias("_edge"))
+    x = null_safe_join(x, edge, ["_repeat", BUCKET])
+    x = x.withColumn("_value", F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_before")))
+    x = x.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
     for f in features:
-        own = F.when(F.col("_feature") == f, F.col(f"`{f}`").cast("double")).otherwise(own)
-    vals = x.select(*vkeys, key, own.alias("_value"),
-                    F.xxhash64(F.col(key), F.lit(seed + 1), "_repeat", "_feature").alias("_h"), F.lit(1).alias("_one"))
-    vals = running_totals(vals, vkeys, ["_h", key], ["_one"]).select(*vkeys, F.col("cum__one").alias("_pos"), "_value")
-    shuffled = rows.join(vals, [*vkeys, "_pos"])
-    for f in features:
-        shuffled = shuffled.withColumn(f, F.when(F.col("_feature") == f, F.col("_value")).otherwise(F.col(f"`{f}`")))
-    scored = score_fn(shuffled).select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"),
-                                       label, "score")
+        x = x.withColumn(f, F.when(F.col("_feature") == f, F.col("_value")[f]).otherwise(F.col(f"`{f}`")))
+    scored = score_fn(x).select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"), label, "score")
     ap = average_precision(scored, ["feature", "repeat"], label=label)
     base = average_precision(score_fn(df).select(F.lit("_").alias("feature"), F.lit(0).alias("repeat"),
                                                  label, "score"), ["feature", "repeat"], label=label)

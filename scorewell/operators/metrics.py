@@ -150,19 +150,8 @@ def resource_summary(df: DataFrame, keys: Sequence[str], cpu: str, mem: str) ->
 def spearman_pearson(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Spearman (Pearson on average ranks) and Pearson per key; rows with a null dropped."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    # all raw rows are reduced to distinct pairs first; both rankings and the
-    # weighted correlations read that table
-    xy = d.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n")).persist()
+    # both rankings come from value counts, not from each other's joined result
     for v, out in ((x, "_rx"), (y, "_ry")):
-        ranks = value_ranks(xy.groupBy(*keys, v).agg(F.sum("_n").alias("_n")), keys, v, "_n", out)
-        ranked = null_safe_join(xy if v == x else ranked, ranks, [*keys, v])
-    means = ranked.groupBy(*keys).agg(*[(F.sum(F.col("_n") * F.col(c)) / F.sum("_n")).alias(f"_m_{c}") for c in (x, y, "_rx", "_ry")])
-    c = null_safe_join(ranked, means, keys)
-
-    def corr(p: str, q: str) -> Column:
-        dp, dq = F.col(p) - F.col(f"_m_{p}"), F.col(q) - F.col(f"_m_{q}")
-        # without spread the correlation is not defined: NaN, as Spark's corr gives
-        spread = F.sqrt(F.sum(F.col("_n") * dp * dp)) * F.sqrt(F.sum(F.col("_n") * dq * dq))
-        return F.when(spread > 0, F.sum(F.col("_n") * dp * dq) / spread).otherwise(F.lit(float("nan")))
-
-    return c.groupBy(*keys).agg(corr("_rx", "_ry").alias("spearman"), corr(x, y).alias("pearson"))
+        ranks = value_ranks(d.groupBy(*keys, v).agg(F.count(F.lit(1)).alias("_n")), keys, v, "_n", out)
+        ranked = null_safe_join(d if v == x else ranked, ranks, [*keys, v])
+    return ranked.groupBy(*keys).agg(F.corr("_rx", "_ry").alias("spearman"), F.corr(x, y).alias("pearson"))

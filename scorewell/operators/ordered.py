@@ -55,11 +55,18 @@ def pinned_splits(df: DataFrame, value: str | Column, per_bucket: int | None = N
     """Cut points of ``value`` that leave about ``per_bucket`` rows in a bucket
     (one number per bucket reaches the driver)."""
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    want = math.ceil(df.count() / rows_per_bucket(df, per_bucket))
+    points = 1024
+    # one job gives the row count and enough cut points for up to 256 buckets
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(v, [i / points for i in range(1, points)], 10 * points).alias("s")).first()
+    want = math.ceil(r["n"] / rows_per_bucket(df, per_bucket))
     if want <= 1:
         return []
-    got = df.agg(F.approx_percentile(v, [i / want for i in range(1, want)], max(10_000, 10 * want)).alias("s")).first()["s"]
-    return sorted({x for x in (got or []) if x is not None and not math.isnan(x)})
+    got = r["s"] or []
+    if want > points // 4:  # more buckets than that: ask for exactly their cut points
+        got = df.agg(F.approx_percentile(v, [i / want for i in range(1, want)], max(10_000, 10 * want)).alias("s")).first()["s"] or []
+    elif got:
+        got = [got[min(len(got) - 1, round(i * points / want) - 1)] for i in range(1, want)]
+    return sorted({x for x in got if x is not None and not math.isnan(x)})
 
 
 def bucket_of(value: str | Column, splits: Sequence[float]) -> Column:
