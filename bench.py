@@ -43,6 +43,19 @@ def main() -> None:
         t0 = time.time()
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t0, 3)
+    # beside the total: the dearest searches, and ordered metrics over many small buckets
+    for n in ("weight_search", "permutation_importance"):
+        if not only or re.fullmatch(only, n):
+            t0 = time.time()
+            qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[f"extra.{n}"] = round(time.time() - t0, 3)
+    spark.conf.set("scorewell.rowsPerBucket", "5000")
+    for n in ("roc_auc", "spearman", "status_change", "stratified_split"):
+        if not only or re.fullmatch(only, f"{n}_buckets"):
+            t0 = time.time()
+            qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[f"buckets.{n}"] = round(time.time() - t0, 3)
+    spark.conf.unset("scorewell.rowsPerBucket")
     if not only or re.fullmatch(only, "batch_flow"):
         out = tempfile.mkdtemp(prefix="scorewell-bench-")
         t0 = time.time()
