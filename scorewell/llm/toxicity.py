@@ -37,6 +37,7 @@ MAX_DOCS = 3000           # per label
 MAX_WORDS = 900_000       # per label
 MIN_DOCS = 3              # a feature in fewer training documents has no weight
 EPOCHS = 200
+PIECE = 1 << 19           # text bytes at a time; each word has up to four features
 EMPTY_SCORE = 0.0
 THRESHOLD = 0.3
 
@@ -79,7 +80,7 @@ def _bags(labelled: DataFrame) -> tuple[np.ndarray, ...]:
     """Features of the training rows, gathered on the driver (bounded above)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in pieces(batch):
+            for b in pieces(batch, limit=PIECE):
                 s, _w, of, f = features(b.column(1))
                 order = np.argsort(of, kind="stable")
                 of, f = of[order], f[order]
@@ -196,7 +197,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(weights.value, bias)
         for batch in batches:
-            for b in pieces(batch, "_text"):
+            for b in pieces(batch, "_text", PIECE):
                 s, z = _sentence_scores(m, b.column(len(cols)))
                 total = np.bincount(s.row, weights=np.logaddexp(0, np.clip(z, -30, 30)), minlength=s.rows)
                 p = np.where(np.diff(s.first) > 0, -np.expm1(-total), EMPTY_SCORE)
@@ -227,7 +228,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(weights.value, bias)
         for batch in batches:
-            for b in pieces(batch, text):
+            for b in pieces(batch, text, PIECE):
                 s, z = _sentence_scores(m, b.column(at))
                 total = np.bincount(s.row, weights=np.logaddexp(0, np.clip(z, -30, 30)), minlength=s.rows)
                 yield b.filter(pa.array(-np.expm1(-total) < threshold))
