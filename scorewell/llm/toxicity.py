@@ -76,8 +76,9 @@ def _sentence_scores(model: Model, column: pa.Array) -> tuple[Words, np.ndarray]
     return s, np.where(known, z, -30.0)
 
 
-def _bags(labelled: DataFrame) -> tuple[np.ndarray, ...]:
-    """Features of the training rows, gathered on the driver (bounded above)."""
+def _bags(labelled: DataFrame) -> pa.Table:
+    """(label, sentence per feature, feature) of the training rows, gathered on the
+    driver (two 32-bit numbers per feature, bounded above)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in pieces(batch, limit=PIECE):
@@ -92,21 +93,16 @@ def _bags(labelled: DataFrame) -> tuple[np.ndarray, ...]:
                     [b.column(0), pa.ListArray.from_arrays(off, pa.array(inner.astype(np.int32))),
                      pa.ListArray.from_arrays(off, pa.array(f))], names=["y", "s", "f"])
 
-    got = labelled.mapInArrow(run, "y int, s array<int>, f array<int>").toArrow()
-    y, bag, sentence, feature, base = [], [], [], [], 0
-    for k, (lab, ss, ff) in enumerate(zip(got["y"].to_pylist(), got["s"], got["f"])):
-        ss = ss.values.to_numpy() if ss.values is not None else np.zeros(0, np.int32)
-        if not len(ss):
-            continue
-        y.append(lab)
-        bag.append(np.full(int(ss.max()) + 1, len(y) - 1))
-        sentence.append(ss.astype(np.int64) + base)
-        feature.append(ff.values.to_numpy())
-        base += int(ss.max()) + 1
-    if not y:
-        z = np.zeros(0, np.int64)
-        return z, z, z, z
-    return np.array(y), np.concatenate(bag), np.concatenate(sentence), np.concatenate(feature)
+    return labelled.mapInArrow(run, "y int, s array<int>, f array<int>").toArrow()
+
+
+def _documents(bags: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for b in bags.to_batches():
+        off = b.column(1).offsets.to_numpy()
+        s, f = b.column(1).values.to_numpy(), b.column(2).values.to_numpy()
+        for y, lo, hi in zip(b.column(0).to_pylist(), off[:-1], off[1:]):
+            if hi > lo:
+                yield y, s[lo:hi], f[lo:hi]
 
 
 def _likelihood_ratio(seen: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -118,23 +114,35 @@ def _likelihood_ratio(seen: np.ndarray, size: np.ndarray) -> np.ndarray:
     return 2 * part.sum((0, 1))
 
 
-def fit_bags(y: np.ndarray, bag: np.ndarray, sentence: np.ndarray, feature: np.ndarray, class_weight: dict[int, float],
-             epochs: int = EPOCHS, decay: float = 2e-5, rate: float = 0.1) -> Model:
-    """Noisy-or likelihood by full-batch Adam over the features in use."""
-    if not len(y) or y.min() == y.max():
+def fit_bags(bags: pa.Table, label_counts: dict[int, int], epochs: int = EPOCHS, decay: float = 2e-5, rate: float = 0.1) -> Model:
+    """Noisy-or likelihood by full-batch Adam over the features linked to the label.
+
+    Documents are weighted to the label counts of all labelled rows."""
+    seen = np.zeros((2, DIMENSIONS), np.int32)
+    size = np.zeros((2, 1))
+    for label, _s, f in _documents(bags):
+        seen[label, np.unique(f)] += 1
+        size[label] += 1
+    if not size.all():
         return Model(np.zeros(DIMENSIONS, np.float32), -30.0)
-    used, f = np.unique(feature, return_inverse=True)
-    pair = np.unique(f.astype(np.int64) * len(y) + bag[sentence])  # each feature once per document
-    seen = np.array([np.bincount(pair[y[pair % len(y)] == k] // len(y), minlength=len(used)) for k in (0, 1)], float)
-    size = np.array([[np.sum(y == k)] for k in (0, 1)], float)
-    often = seen.sum(0) >= MIN_DOCS
+    used = np.flatnonzero(seen.sum(0) >= MIN_DOCS)
     # the more features are tried, the stronger a link must be to count
-    least = 2 * np.log(max(2, often.sum())) - 6
-    keep = (often & (_likelihood_ratio(seen, size) >= least))[f]
-    f, sentence = f[keep], sentence[keep]
+    used = used[_likelihood_ratio(seen[:, used].astype(float), size) >= 2 * np.log(max(2, len(used))) - 6]
+    number = np.full(DIMENSIONS, -1, np.int32)
+    number[used] = np.arange(len(used))
+    labels, bag, sentence, feature, base = [], [], [], [], 0
+    for label, s, f in _documents(bags):
+        n = int(s.max()) + 1
+        bag.append(np.full(n, len(labels), np.int32))
+        labels.append(label)
+        known = number[f] >= 0
+        sentence.append(s[known].astype(np.int64) + base)
+        feature.append(number[f[known]])
+        base += n
+    y, bag, sentence, f = np.array(labels), np.concatenate(bag), np.concatenate(sentence), np.concatenate(feature)
     w, b = np.zeros(len(used)), -5.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
-    weight = np.where(y == 1, class_weight[1], class_weight[0])
+    weight = np.array([label_counts.get(k, 1) / size[k, 0] for k in (0, 1)])[y]
     for t in range(1, epochs + 1):
         z = np.bincount(sentence, weights=w[f], minlength=len(bag)) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -150,7 +158,6 @@ def fit_bags(y: np.ndarray, bag: np.ndarray, sentence: np.ndarray, feature: np.n
         w -= step * m / (np.sqrt(v) + 1e-7)
         b -= step * mb / (vb ** 0.5 + 1e-7)
     weights = np.zeros(DIMENSIONS, np.float32)
-    w[np.bincount(f, minlength=len(used)) == 0] = 0
     weights[used] = w
     return Model(weights, float(b))
 
@@ -180,9 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
     # six a word) bounds what long texts may add
     so_far = F.sum("words").over(Window.partitionBy("y").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("so_far", so_far).where(F.col("so_far") <= 6 * max_words).select("y", "text")
-    y, bag, sentence, feature = _bags(rows)
-    got = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-    return fit_bags(y, bag, sentence, feature, {k: counts.get(k, 1) / got[k] for k in (0, 1)})
+    return fit_bags(_bags(rows), counts)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", spans: bool = False,
