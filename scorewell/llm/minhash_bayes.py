@@ -44,7 +44,7 @@ ROWS, BANDS = 5, 35
 K = ROWS * BANDS
 BATCH = 35             # signature values compared before each pruning
 MISS = 1e-6            # posterior below which a candidate is dropped
-BLOCK = 256            # classes compared as one block
+BLOCK = 128            # classes compared as one block
 
 _rng = np.random.default_rng(50023)
 _A = _rng.integers(1, 2**63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

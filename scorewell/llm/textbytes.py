@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 _U = np.uint64
 
 
