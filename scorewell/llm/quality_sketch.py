@@ -6,7 +6,14 @@ their own rows, sketches merge at the reducer, so a source holding a third of
 all rows costs the reducer a few kilobytes per map task.  Sketches of small
 groups are merged up to their language and then to the whole corpus (sketches
 merge without re-reading rows).  ``apply_rules`` joins the thresholds back
-and decides; nothing but the two base rules is a fixed cutoff.
+and decides.
+
+A fence climbs the upper quantiles of the sketch (``LEVELS``).  Each level puts
+it at the median plus a multiple of the level's own distance to the median, plus
+a small margin; the climb goes on only while the next quantile lies within the
+fence so far.  A long but connected tail thus widens its fence, and junk that
+stands apart (up to a quarter of the group) does not.  Where three
+quarters have a share of 0 and the rest stands apart, the fence is the margin.
 
 Defined results: null or empty text has no words (base rules fail it); null
 language or source is a group of its own (null-safe join); repeated rows are
@@ -18,10 +25,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -32,18 +40,21 @@ SYMBOL = ~byte_class(b"#*$%&|<>")
 LINE = byte_class(b"\n")
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
-#: rule -> (Column of counts, side, fence width, margin): a document fails above
-#: q50 + width * (q50 - q05) + margin ("high") or below its mirror ("low").
-#: Lower-half quantiles set the spread, so that a group in which up to half of
-#: the documents are junk still gets its fence from the sound half.
+#: rule -> (value from the counts, side, margin): a document fails above the
+#: upper fence ("high"), or also below its mirror ("both").  Up to two repeated
+#: lines are no sign in a text of any length (a share of three lines is a third).
 RULES = {
-    "symbol_share": ("n_symbols / greatest(n_words, 1)", "high", 4.0, 0.1),
-    "repeat_share": ("n_repeat_words / greatest(n_words, 1)", "high", 4.0, 0.4),
-    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", "high", 4.0, 0.5),
-    "mean_word_chars": ("word_chars / greatest(n_words, 1)", "both", 4.0, 1.5),
+    "symbol_share": ("n_symbols / greatest(n_words, 1)", "high", 0.02),
+    "repeat_share": ("n_repeat_words / greatest(n_words, 1)", "high", 0.02),
+    "dup_line_share": ("greatest(n_dup_lines - 2, 0) / greatest(n_lines, 1)", "high", 0.1),
+    "mean_word_chars": ("word_chars / greatest(n_words, 1)", "both", 0.8),
 }
+#: the quantiles that a fence climbs, and the multiple of each one's distance to
+#: the median that reaches as far as six standard deviations of a normal tail
+LEVELS = (0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 0.99)
+REACH = [6 / NormalDist().inv_cdf(p) for p in LEVELS]
 MIN_GROUP = 200
-SKETCH_K = 200
+SKETCH_K = 800    # rank error under 0.5 %, so that the upper levels are told apart
 
 
 def _row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -108,6 +119,19 @@ def base_failed():
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _climb(mid: Column, quantiles: list[Column], margin: float) -> Column:
+    """The upper fence over the quantiles at ``LEVELS``."""
+    at = lambda q, reach: mid + reach * (q - mid) + margin
+    steps = F.array(*[F.struct(q.alias("q"), F.lit(c).alias("reach")) for q, c in zip(quantiles[1:], REACH[1:])])
+
+    def step(acc: Column, x: Column) -> Column:
+        on = acc["on"] & (x["q"] <= acc["fence"])
+        return F.struct(F.when(on, F.greatest(acc["fence"], at(x["q"], x["reach"]))).otherwise(acc["fence"]).alias("fence"), on.alias("on"))
+
+    start = F.struct(at(quantiles[0], F.lit(REACH[0])).alias("fence"), F.lit(True).alias("on"))
+    return F.aggregate(steps, start, step, lambda acc: acc["fence"])
+
+
 def thresholds(features: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Fences per (lang, source): ``<rule>_low`` / ``<rule>_high`` and the group's
     size.  Groups below ``min_group`` documents use the sketches merged over
@@ -127,14 +151,15 @@ def thresholds(features: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     whole = merged([], "all")
     j = g.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(F.broadcast(whole), F.lit(True), "left")
     cols = []
-    for r, (_e, side, width, margin) in RULES.items():
+    ranks = F.array(*[F.lit(p) for p in (0.5, *LEVELS, *[1 - p for p in LEVELS])])
+    for r, (_e, side, margin) in RULES.items():
         s = (F.when(F.col("n") >= min_group, F.col(f"s_{r}"))
              .when(F.col("n_lang") >= min_group, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}")))
-        mid = F.kll_sketch_get_quantile_double(s, F.lit(0.5))
-        low = F.kll_sketch_get_quantile_double(s, F.lit(0.05))
-        fence = width * (mid - low) + margin
-        cols.append((mid + fence).alias(f"{r}_high"))
-        cols.append((mid - fence if side == "both" else F.lit(None).cast("double")).alias(f"{r}_low"))
+        j = j.withColumn(f"q_{r}", F.kll_sketch_get_quantile_double(s, ranks))
+        q = [F.col(f"q_{r}")[i] for i in range(2 * len(LEVELS) + 1)]
+        cols.append(_climb(q[0], q[1:len(LEVELS) + 1], margin).alias(f"{r}_high"))
+        low = -_climb(-q[0], [-x for x in q[len(LEVELS) + 1:]], margin) if side == "both" else F.lit(None).cast("double")
+        cols.append(low.alias(f"{r}_low"))
     return j.select("lang", "source", F.col("n").alias("group_n"), *cols)
 
 
@@ -149,7 +174,7 @@ def apply_rules(features: DataFrame, fences: DataFrame) -> DataFrame:
                       *[c for c in fences.columns if c not in ("lang", "source")])
     j = features.join(t, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
     fails = []
-    for r, (e, side, _w, _m) in RULES.items():
+    for r, (e, side, _m) in RULES.items():
         v = F.expr(e).cast("double")
         bad = v > F.col(f"{r}_high")
         if side == "both":
@@ -187,7 +212,7 @@ def keep_sound(docs: DataFrame, lang: str = "lang", source: str = "source", text
 
     measured = docs.mapInArrow(run, StructType(docs.schema.fields + [StructField(n, LongType()) for n in names]))
     fails = F.lit(False)
-    for r, (e, side, _w, _m) in RULES.items():
+    for r, (e, side, _m) in RULES.items():
         v = F.expr(re.sub(r"\b(" + "|".join(COUNTS) + r")\b", r"_q_\1", e)).cast("double")
         fails = fails | F.coalesce(v > F.col(f"_t_{r}_high"), F.lit(False))
         if side == "both":

@@ -141,6 +141,33 @@ def test_quality_fences_adapt(spark):
     assert not got[1000] and got[1001] and all(got[i] for i in range(900))
 
 
+def test_quality_fences_come_from_the_tails(spark):
+    """Each share rule rejects documents that stand out of their own group, none of the clean ones."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+
+    def text(symbols=0, repeated=0, lines=0):
+        w = words(100)
+        for k in range(symbols):
+            w[k] += "#"
+        w[100 - repeated:] = (w[40:43] * repeated)[:repeated]
+        out = [" ".join(w[k:k + 10]) for k in range(0, 100, 10)]
+        return "\n".join(out + ["menu"] * (lines + 1) if lines else out)
+
+    rows = []
+    for i in range(600):  # "forum" has tails of its own, "news" has none
+        few = lambda top: int(top * rng.random() ** 3)
+        rows.append((i, text(few(20), few(30), few(6)) if i % 2 else text(), "en", "forum" if i % 2 else "news"))
+    odd = {"symbol_share": text(symbols=8), "repeat_share": text(repeated=24), "dup_line_share": text(lines=7)}
+    for k, t in enumerate(odd.values()):
+        rows += [(1000 + k, t, "en", "news"), (2000 + k, t, "en", "forum")]
+    rows += [(3000 + k, t, "en", "forum") for k, t in enumerate((text(symbols=95), text(repeated=43), text(lines=60)))]
+    got = {r.doc_id: r for r in q.quality_filter(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")).collect()}
+    assert all(r in got[1000 + k].failed_rules for k, r in enumerate(odd))
+    assert all(got[2000 + k].kept for k in range(3)) and all(got[i].kept for i in range(600))
+    assert "symbol_share" in got[3000].failed_rules and "dup_line_share" in got[3002].failed_rules
+
+
 def test_license_scan(spark, docs, rows, none):
     mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
            "documentation files (the 'Software'), to deal freely in the Software without restriction")
