@@ -7,14 +7,18 @@ model is trained through the noisy-or from document labels alone, so afterwards
 the sentences with a high score are the offending ones.
 
 Fitting uses a bounded sample of labelled rows: per label, in the order of a
-hash of the id, at most ``MAX_DOCS`` documents and ``MAX_WORDS`` words (the bound
-of what the driver holds).  Everything else covers all rows and whole texts:
+hash of the id, at most ``MAX_DOCS`` documents and ``MAX_WORDS`` words at six
+characters each (the bound of what the driver holds).  A text longer than
+``1 / SHARE`` of that budget is passed over and the next one in hash order takes
+its place, so no text can displace the others; if all of a label's texts are that
+long, they are taken from the shortest up, one at least.  With documents and labels
+of both kinds, a label without any text to learn from is an error.  Everything else covers all rows and whole texts:
 scoring is one pass over the table with the weights (2**20 floats, 4 MB, a fixed
 bound) sent to the tasks.
 
 Defined results: null or empty text has no sentences and the score
 ``EMPTY_SCORE``; rows without a label are scored only; repeated rows are
-scored each, and used once in training per row of the join; a null doc_id joins
+scored each, and used once each in training; a null doc_id joins
 no label; an empty labels table gives a model that scores everything
 about 0; only the named columns are read.
 """
@@ -29,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorewell.llm.common import staged
 from scorewell.llm.textbytes import LETTER_WORD, Words, byte_class, pieces
 
 DIMENSIONS = 1 << 20
 PREFIXES = (4, 5, 6)      # word beginnings, in bytes
 MAX_DOCS = 3000           # per label
 MAX_WORDS = 900_000       # per label
+SHARE = 40                # one text may use a fortieth of the budget (135,000 characters)
 MIN_DOCS = 3              # a feature in fewer training documents has no weight
 EPOCHS = 200
 PIECE = 1 << 19           # text bytes at a time; each word has up to four features
@@ -175,19 +181,35 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
     if learn is not None:
         lab = lab.where(learn)
     counts = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    # in hash order, per label; the buckets of the first sort keep it off one task
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
+    src = docs.select(ids.alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # lengths only, so that the places in the order go to texts that can be used
+    sized = src.select("doc_id", F.length("text").alias("chars")).where(F.col("chars") > 0) \
+        .join(lab, "doc_id").select("y", "doc_id", "chars")
+    sized = staged(sized, "label-lengths")
     first = None
     for y in (0, 1):
-        one = lab.where(F.col("y") == y).orderBy(order, "doc_id").limit(max_docs)
+        usable = sized.where((F.col("y") == y) & (F.col("chars") <= 6 * max_words // SHARE))
+        one = usable.withColumn("at", order).orderBy("at", "doc_id").limit(max_docs)
+        if y in counts and usable.isEmpty():
+            one = sized.where(F.col("y") == y).withColumn("at", F.col("chars").cast("bigint")).orderBy("at", "doc_id").limit(max_docs)
         first = one if first is None else first.unionByName(one)
-    src = docs.select(ids.alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = src.join(F.broadcast(first), "doc_id").withColumn("words", F.length("text"))  # at most 2 * max_docs ids
     # at most 2 * max_docs rows are left here; the running total (in characters,
-    # six a word) bounds what long texts may add
-    so_far = F.sum("words").over(Window.partitionBy("y").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("so_far", so_far).where(F.col("so_far") <= 6 * max_words).select("y", "text")
-    return fit_bags(_bags(rows), counts)
+    # six a word) ends the sample where the budget does
+    so_far = F.sum("chars").over(Window.partitionBy("y").orderBy("at", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    before = F.col("so_far") - F.col("chars")
+    picked = first.withColumn("so_far", so_far).where((F.col("so_far") <= 6 * max_words) | (before == 0)) \
+        .groupBy("y", "doc_id", "chars").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("y", "doc_id", "chars").orderBy(F.xxhash64("text")))
+    rows = src.withColumn("chars", F.length("text")).join(F.broadcast(picked), ["doc_id", "chars"]) \
+        .withColumn("nth", nth).where((F.col("nth") <= max_docs) & (F.col("nth") <= F.col("n"))).select("y", "text")
+    bags = _bags(rows)
+    if len(counts) == 2:
+        found = {y for y, _s, _f in _documents(bags)}
+        empty = [y for y in (0, 1) if y not in found]
+        if empty and not src.isEmpty():
+            raise ValueError(f"no text to learn from for label {empty}, which has {[counts[y] for y in empty]} labelled rows")
+    return fit_bags(bags, counts)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", spans: bool = False,

@@ -222,6 +222,27 @@ def test_toxicity_learns_sentences(spark, none):
     assert toxicity.score(none, model).count() == 0 and held is not None
 
 
+def test_toxicity_sample_passes_over_long_texts(spark):
+    rows, labels = [], []
+    for i in range(400):
+        words = " ".join(f"w{(7 * i + k) % 60}" for k in range(12))
+        rows.append((i, f"{words}. {'idiot ' if i % 2 else ''}w1 w2."))
+        labels.append((i, i % 2))
+    # the first documents of both labels in hash order have texts over the whole budget
+    order = spark.createDataFrame(labels, "doc_id bigint, toxic int").orderBy(F.xxhash64("doc_id", F.lit(11))).collect()
+    first = [next(r.doc_id for r in order if r.toxic == y) for y in (0, 1)]
+    rows = [(i, "w3 w4 " * 20_000 if i in first else t) for i, t in rows]
+    docs, lab = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train(docs, lab, max_words=15_000)
+    got = {r.doc_id: r.score >= toxicity.THRESHOLD for r in toxicity.score(docs, model).collect()}
+    assert all(got[i] == (i % 2 == 1) for i, _t in rows if i not in first)
+    only_long = [(1, "w3 idiot " * 2000), (2, "w3 w5 " * 2000)]
+    long = spark.createDataFrame(only_long, "doc_id bigint, text string")
+    toxicity.train(long, lab.where("doc_id in (1, 2)"), max_words=100)  # the shortest stands in
+    with pytest.raises(ValueError, match="no text to learn from"):
+        toxicity.train(docs.where("doc_id % 2 = 0"), lab)
+
+
 def test_edit_counts_equal_a_full_encoding(spark, rows, none):
     t = units.tokenizer(BYTE)
     rng = random.Random(10)
