@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewell.llm import (bpe_tree, edit_counts, edit_embedding, license_diagonal, minhash_bayes, packing, quality_sketch,
-                           substring_dedup, toxicity, warc_derivative)
+from scorewell.llm import (bpe_tree, edit_counts, edit_embedding, exact_dedup, filter_audit, license_diagonal, minhash_bayes,
+                           packing, quality_sketch, substring_dedup, toxicity, warc_derivative, whitening)
 from scorewell.llm.common import read
 
 
@@ -101,6 +101,22 @@ def op9_license_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_diagonal.license_scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sound embeddings projected on the first eight whitened components."""
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over all documents, per source."""
+    return filter_audit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal without blanks, and the one that stays."""
+    return exact_dedup.groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_mil": op1_toxicity_mil,
     "op2_edit_token_counts": op2_edit_token_counts,
@@ -112,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_sketch": op8_quality_sketch,
     "op9_license_diagonal": op9_license_diagonal,
     "op10_warc_derivative": op10_warc_derivative,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables
@@ -128,4 +147,39 @@ c AS (SELECT r, i, word, max(CASE WHEN p.passage IS NOT NULL THEN 1 ELSE 0 END)
 k AS (SELECT r, sum(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS kept FROM c GROUP BY r)
 SELECT doc_id, len(ws) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)""",
+    "op12_filter_audit": r"""
+WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+w AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY body) AS low FROM t),
+f AS (SELECT w.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+        [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+         100 * len(regexp_extract_all(body, '[A-Z]')) > 5 * length(body), regexp_matches(body, '[#$%&*|]'),
+         coalesce(coalesce(w.doc_id <> low, low IS NOT NULL), false)] AS fails
+      FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+      FROM f GROUP BY ALL),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS line FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT part, array_to_string(list_transform(line, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, x.i AS step, line[x.i] AS letter,
+        n, n_good, n_toxic, fails[line[x.i]] AS bad,
+        list_bool_or(list_transform(list_slice(line, 1, x.i - 1), lambda k: fails[k])) IS NOT DISTINCT FROM true AS gone,
+        len(list_filter(fails, lambda k: k)) AS n_bad
+      FROM m, o, x),
+r AS (SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (WHERE NOT bad AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE bad AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (WHERE bad AND gone), 0) AS redundant, coalesce(sum(n) FILTER (WHERE bad AND n_bad = 1), 0) AS unique_fails,
+        coalesce(sum(n_good) FILTER (WHERE bad AND NOT gone), 0) AS good_lost,
+        coalesce(sum(n_toxic) FILTER (WHERE bad AND NOT gone), 0) AS toxic_lost
+      FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, length(coalesce(text, '')) AS n_chars,
+             regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents),
+g AS (SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id,
+        count(*) OVER (PARTITION BY body) AS group_size FROM d
+      WINDOW w AS (PARTITION BY body ORDER BY n_chars DESC, doc_id ASC NULLS LAST, rn))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM g""",
 }
