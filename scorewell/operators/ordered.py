@@ -46,6 +46,20 @@ def with_totals(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) ->
     return null_safe_join(df, t, keys)
 
 
+def join_sized(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, share: int = 1024) -> DataFrame:
+    """Inner join of rows with one row per group, no group in one task.
+
+    ``size`` counts a group's rows.  Groups over ``1 / share`` of all rows are fewer
+    than ``share``: they are broadcast.  No other key is large.
+    """
+    keys = list(keys)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * share > total
+    few = F.broadcast(groups.where(hot))
+    cold = rows.join(F.broadcast(groups.where(hot).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(cold.join(groups.where(~hot), keys)).drop(size)
+
+
 def rows_per_bucket(df: DataFrame, given: int | None = None) -> int:
     """The bucket size: the argument, else ``scorewell.rowsPerBucket``, else the default."""
     return given or int(df.sparkSession.conf.get("scorewell.rowsPerBucket", str(ROWS_PER_BUCKET)))

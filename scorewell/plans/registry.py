@@ -12,6 +12,7 @@ _MODULES = [
     "scorewell.plans.model_queries",
     "scorewell.plans.scoring_queries",
     "scorewell.plans.stream_queries",
+    "scorewell.plans.training_queries",
 ]
 
 

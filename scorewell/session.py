@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -64,3 +65,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a DataFrame once to the shared folder and return it re-read.
+
+    Cuts the lineage: a lost executor re-reads files instead of recomputing, and
+    later jobs all see the same rows.  All staged tables of an application lie in
+    one folder, which ``clear_staged`` removes when its results are written.
+    """
+    spark = df.sparkSession
+    path = os.path.join(staging_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staging_dir(spark: SparkSession) -> str:
+    return shared_path(spark, f"scorewell-staged-{spark.sparkContext.applicationId}")
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the application's staged tables; DataFrames that still read them are then invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
