@@ -121,9 +121,11 @@ class SegmentTree:
         return len(region)
 
 
-def _leaves(enc, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    chars = np.array([len(u) if u.isascii() else len(u.decode()) for u in units], np.int64)
-    return chars, np.array([len(enc.ids[u]) >> 2 for u in units], np.int64)
+def _leaves(raw: np.ndarray, e) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tokens of each unit of an encoded column."""
+    if not len(e.starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.add.reduceat((raw & 0xC0) != 0x80, e.starts, dtype=np.int64), e.unit_tokens
 
 
 def build_trees(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
@@ -134,21 +136,18 @@ def build_trees(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
                       (F.col(edits) if edits else F.lit(None)).cast(EDITS).alias("edits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from scorewell.llm.textbytes import pieces
+        from scorewell.llm.textbytes import buffers, pieces
         from scorewell.llm.units import encoder
         enc = encoder(tokenizer_path, "spaced")
         for batch in batches:
             for b in pieces(batch):
-                parts = enc.prepare([x or b"" for x in b.column(1).cast(pa.binary()).to_pylist()])
-                flat = [u for p in parts for u in p]
-                chars, tokens = _leaves(enc, flat)
-                enc.forget_long(parts)
-                off = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32))
-                total = np.concatenate([[0], np.cumsum(tokens)])[off.to_numpy()]
+                e = enc.encode(b.column(1))
+                chars, tokens = _leaves(buffers(b.column(1))[0], e)
+                off = pa.array(e.row_units.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2),
                      pa.ListArray.from_arrays(off, pa.array(chars.astype(np.int32))),
-                     pa.ListArray.from_arrays(off, pa.array(tokens.astype(np.int32))), pa.array(np.diff(total))],
+                     pa.ListArray.from_arrays(off, pa.array(tokens.astype(np.int32))), pa.array(np.diff(e.row_tokens))],
                     names=["doc_id", "text", "edits", "unit_chars", "unit_tokens", "n_tokens"])
 
     kind = src.schema[0].dataType.simpleString()
@@ -160,13 +159,13 @@ def apply_edits(trees: DataFrame, tokenizer_path: str, with_text: bool = False)
     """doc_id, n_tokens_before, n_tokens, n_edits, n_chars, n_chars_encoded,
     text_sha256 and, if wanted, the edited ``text`` and its new leaves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from scorewell.llm.textbytes import pieces
+        from scorewell.llm.textbytes import buffers, pieces
         from scorewell.llm.units import encoder
         enc = encoder(tokenizer_path, "spaced")
 
         def count(region: str):
-            units = enc.prepare([region.encode()])[0]
-            return _leaves(enc, units)
+            column = pa.array([region])
+            return _leaves(buffers(column)[0], enc.encode(column))
 
         for batch in batches:
             for b in pieces(batch):

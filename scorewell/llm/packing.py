@@ -39,31 +39,32 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end
     Texts over the capacity are cut into full pieces; the first may be shorter.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from scorewell.llm.textbytes import pieces
+        from scorewell.llm.textbytes import PIECE_BYTES, pieces
         from scorewell.llm.units import encoder
         enc = encoder(tokenizer_path, "spaced")
         for batch in batches:
-            for b in pieces(batch):
-                parts = enc.prepare([x or b"" for x in b.column(1).cast(pa.binary()).to_pylist()])
-                row, piece, start, crc, body = [], [], [], [], []
-                for r, p in enumerate(parts):
-                    ids = b"".join(map(enc.ids.__getitem__, p)) + end
-                    n = len(ids) // 4
-                    at, k = 0, 0
-                    to = (n - 1) % capacity + 1 if n else 0
-                    while at < n:
-                        one = ids[4 * at:4 * to]
-                        row.append(r), piece.append(k), start.append(at), crc.append(crc32(one)), body.append(one)
-                        at, to, k = to, to + capacity, k + 1
-                enc.forget_long(parts)
-                cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.array([len(x) // 4 for x in body], pa.int64()), pa.array(crc, pa.int64())]
+            for b in pieces(batch, limit=2 * PIECE_BYTES):
+                e = enc.encode(b.column(1))
+                ids, first = e.ids, e.row_tokens
+                if end_id is not None:
+                    ids, first = np.insert(ids, first[1:], end_id), first + np.arange(len(first))
+                ids = np.ascontiguousarray(ids, "<u4")
+                size = np.diff(first)
+                head = np.where(size > 0, (size - 1) % capacity + 1, 0)  # of each row's first piece
+                n = -(-size // capacity)
+                row = np.repeat(np.arange(len(size)), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                start = np.where(piece > 0, head[row] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, head[row])
+                at, view = first[:-1][row] + start, memoryview(ids).cast("B")
+                crc = [crc32(view[4 * a:4 * (a + k)]) for a, k in zip(at.tolist(), length.tolist())]
+                cols = [b.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                        pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    cols.append(pa.array(body, pa.binary()))
+                    cols.append(pa.array([view[4 * a:4 * (a + k)].tobytes() for a, k in zip(at.tolist(), length.tolist())], pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 

@@ -3,8 +3,7 @@
 A unit is a stretch of text whose tokens do not depend on its neighbours, so
 the ids of a text are the ids of its units in order.  Both tokenizers used here
 split at white space, which gives short units that repeat a lot; each Python
-worker keeps a bounded table of units it has seen and hands only new ones to
-the ``tokenizers`` library.
+worker keeps a bounded table of units it has seen and encodes only new ones.
 """
 
 from __future__ import annotations
@@ -13,26 +12,42 @@ import json
 import os
 import re
 from array import array
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
 
 from scorewell.llm import bpe_tree
+from scorewell.llm.textbytes import LOWER, buffers
 
-MAX_KNOWN = 400_000   # units kept per worker and tokenizer; the table restarts when full
-MAX_UNIT = 256        # longer units are encoded each time
-MAX_DIRECT = 16_384   # characters; longer units are encoded as a tree
+MAX_KNOWN = 800_000   # units kept per worker and tokenizer; the table restarts when full
+MAX_BYTES = 32 << 20  # bytes of units kept, likewise
 
 #: white space (and characters that engines classify differently) beyond " " and "\n"
 _ODD = "\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 _HAS_ODD = re.compile(f"[{_ODD}]")
-_ASCII_ODD = re.compile(rb"[\t\x0b\x0c\r\x1c-\x1f]")
 _CUT = re.compile(f"(?<=[^ \n{_ODD}])(?=[ \n])")
-_PUNCT = rb"!-/:-@\[-`{-~"
-#: blanks and a word up to its last ASCII letter before punctuation, or the rest
-_SPACED = re.compile(rb"[ \n]*[^ \n]*[A-Za-z](?![^ \n" + _PUNCT + rb"])|[ \n]*[^ \n]+|[ \n]+")
 _PLAIN = re.compile(rb"[ \n]*[^ \n]+|[ \n]+")
-_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]*[a-zA-Z](?![^ \t\n\r\x0b\x0c" + _PUNCT + rb"])|[^ \t\n\r\x0b\x0c]+")
+_PLAIN_WORD = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+
+_LETTER, _MARK, _BLANK = 1, 2, 3
+
+
+def _classes(blanks: bytes) -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    out[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+    out[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _MARK
+    out[list(blanks)] = _BLANK
+    return out
+
+
+_KIND_CLASSES = {"spaced": _classes(b" \n"), "word": _classes(b" \t\n\r\x0b\x0c")}
 
 #: characters that all engines classify alike: printable ASCII and Latin-1 letters
 _COMMON = re.compile("[ \n!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: bytes of other characters, and "<"
+_RARE = np.ones(256, bool)
+_RARE[[10, *range(0x20, 0x3C), *range(0x3D, 0x7F), *range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0), 0xC3]] = False
 _WORD_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
 
 #: fixed value: the split that byte-level tokenizers use before merging
@@ -51,24 +66,56 @@ def tokenizer(path: str):
     return t
 
 
-def spaced_units(text: bytes) -> list[bytes]:
-    """Units of a byte-level tokenizer that lets a word keep the blank before it.
-
-    A cut before white space that follows a visible character, or between an
-    ASCII letter and ASCII punctuation, never falls inside a token: only the
-    last blank of a run joins the next word, a run's look-ahead stays within
-    its unit, and letters and punctuation are never one pre-token.
-    """
-    if _ASCII_ODD.search(text) if text.isascii() else _HAS_ODD.search(text.decode()):
+def _odd_units(text: bytes, kind: str) -> list[bytes]:
+    """Units of a text with unusual white space or the marks of a special token:
+    cut at blanks only, joined they are the text."""
+    if kind == "word":
+        return _PLAIN_WORD.findall(text)
+    if _HAS_ODD.search(text.decode()):
         return [u.encode() for u in _CUT.split(text.decode()) if u]
-    return (_PLAIN if b"<|" in text else _SPACED).findall(text)
+    return _PLAIN.findall(text)
+
+
+_LEADS = np.zeros(256, bool)
+_LEADS[[*b"<\t\x0b\x0c\r\x1c\x1d\x1e\x1f", 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+
+
+def _odd_rows(raw: np.ndarray, offsets: np.ndarray, kind: str) -> np.ndarray:
+    """Rows that hold ``<|`` or, for "spaced", a character of ``_ODD``."""
+    at = np.flatnonzero(raw == 0x3C if kind == "word" else _LEADS[raw])
+    if not len(at):
+        return at
+    a, b, c = raw[at].astype(np.int64), *(raw[np.minimum(at + k, len(raw) - 1)].astype(np.int64) for k in (1, 2))
+    hit = (a == 0x3C) & (b == 0x7C)
+    if kind == "spaced":
+        code = (a << 16) | (b << 8) | c
+        hit |= ((a < 0x20) | ((a == 0xC2) & ((b == 0x85) | (b == 0xA0)))
+                | np.isin(code, [0xE19A80, 0xE1A08E, 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE281A0, 0xE38080, 0xEFBBBF])
+                | ((code >= 0xE28080) & (code <= 0xE2808D)))
+    return np.unique(np.searchsorted(offsets, at[hit], "right") - 1)
 
 
-def word_units(text: bytes) -> list[bytes]:
-    """Units of a tokenizer that drops white space: runs without ASCII blanks,
-    cut between a letter and punctuation; lower case, as the tokenizer does
-    (neither where the text may hold a special token)."""
-    return text.split() if b"<|" in text else _WORD.findall(text.lower())
+def unit_starts(raw: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte of every unit of all rows, rows that were cut at blanks only).
+
+    "spaced" is a byte-level tokenizer that lets a word keep the blank before it,
+    "word" one that drops white space.  A cut before white space that follows a
+    visible character, or between an ASCII letter and ASCII punctuation, never
+    falls inside a token of either: only the last blank of a run joins the next
+    word, a run's look-ahead stays within its unit, and letters and punctuation
+    are never one pre-token.
+    """
+    kinds = _KIND_CLASSES[kind][raw]
+    start = np.zeros(len(raw), bool)
+    start[1:] = ((kinds[1:] == _BLANK) & (kinds[:-1] != _BLANK)) | ((kinds[1:] == _MARK) & (kinds[:-1] == _LETTER))
+    odd = _odd_rows(raw, offsets, kind)
+    for r in odd:
+        lo, hi = int(offsets[r]), int(offsets[r + 1])
+        start[lo:hi] = False
+        size = [len(u) for u in _odd_units(raw[lo:hi].tobytes(), kind)]
+        start[lo + np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)]).astype(np.int64)] = True
+    start[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(start), odd
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -113,76 +160,171 @@ def merge_core(t):
     return None
 
 
+class _Store:
+    """Short arrays kept end to end; ``gather`` strings chosen ones together."""
+
+    def __init__(self, kind):
+        self.flat, self.first, self.n = np.zeros(1 << 12, kind), np.zeros(1 << 10, np.int64), 0
+
+    def extend(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        used = int(self.first[self.n])
+        need, rows = used + len(values), self.n + len(sizes) + 1
+        if need > len(self.flat):
+            self.flat = np.resize(self.flat, max(need, 2 * len(self.flat)))
+        if rows > len(self.first):
+            self.first = np.resize(self.first, max(rows, 2 * len(self.first)))
+        self.flat[used:need] = values
+        self.first[self.n + 1:rows] = used + np.cumsum(sizes)
+        self.n = rows - 1
+
+    def sizes(self, which: np.ndarray) -> np.ndarray:
+        return self.first[which + 1] - self.first[which]
+
+    def gather(self, which: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.first[which] - (ends - sizes), sizes) + np.arange(total)]
+
+
+class Encoded:
+    """Ids of a column: ``ids``, the tokens of each unit, and per row its first
+    unit and first token (one entry more than rows)."""
+
+    def __init__(self, store: _Store, which: np.ndarray, row_units: np.ndarray, starts: np.ndarray):
+        self.which, self.row_units, self.starts = which, row_units, starts
+        self.unit_tokens = store.sizes(which)
+        self.ids = store.gather(which, self.unit_tokens)
+        self.row_tokens = np.concatenate([[0], np.cumsum(self.unit_tokens)])[row_units]
+
+
 class Encoder:
-    """Ids (little-endian unsigned 32-bit bytes) and decoded text of units.
+    """Ids (unsigned 32-bit) and decoded text of units.
 
-    Units of common characters go through ``merge_core``; all others, and any
-    with a special token's marks, through the ``tokenizers`` library itself."""
+    A column's units are found on its byte buffer and made a dictionary by Arrow,
+    so Python sees each different unit of a piece once.  Units of common characters
+    go through ``merge_core``; all others, and any with a special token's marks,
+    through the tree over the ``tokenizers`` library itself, where a unit within one
+    leaf is encoded directly.
+    """
 
-    def __init__(self, path: str, split, decoded: bool = False):
+    def __init__(self, path: str, kind: str):
         self.t = tokenizer(path)
         self.core = merge_core(self.t)
-        self.split = split
-        self.ids: dict[bytes, bytes] = {}
-        self.text: dict[bytes, bytes] | None = {} if decoded else None
+        self.kind = kind
         n = self.t.get_vocab_size(with_added_tokens=True)
         self.token = [(self.t.id_to_token(i) or "").encode() for i in range(n)] if self.t.decoder is None else None
+        vocabulary = json.loads(self.t.to_str())["model"]["vocab"]
+        self.lengths = None  # bytes of each token, for a byte-level tokenizer
+        if self.core is not None and kind == "spaced":
+            self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.lengths[list(vocabulary.values())] = [len(k) for k in vocabulary]
+        self._restart()
+
+    def _restart(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.held = 0
+        self.ids = _Store(np.uint32)
+        self.text = _Store(np.uint8) if self.kind == "word" else None
 
     def decode(self, ids: list[int]) -> bytes:
         if self.token is not None:  # without a decoder, tokens are joined by a blank
             return b" ".join([self.token[i] for i in ids])
         return self.t.decode(ids, skip_special_tokens=False).encode()
 
-    def _learn(self, units: list[bytes]) -> None:
-        rest, core, common = [], self.core, _COMMON.fullmatch
-        known, text = self.ids, self.text
-        for u in units:
-            s = u.decode()
-            if core is not None and len(u) <= MAX_UNIT and common(s) and "<|" not in s:
-                ids = core(s)
-                known[u] = array("I", ids).tobytes()
-                if text is not None:
-                    text[u] = self.decode(ids)
-            else:
-                rest.append((u, s))
-        short = [x for x in rest if len(x[1]) <= MAX_DIRECT]
-        for (u, _s), e in zip(short, self.t.encode_batch_fast([s for _u, s in short], add_special_tokens=False)):
-            self._put(u, e.ids)
-        for u, s in rest:
-            if len(s) > MAX_DIRECT:
-                self._put(u, bpe_tree.encode(self.t, s))
-
-    def _put(self, u: bytes, ids: list[int]) -> None:
-        self.ids[u] = array("I", ids).tobytes()
-        if self.text is not None:
-            self.text[u] = self.decode(ids)
-
-    def prepare(self, texts: list[bytes]) -> list[list[bytes]]:
-        """Units of each text, all of them known afterwards."""
-        parts = [self.split(t) for t in texts]
-        new = set().union(*parts).difference(self.ids)
-        if len(self.ids) + len(new) > MAX_KNOWN:
-            self.ids.clear()
-            if self.text is not None:
-                self.text.clear()
-            new = set().union(*parts)
-        self._learn(list(new))
-        return parts
-
-    def forget_long(self, parts: list[list[bytes]]) -> None:
-        """Drop units too long to be worth their memory."""
-        for p in parts:
-            if any(len(u) > MAX_UNIT for u in p):
-                for u in p:
-                    if len(u) > MAX_UNIT:
-                        self.ids.pop(u, None)
-                        if self.text is not None:
-                            self.text.pop(u, None)
+    def _learn(self, units: list[bytes], bulk: bool) -> None:
+        """Add units, all of them new."""
+        n = len(units)
+        if not n:
+            return
+        if bulk:
+            flat, sizes = self._bulk(units)
+        else:
+            core, common, rest = self.core, _COMMON.fullmatch, []
+            out: list = [None] * n
+            for i, u in enumerate(units):
+                s = u.decode()
+                if core is not None and len(s) <= bpe_tree.LEAF and common(s) and "<|" not in s:
+                    out[i] = core(s)
+                else:
+                    rest.append((i, s))
+            short = [x for x in rest if len(x[1]) <= bpe_tree.LEAF]
+            for (i, _s), e in zip(short, self.t.encode_batch_fast([s for _i, s in short], add_special_tokens=False)):
+                out[i] = e.ids
+            for i, s in rest:
+                if len(s) > bpe_tree.LEAF:
+                    out[i] = bpe_tree.encode(self.t, s)
+            parts = array("I")
+            for ids in out:
+                parts.extend(ids)
+            flat, sizes = np.frombuffer(parts, np.uint32), np.array([len(x) for x in out], np.int64)
+        self.ids.extend(flat, sizes)
+        if self.text is not None:  # each unit's text with the blank that parts it from the next
+            ends, ids = np.cumsum(sizes).tolist(), flat.tolist()
+            back = [self.decode(ids[a:b]) + b" " if b > a else b"" for a, b in zip([0, *ends], ends)]
+            self.text.extend(np.frombuffer(b"".join(back), np.uint8), np.array([len(x) for x in back], np.int64))
+        at = len(self.index)
+        self.index.update(zip(units, range(at, at + n)))
+        self.held += sum(map(len, units))
+
+    def _bulk(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per unit) of common units of a byte-level tokenizer that begin
+        with a blank, encoded as one text: between them are cuts that no token spans."""
+        flat = np.array(self.core(b"".join(units).decode()), np.uint32)
+        ends = np.concatenate([[0], np.cumsum(self.lengths[flat])])
+        edge = np.cumsum([0, *map(len, units)])
+        at = np.searchsorted(ends, edge)
+        if not np.array_equal(ends[at], edge):
+            raise AssertionError("a token spans two units")
+        return flat, np.diff(at)
+
+    def _known(self, body: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """Numbers of the different units body[edge[i]:edge[i + 1]], all of them known afterwards."""
+        text, cut = body.tobytes(), edge.tolist()
+        units = [text[a:b] for a, b in zip(cut, cut[1:])]
+        got = np.fromiter(map(self.index.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(got < 0)
+        if len(new):
+            if len(self.index) + len(new) > MAX_KNOWN or self.held > MAX_BYTES:
+                self._restart()
+                new = np.arange(len(units))
+            plain = np.zeros(len(new), bool)
+            if self.lengths is not None:
+                odd = np.concatenate([[0], np.cumsum(_RARE[body])])
+                blank = (body == 32) | (body == 10)
+                plain = (odd[edge[new + 1]] == odd[edge[new]]) & blank[edge[new]] & ~blank[edge[new + 1] - 1]
+            for some, bulk in ((new[plain], True), (new[~plain], False)):
+                got[some] = len(self.index) + np.arange(len(some))
+                self._learn([units[i] for i in some.tolist()], bulk)
+        return got
+
+    def encode(self, column: pa.Array) -> Encoded:
+        """Ids of every row of a string column; null is the empty text."""
+        raw, offsets = buffers(column)
+        starts, odd = unit_starts(raw, offsets, self.kind)
+        data = raw
+        if self.kind == "word":  # lower case, as the tokenizer does
+            data = LOWER[raw]
+            for r in odd:
+                data[offsets[r]:offsets[r + 1]] = raw[offsets[r]:offsets[r + 1]]
+        row_units = np.searchsorted(starts, offsets)
+        if not len(starts):
+            return Encoded(self.ids, np.zeros(0, np.int64), row_units, starts)
+        cut = np.append(starts, len(raw))
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = units.dictionary_encode()
+        _, edge, body = coded.dictionary.buffers()
+        which = self._known(np.frombuffer(body, np.uint8), np.frombuffer(edge, np.int64, len(coded.dictionary) + 1))[coded.indices.to_numpy()]
+        return Encoded(self.ids, which, row_units, starts)
+
+    def decoded(self, e: Encoded) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, row offsets) of the decoded rows, each with a last blank if not empty."""
+        size = self.text.sizes(e.which)
+        return self.text.gather(e.which, size), np.concatenate([[0], np.cumsum(size)])[e.row_units]
 
 
 def encoder(path: str, kind: str) -> Encoder:
     """The worker's encoder for a file: kind "spaced" or "word"."""
     key = f"{kind}:{path}"
     if key not in _loaded:
-        _loaded[key] = Encoder(path, spaced_units if kind == "spaced" else word_units, kind == "word")
+        _loaded[key] = Encoder(path, kind)
     return _loaded[key]
