@@ -30,6 +30,7 @@ PSI_BINS = 10
 PSI_EPSILON = 1e-4
 PSI_FLAG, PSI_STOP = 0.1, 0.25
 P_FLAG, P_STOP = 0.05, 0.01
+KS_EXACT_ROWS = 10_000  # the reference library computes exact p-values up to so many rows a side
 BASELINE_SAMPLE_SIZE = 10_000
 
 BASE, CUR = "baseline", "current"
@@ -172,6 +173,40 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
         F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
 
 
+def ks_exact_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value: the share of lattice paths from (0, 0) to (n, m) on which
+    the two empirical distributions ever differ by ``d`` or more.
+
+    ``d`` is rounded to the nearest multiple of 1 / lcm(n, m), which it is one of.  The
+    paths are followed diagonal by diagonal; of each only the stretch within ``d`` is
+    kept, and what left it counts as 1.  All terms are positive, so small p-values
+    keep their digits.
+    """
+    n, m = n.cast("bigint"), m.cast("bigint")
+    # |i m - j n| >= reach leaves; d n m is a whole number up to rounding
+    reach = F.round(d * n * m).cast("bigint")
+    state = F.struct(F.lit(0).cast("bigint").alias("low"), F.array(F.lit(0.0)).alias("g"))
+
+    def step(before: Column, s: Column) -> Column:
+        low = F.greatest(F.floor((s * n - reach) / (n + m)) + 1, s - m, F.lit(0)).cast("bigint")
+        high = F.least(F.ceil((s * n + reach) / (n + m)) - 1, n, s).cast("bigint")
+        seen = lambda i: F.coalesce(F.get(before["g"], (i - before["low"]).cast("int")), F.lit(1.0))
+        cells = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+        g = F.transform(cells, lambda i: (seen(i - 1) * i + seen(i) * (s - i)) / s)
+        return F.struct(low.alias("low"), g.alias("g"))
+
+    end = F.aggregate(F.sequence(F.lit(1).cast("bigint"), n + m), state, step, lambda x: F.coalesce(F.get(x["g"], F.lit(0)), F.lit(1.0)))
+    return F.when(reach <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), end))
+
+
+def ks_pvalue_auto(d: Column, n: Column, m: Column) -> Column:
+    """The rule of the reference's library: exact up to ``KS_EXACT_ROWS`` rows a side, else
+    asymptotic."""
+    small = (F.greatest(n, m) <= KS_EXACT_ROWS) & (F.least(n, m) > 0)
+    return F.when(d.isNull(), F.lit(None).cast("double")).when(small, ks_exact_pvalue(d, n, m)) \
+        .otherwise(ks_pvalue(d, n.cast("double"), m.cast("double")))
+
+
 def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """``(feature, ks_statistic, p_value, n_baseline, n_current)`` from running counts."""
     vc = (value_counts(long).where(F.col("feature").isin(list(numeric)) & _valid_num())
@@ -181,13 +216,11 @@ def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
     rt = with_totals(running_totals(vc, ["feature"], ["num"], ["b", "c"]), ["feature"], {"nb": F.col("b"), "nc": F.col("c")})
     diff = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("nb")) - F.try_divide(F.col("cum_c").cast("double"), F.col("nc")))
     g = rt.groupBy("feature").agg(F.max(diff).alias("ks_statistic"), F.first("nb").alias("n_baseline"), F.first("nc").alias("n_current"))
-    rows = g.select("feature", "ks_statistic",
-                    ks_pvalue(F.col("ks_statistic"), F.col("n_baseline").cast("double"),
-                              F.col("n_current").cast("double")).alias("p_value"),
-                    "n_baseline", "n_current").collect()  # one row per feature
+    spark = long.sparkSession
+    rows = spark.createDataFrame(g.collect(), g.schema)  # one row per feature
     vc.unpersist()  # shared by the split, offset and final jobs above
-    return long.sparkSession.createDataFrame(
-        rows, "feature string, ks_statistic double, p_value double, n_baseline bigint, n_current bigint")
+    return rows.select("feature", "ks_statistic", ks_pvalue_auto(F.col("ks_statistic"), F.col("n_baseline"), F.col("n_current")).alias("p_value"),
+                       "n_baseline", "n_current")
 
 
 def chi2_statistic(long: DataFrame, categorical: Sequence[str]) -> DataFrame:

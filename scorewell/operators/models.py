@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import math
 import os
 import random
 import time
@@ -28,6 +27,7 @@ from scorewell.functions.columns import label_from_threshold
 from scorewell.operators import metrics as M
 from scorewell.operators import validate as V
 from scorewell.operators.latest import latest
+from scorewell.operators.search import draw_uniform, fold_score, is_parameter_error
 
 # Production threshold, candidate filter, promotion advisory gap.
 DEFAULT_THRESHOLD = 0.6238
@@ -333,36 +333,17 @@ def cv_pr_auc(df: DataFrame, features: Sequence[str], estimator, label: str = "y
               resample=None) -> float:
     """M4: mean PR-AUC over the folds of ``df`` (``fold`` from ``sampling.kfold``).
 
-    ``resample`` (e.g. class weights) is applied to the training part of each fold only.
+    ``resample`` (class weights, ``smote``) is applied to the training part of each fold only.
     """
-    folds = [r[fold] for r in df.select(fold).distinct().collect()]  # k numbers
-    scores = []
-    for k in sorted(folds):
-        train = df.where(F.col(fold) != k)
-        if resample is not None:
-            train = resample(train)
-        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                                 handleInvalid="keep"), estimator]).fit(train)
-        s = probability(model.transform(df.where(F.col(fold) == k))).select(F.lit("m").alias("model"), label, "score")
-        scores.append(M.average_precision(s, ["model"], label=label).first()["average_precision"])
+    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())  # k numbers
+    scores = [fold_score(df, features, estimator, k, label, fold, resample) for k in folds]
     return sum(scores) / len(scores)
 
 
 def draw_params(space: Mapping, seed: int, trial: int) -> dict:
-    """Parameters of one trial: a list is a choice, ``(low, high)`` a uniform range (whole
-    numbers if both ends are), ``(low, high, "log")`` a log-uniform one."""
+    """Parameters of one random trial (ranges as in ``search.draw_uniform``)."""
     rng = random.Random(f"{seed}:{trial}")
-    out = {}
-    for name, s in space.items():
-        if isinstance(s, list):
-            out[name] = rng.choice(s)
-        elif len(s) == 3:
-            out[name] = math.exp(rng.uniform(math.log(s[0]), math.log(s[1])))
-        elif all(isinstance(x, int) for x in s):
-            out[name] = rng.randint(*s)
-        else:
-            out[name] = rng.uniform(*s)
-    return out
+    return {name: draw_uniform(spec, rng) for name, spec in space.items()}
 
 
 def random_search(df: DataFrame, features: Sequence[str], make: Callable[..., object], space: Mapping, trials: int = 100,
@@ -370,15 +351,20 @@ def random_search(df: DataFrame, features: Sequence[str], make: Callable[..., ob
     """M5: seeded random search; one row per trial (trial, params as JSON, pr_auc, error).
 
     Every trial is a distributed M4 run over the same cached folds; the driver only
-    holds the drawn parameters and one score per trial.  A trial that fails is a row.
+    holds the drawn parameters and one score per trial.  A trial whose parameters are
+    refused is a row; any other error is raised.
     """
     df = df.persist()
     rows = []
-    for t in range(trials):
-        params = draw_params(space, seed, t)
-        try:
-            rows.append((t, json.dumps(params), cv_pr_auc(df, features, make(**params), label, fold, resample), None))
-        except Exception as e:  # noqa: BLE001 - recorded, not raised
-            rows.append((t, json.dumps(params), None, str(e)))
-    df.unpersist()
+    try:
+        for t in range(trials):
+            params = draw_params(space, seed, t)
+            try:
+                rows.append((t, json.dumps(params), cv_pr_auc(df, features, make(**params), label, fold, resample), None))
+            except Exception as e:
+                if not is_parameter_error(e):
+                    raise
+                rows.append((t, json.dumps(params), None, str(e)))
+    finally:
+        df.unpersist()
     return df.sparkSession.createDataFrame(rows, "trial int, params string, pr_auc double, error string")
