@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import parent_feature
 from scorewell.operators.metrics import average_precision, spearman_pearson
-from scorewell.operators.ordered import BUCKET, hash_bucket, null_safe_join, rows_per_bucket
+from scorewell.operators.ordered import BUCKET, hash_bucket, null_safe_join, order_hash, rows_per_bucket
 
 # Thresholds of the explanation gates.
 RELEVANCE_MIN = 0.5
@@ -192,9 +192,8 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
     hold only the key, the label and what ``score_fn`` reads.
     """
     x = df.select("*", F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("_repeat"))
-    x = x.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), "_repeat"))
-    bucket, _n = hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df)))
-    x = x.withColumn(BUCKET, bucket)
+    x = x.withColumn("_h", order_hash(F.col(key), F.lit(seed), F.col("_repeat")))
+    x = x.withColumn(BUCKET, hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df))))
     own = F.struct(*[F.col(f"`{f}`").cast("double").alias(f) for f in features])
     w = Window.partitionBy("_repeat", BUCKET).orderBy("_h", key)
     x = x.withColumn("_own", own).withColumn("_before", F.lag("_own").over(w)).withColumn("_first", F.row_number().over(w) == 1)

@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 from scorewell.functions.columns import label_from_threshold
 from scorewell.operators import metrics as M
 from scorewell.operators import validate as V
+from scorewell.operators.booster import HistogramBooster
 from scorewell.operators.latest import latest
+from scorewell.operators.sampling import class_weights
 from scorewell.operators.search import draw_uniform, fold_score, is_parameter_error
+from scorewell.operators.smote import smote
 
 # Production threshold, candidate filter, promotion advisory gap.
 DEFAULT_THRESHOLD = 0.6238
@@ -39,37 +42,70 @@ ENSEMBLE_WEIGHTS = [5, 3, 1]
 
 # ---------------------------------------------------------------- M1 / M2
 def estimators(features_col: str = "features", label: str = "y", weight_col: str | None = None,
-               seed: int = 42) -> dict:
-    """M1: the model family (two boosted-tree settings, random forest, logistic regression)."""
+               seed: int = 42, trees: int = 20) -> dict:
+    """M1: the model family: two boosters of different make (``trees`` each), random
+    forest (twice as many), logistic regression."""
     kw = {"featuresCol": features_col, "labelCol": label}
     if weight_col:
         kw["weightCol"] = weight_col
     return {
-        "gbt_shallow": GBTClassifier(maxDepth=3, maxIter=30, seed=seed, **kw),
-        "gbt_deep": GBTClassifier(maxDepth=5, maxIter=20, stepSize=0.2, seed=seed, **kw),
-        "random_forest": RandomForestClassifier(numTrees=40, maxDepth=6, seed=seed, **kw),
+        "gradient_trees": GBTClassifier(maxDepth=4, maxIter=trees, seed=seed, **kw),
+        "histogram_trees": HistogramBooster(maxIter=trees, maxLeaves=15, maxDepth=4, seed=seed, **kw),
+        "random_forest": RandomForestClassifier(numTrees=2 * trees, maxDepth=6, seed=seed, **kw),
         "logistic": LogisticRegression(maxIter=50, regParam=0.01, **kw),
     }
 
 
+def train_family(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str = "y", key: str = "id",
+                 neighbours: int = 5, seed: int = 42, trees: int = 20) -> DataFrame:
+    """M1 + M2: the eight runs (each model with balanced class weights and with SMOTE) and
+    the two soft votes, one result row each; a run that fails is a row.
+
+    ``train`` and ``valid`` hold a whole-number ``key``, the label and the features.
+    """
+    spark = train.sparkSession
+    train, valid = train.persist(), valid.persist()
+    balanced = {"weight": class_weights(train, label), "smote": smote(train, label, key, features, neighbours, seed)}
+    rows = []
+    for kind, rows_in in balanced.items():
+        rows_in, scored, votes = rows_in.persist(), valid, []
+        for name, est in estimators(label=label, weight_col="weight" if kind == "weight" else None, seed=seed, trees=trees).items():
+            run = f"{name}+{kind}"
+            model, r = train_evaluate(spark, run, est, features, rows_in, valid, label)
+            rows.append(r)
+            if model is not None:
+                scored = probability(model.transform(scored), f"p{len(votes)}").drop("features", "rawPrediction", "probability", "prediction")
+                votes.append(f"p{len(votes)}")
+        if votes:
+            rows.append(evaluate(scored.withColumn("score", soft_vote(votes)), f"soft_vote+{kind}", label))
+        rows_in.unpersist()
+    train.unpersist()
+    valid.unpersist()
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
 def probability(pred: DataFrame, out: str = "score") -> DataFrame:
     """Positive-class probability as a double column."""
     return pred.withColumn(out, vector_to_array(F.col("probability"))[1])
 
 
+def evaluate(scored: DataFrame, name: str, label: str = "y") -> dict:
+    """The result row of a scored validation set."""
+    scored = scored.select(F.lit(name).alias("model"), label, "score")
+    pts = M.curve(scored, ["model"], label=label)
+    r = (M.roc_auc(None, ["model"], points=pts).join(M.average_precision(None, ["model"], points=pts), "model")
+         .join(M.confusion(scored, ["model"], 0.5, label=label), "model").first())
+    return {"model": name, "status": "ok", "error": None, "roc_auc": r["roc_auc"], "pr_auc": r["average_precision"],
+            "f1": r["f1"], "recall": r["recall"], "precision": r["precision"]}
+
+
 def train_evaluate(spark: SparkSession, name: str, estimator, features: Sequence[str], train: DataFrame,
                    valid: DataFrame, label: str = "y") -> tuple[PipelineModel | None, dict]:
     """M2: fit + evaluate; a failure is recorded as a row, not raised."""
     try:
         model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
                                                  handleInvalid="keep"), estimator]).fit(train)
-        scored = probability(model.transform(valid)).select(F.lit(name).alias("model"), label, "score")
-        pts = M.curve(scored, ["model"], label=label)
-        r = (M.roc_auc(None, ["model"], points=pts).join(M.average_precision(None, ["model"], points=pts), "model")
-             .join(M.confusion(scored, ["model"], 0.5, label=label), "model").first())
-        return model, {"model": name, "status": "ok", "error": None, "roc_auc": r["roc_auc"],
-                       "pr_auc": r["average_precision"], "f1": r["f1"], "recall": r["recall"],
-                       "precision": r["precision"]}
+        return model, evaluate(probability(model.transform(valid)), name, label)
     except Exception as e:  # noqa: BLE001 - recorded, not raised
         return None, {"model": name, "status": "failed", "error": str(e), "roc_auc": None,
                       "pr_auc": None, "f1": None, "recall": None, "precision": None}

@@ -67,19 +67,12 @@ def rows_per_bucket(df: DataFrame, given: int | None = None) -> int:
 
 def pinned_splits(df: DataFrame, value: str | Column, per_bucket: int | None = None) -> list[float]:
     """Cut points of ``value`` that leave about ``per_bucket`` rows in a bucket
-    (one number per bucket reaches the driver)."""
+    (one number per bucket reaches the driver; no job but a count where one bucket is enough)."""
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    points = 1024
-    # one job gives the row count and enough cut points for up to 256 buckets
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(v, [i / points for i in range(1, points)], 10 * points).alias("s")).first()
-    want = math.ceil(r["n"] / rows_per_bucket(df, per_bucket))
+    want = math.ceil(df.count() / rows_per_bucket(df, per_bucket))
     if want <= 1:
         return []
-    got = r["s"] or []
-    if want > points // 4:  # more buckets than that: ask for exactly their cut points
-        got = df.agg(F.approx_percentile(v, [i / want for i in range(1, want)], max(10_000, 10 * want)).alias("s")).first()["s"] or []
-    elif got:
-        got = [got[min(len(got) - 1, round(i * points / want) - 1)] for i in range(1, want)]
+    got = df.agg(F.approx_percentile(v, [i / want for i in range(1, want)], max(10_000, 10 * want)).alias("s")).first()["s"] or []
     return sorted({x for x in got if x is not None and not math.isnan(x)})
 
 
@@ -159,16 +152,27 @@ def pick_by_rank(counts: DataFrame, keys: Sequence[str], value: str, count_col:
         .select(*keys, F.col("_t.name").alias("name"), F.col("_t.pos").alias("pos"), "n", value)
 
 
-def hash_bucket(h: str, buckets: int) -> tuple[Column, int]:
-    """Bucket of a 64-bit hash by its top bits, and the number of buckets (a power of two)."""
+HASH_BITS = 60
+
+
+def order_hash(*parts: Column) -> Column:
+    """A whole number below 2**60 from the md5 of the parts joined by ":" (an order
+    that other engines share)."""
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def hash_bucket(h: str, buckets: int) -> Column:
+    """Bucket of an ``order_hash`` by its top bits, at least ``buckets`` of them (a power of two)."""
     bits = max(0, (buckets - 1).bit_length())
-    return (F.shiftright(F.col(h), 64 - bits) if bits else F.lit(0)).cast("bigint"), 1 << bits
+    return (F.shiftright(F.col(h), HASH_BITS - bits) if bits else F.lit(0)).cast("bigint")
 
 
 def positions(df: DataFrame, keys: Sequence[str], seed: int, id_col: str, out: str = "pos",
               per_bucket: int | None = None) -> DataFrame:
-    """0-based position of each row within its key in the seeded hash order ``(xxhash64(id, seed), id)``."""
-    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("_one", F.lit(1))
-    bucket, _n = hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df, per_bucket)))
+    """0-based position of each row within its key in the seeded hash order
+    ``(order_hash(id, seed), id)``."""
+    h = df.withColumn("_h", order_hash(F.col(id_col), F.lit(seed))).withColumn("_one", F.lit(1))
+    bucket = hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df, per_bucket)))
     rt = running_totals(h, keys, ["_h", id_col], ["_one"], bucket=bucket)
     return rt.withColumn(out, F.col("cum__one") - 1).drop("_h", "_one", "cum__one")

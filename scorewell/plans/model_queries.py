@@ -100,17 +100,15 @@ def _labelled_orders(spark, sf_dir):
 
 
 def stratified_split(spark, sf_dir):
-    """B1: 70 / 15 / 15 per order status (no label: a class of its own); rows per (class, split)."""
+    """B1: 70 / 15 / 15 per order status (no label: a class of its own)."""
     od = _labelled_orders(spark, sf_dir)
-    s = S.stratified_split(od, "o_orderstatus", "o_orderkey", seed=42)
-    return s.groupBy("o_orderstatus", "split").agg(F.count(F.lit(1)).alias("n"))
+    return S.stratified_split(od, "o_orderstatus", "o_orderkey", seed=42).select("o_orderkey", "o_orderstatus", "split")
 
 
 def kfold(spark, sf_dir):
-    """B2: stratified 3-fold; rows per (class, fold)."""
+    """B2: stratified 3-fold."""
     od = _labelled_orders(spark, sf_dir)
-    k = S.kfold(od, "o_orderstatus", "o_orderkey", k=3, seed=42)
-    return k.groupBy("o_orderstatus", "fold").agg(F.count(F.lit(1)).alias("n"))
+    return S.kfold(od, "o_orderstatus", "o_orderkey", k=3, seed=42).select("o_orderkey", "o_orderstatus", "fold")
 
 
 def _attr_input(spark, sf_dir):
@@ -184,7 +182,7 @@ def ranking_consistency(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     """PR-AUC drop of the [5, 3, 1] vote when one input column is shuffled (5 repeats)."""
     li = table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"),
         (F.col("l_returnflag") == "R").cast("int").alias("y"), "l_discount", "l_tax", "l_quantity")
 
     def score_fn(d):
@@ -281,6 +279,10 @@ dr AS (
   FROM dir
 )"""
 
+_POSITIONS = """p AS (
+  SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) OVER (PARTITION BY nullif(o_orderstatus, 'P')) AS n,
+         row_number() OVER (PARTITION BY nullif(o_orderstatus, 'P') ORDER BY substr(md5(o_orderkey || ':42'), 1, 15), o_orderkey) - 1 AS pos FROM orders)"""
+
 ORACLE = {
     "soft_vote": f"""WITH {_SC}, v AS (SELECT 'vote_5_3_1' AS model, y, (p1 * 5.0 + p2 * 3.0 + p3 * 1.0) / 9.0 AS score FROM s),
 {_ap_sql('v', 'model')}
@@ -329,15 +331,24 @@ SELECT 'o_totalprice' AS "column", count(*) AS n_compared,
        round(max(abs(ap - bp)), 6) AS max_abs_diff FROM j
 UNION ALL
 SELECT 'o_orderstatus', count(*), CAST(count_if(ast IS DISTINCT FROM bst) AS BIGINT), NULL FROM j""",
-    "stratified_split": """WITH c AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
-s AS (SELECT o_orderstatus, n, CAST(floor(n * 0.15::DOUBLE + 0.5) AS BIGINT) AS nt FROM c),
+    "stratified_split": f"""WITH {_POSITIONS},
+s AS (SELECT *, CAST(floor(n * 0.15::DOUBLE + 0.5) AS BIGINT) AS nt FROM p),
 s2 AS (SELECT *, CAST(floor((n - nt) * (0.15::DOUBLE / (1.0::DOUBLE - 0.15::DOUBLE)) + 0.5) AS BIGINT) AS nv FROM s)
-SELECT o_orderstatus, 'test' AS split, nt AS n FROM s2 WHERE nt > 0
-UNION ALL SELECT o_orderstatus, 'val', nv FROM s2 WHERE nv > 0
-UNION ALL SELECT o_orderstatus, 'train', n - nt - nv FROM s2 WHERE n - nt - nv > 0""",
-    "kfold": """WITH c AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
-SELECT o_orderstatus, CAST(f AS INTEGER) AS fold, n // 3 + CASE WHEN f < n % 3 THEN 1 ELSE 0 END AS n
-FROM c, range(0, 3) t(f) WHERE n // 3 + CASE WHEN f < n % 3 THEN 1 ELSE 0 END > 0""",
+SELECT o_orderkey, o_orderstatus, CASE WHEN pos < nt THEN 'test' WHEN pos < nt + nv THEN 'val' ELSE 'train' END AS split FROM s2""",
+    "kfold": f"""WITH {_POSITIONS} SELECT o_orderkey, o_orderstatus, CAST(pos % 3 AS INTEGER) AS fold FROM p""",
+    "permutation_importance": f"""WITH li AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount AS d, l_tax AS t, CAST(l_quantity AS DOUBLE) AS q FROM lineitem
+), o AS (SELECT *, row_number() OVER w AS rn, lag(d) OVER w AS d1, lag(t) OVER w AS t1, lag(q) OVER w AS q1 FROM li, range(5) r(rep)
+         WINDOW w AS (PARTITION BY rep ORDER BY substr(md5(row_id || ':42:' || rep), 1, 15), row_id)),
+e AS (SELECT rep, arg_max(d, rn) AS d2, arg_max(t, rn) AS t2, arg_max(q, rn) AS q2 FROM o GROUP BY rep),
+x AS (SELECT o.rep, y, d, t, q, CASE WHEN rn = 1 THEN d2 ELSE d1 END AS dn, CASE WHEN rn = 1 THEN t2 ELSE t1 END AS tn, CASE WHEN rn = 1 THEN q2 ELSE q1 END AS qn
+      FROM o JOIN e USING (rep)),
+v AS (SELECT 'l_discount' AS feature, rep, y, dn AS d, t, q FROM x UNION ALL SELECT 'l_tax', rep, y, d, tn, q FROM x
+      UNION ALL SELECT 'l_quantity', rep, y, d, t, qn FROM x UNION ALL SELECT '', 0, y, d, t, q FROM li),
+z AS (SELECT feature, rep, y, (d * 10 * 5.0 + t / 0.08 * 3.0 + (q - 1) / 49 * 1.0) / 9.0 AS score FROM v),
+{_ap_sql('z', 'feature, rep')}, b AS (SELECT average_precision AS base FROM ap WHERE feature = '')
+SELECT feature, round(avg(base - average_precision), 6) AS importance_mean, round(stddev_pop(base - average_precision), 6) AS importance_std
+FROM ap, b WHERE feature <> '' GROUP BY feature""",
     "importance_top_n": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_IMP}
 SELECT parent, round(importance, 6) AS importance, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 5""",
     "direction_gate": f"""WITH {_ATTR}, {_attr_long(ATTR_WEIGHTS, 'a')}, {_DIR}
