@@ -7,6 +7,7 @@ the oracle SQL computes directly.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,19 +84,41 @@ def request_windows_stream(spark, sf_dir):
                          r6(F.col("x.error_pct")).alias("error_pct"))
 
 
+# Fixed values of the fixture: delivery of the run log, in files that arrive one after another.
+ARRIVALS, DELAY_HOURS, TTL_DAYS = 6, 12, 2
+
+
+def _late_log(spark, sf_dir) -> str:
+    """Events as a run log of ``ARRIVALS`` files, each row up to ``DELAY_HOURS`` late."""
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(DELAY_HOURS * 3600 - 60)) * 1_000_000
+    ev = ev.withColumn("_come", F.unix_micros("ts") + late)
+    r = ev.agg(F.min("_come").alias("a"), F.max("_come").alias("b")).first()
+    path = shared_path(spark, "scorewell-stream-in", os.urandom(8).hex())
+    part = F.least(F.lit(ARRIVALS - 1), F.floor((F.col("_come") - r["a"]) * ARRIVALS / max(1, r["b"] - r["a"])))
+    for k in range(ARRIVALS):  # in turn, so the files' times follow the order of arrival
+        ev.where(part == k).drop("_come").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def completed_runs(spark, sf_dir):
-    """A run log from ``events`` (a user is a generation, a purchase completes it):
-    the times at which each becomes completed, and the score of its rows so far."""
-    log = _event_stream(spark, sf_dir).withColumn("status", F.when(F.col("event_type") == "purchase", "completed").otherwise("running"))
+    """A run log from ``events`` (a user is a generation, a purchase completes it) that
+    arrives in six micro-batches with late rows: the times at which each becomes
+    completed, and the number of rows scored for it."""
+    path = _late_log(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    log = stream.withColumn("status", F.when(F.col("event_type") == "purchase", "completed").otherwise("running"))
     out = shared_path(spark, "scorewell-stream-out", os.urandom(8).hex())
     events = table(spark, sf_dir, "events")
 
     def handle(batch, batch_id):
-        rows = events.join(batch.select(F.col("generation_id").cast("bigint").alias("user_id")).distinct(), "user_id", "left_semi")
+        batch = batch.withColumn("user_id", F.col("generation_id").cast("bigint")).persist()
+        rows = events.join(batch.select("user_id").distinct(), "user_id", "left_semi")
         scored = rows.select("user_id", _score_col().alias("score")).groupBy("user_id").agg(F.count("*").alias("n_scored"))
-        batch.withColumn("user_id", F.col("generation_id").cast("bigint")).join(scored, "user_id") \
-            .select("user_id", "completed_us", "n_scored").write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-    J.score_completed_runs(J.completed_runs(log, "user_id", "status", "ts", "event_id"), "completed_runs", out, handle)
+        batch.join(scored, "user_id").select("user_id", "completed_us", "n_scored").write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        batch.unpersist()
+    runs = J.completed_runs(log, "user_id", "status", "ts", "event_id", f"{DELAY_HOURS} hours", dt.timedelta(days=TTL_DAYS))
+    J.score_completed_runs(runs, "completed_runs", out, handle)
     return spark.read.parquet(out).select("user_id", "completed_us", "n_scored")
 
 
@@ -103,11 +126,15 @@ QUERIES = {"completed_runs": completed_runs, "score_stream": score_stream, "dead
            "request_windows_stream": request_windows_stream}
 
 ORACLE = {
+    # rows that the last watermark has not passed are still held
     "completed_runs": """
-WITH l AS (SELECT user_id, epoch_us(ts) AS completed_us, event_type = 'purchase' AS done,
-                  lag(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+WITH e AS (SELECT *, epoch_us(ts) AS us FROM events),
+w AS (SELECT max(us) // 1000 * 1000 - 43200000000 AS wm FROM e),
+l AS (SELECT user_id, us, event_type = 'purchase' AS done, lag(event_type = 'purchase') OVER o AS before, us - lag(us) OVER o AS gap
+      FROM e, w WHERE us < wm WINDOW o AS (PARTITION BY user_id ORDER BY us, event_id)),
 n AS (SELECT user_id, count(*) AS n_scored FROM events GROUP BY user_id)
-SELECT user_id, completed_us, n_scored FROM l JOIN n USING (user_id) WHERE done AND NOT coalesce(before, false)""",
+SELECT user_id, us AS completed_us, n_scored FROM l JOIN n USING (user_id)
+WHERE done AND NOT (coalesce(before, false) AND coalesce(gap <= 172800000000, false))""",
     "score_stream": """
 SELECT event_id, round(1.0 / (1.0 + exp(-(value / 100.0 - 1.0))), 6) AS score FROM events
 WHERE value IS NOT NULL AND NOT isnan(value) AND value BETWEEN 0 AND 300

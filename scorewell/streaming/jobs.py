@@ -15,7 +15,8 @@ The reference polls; here the same work runs as streaming queries:
 * ``snapshot_batch``: every metric spec in its own try block, appended per
   micro-batch (T4, S15).
 * ``completed_runs`` / ``score_completed_runs``: event-driven scoring of runs that
-  become completed (T8); the state is the last status per generation.
+  become completed (T8); ``transformWithState`` with timers: statuses held until the
+  watermark, the last status per generation until its time to live.
 
 Checkpoints live under the session's ``spark.checkpoint.dir``, at a name made of
 the job and its sink: the same job on the same sink resumes where it stopped,
@@ -33,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from scorewell.operators import monitor as MO
@@ -201,26 +203,83 @@ def snapshot_batch(batch: DataFrame, specs: Mapping[str, Callable[[DataFrame], D
 
 
 # ---------------------------------------------------------------- T8
-def _fold_status(key, pdfs: Iterator[pd.DataFrame], state):
-    rows = pd.concat(list(pdfs)).sort_values(["ts_us", "seq"], kind="stable")
-    done = (rows["status"] == "completed").to_numpy()
-    before = np.concatenate([[state.get[0] if state.exists else False], done[:-1]])
-    state.update((bool(done[-1]),))
-    at = rows["ts_us"].to_numpy()[done & ~before]
-    yield pd.DataFrame({"generation_id": [key[0]] * len(at), "completed_us": at})
-
-
-def completed_runs(runs: DataFrame, generation: str, status: str, time_col: str, seq: str) -> DataFrame:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def completions(at: np.ndarray, done: np.ndarray, last_at: int | None, last_done: bool, ttl: int) -> np.ndarray:
+    """Of a generation's rows in order, those that become completed: completed while the
+    row before was not, or is more than ``ttl`` older, or there is none."""
+    if not len(at):
+        return np.zeros(0, bool)
+    before = np.concatenate([[last_done], done[:-1]])
+    gap = np.diff(np.concatenate([[at[0] if last_at is None else last_at], at]))
+    return done & ~(before & (gap <= ttl))
+
+
+class _CompletedRuns(StatefulProcessor):
+    """Rows are held until the watermark passes them, then folded in order of time and
+    ``seq``; the last status is dropped when nothing came for ``ttl``."""
+
+    def __init__(self, ttl_us: int):
+        self.ttl = ttl_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ts_us long, done boolean")
+        self.held = handle.getListState("held", "ts_us long, seq long, done boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = pd.concat(list(rows))
+        done = (new["status"] == "completed").to_numpy()
+        self.held.appendList([(int(t), int(q), bool(d)) for t, q, d in zip(new["ts_us"], new["seq"], done)])
+        self.handle.registerTimer(int(new["ts_us"].min() // 1000 + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = sorted(tuple(r) for r in self.held.get())
+        ready = [r for r in held if r[0] // 1000 < passed]
+        wait = held[len(ready):]
+        old = self.last.get() if self.last.exists() else None
+        at, done = np.array([r[0] for r in ready], np.int64), np.array([r[2] for r in ready], bool)
+        fired = at[completions(at, done, old and old[0], bool(old and old[1]), self.ttl)]
+        if ready:
+            self.last.update((int(at[-1]), bool(done[-1])))
+            self.held.clear()
+            if wait:
+                self.held.put(wait)
+        newest = int(at[-1]) if ready else old[0] if old else None
+        if wait:
+            self.handle.registerTimer(wait[0][0] // 1000 + 1)
+        elif newest is not None:
+            ends = (newest + self.ttl) // 1000 + 1
+            if ends < passed:
+                self.last.clear()
+            else:
+                self.handle.registerTimer(ends)
+        if len(fired):
+            yield pd.DataFrame({"generation_id": [key[0]] * len(fired), "completed_us": fired})
+
+    def close(self) -> None:
+        pass
+
+
+def completed_runs(runs: DataFrame, generation: str, status: str, time_col: str, seq: str, watermark: str = "1 hour",
+                   ttl: dt.timedelta = dt.timedelta(days=30)) -> DataFrame:
     """One row each time a run *becomes* completed (K8 on a stream).
 
-    State per generation: whether its last status was completed, so a repeated
-    ``completed`` in a later micro-batch does not fire again.  Rows are ordered by
-    time and ``seq`` within a micro-batch.
+    Statuses may come in any order across micro-batches: they are held until the
+    watermark has passed them, and only rows later than the watermark are lost.  State
+    per generation: the rows held and the last status, which is dropped when the
+    generation was silent for ``ttl`` (a later ``completed`` then fires again).  Start
+    the query with the RocksDB state store (``score_completed_runs`` does).
     """
-    r = runs.select(F.col(generation).cast("string").alias("generation_id"), F.col(status).alias("status"),
-                    F.unix_micros(F.col(time_col).cast("timestamp")).alias("ts_us"), F.col(seq).cast("long").alias("seq"))
-    return r.groupBy("generation_id").applyInPandasWithState(
-        _fold_status, "generation_id string, completed_us long", "done boolean", "append", GroupStateTimeout.NoTimeout)
+    r = runs.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark).select(
+        F.col(generation).cast("string").alias("generation_id"), F.col(status).alias("status"),
+        F.unix_micros("_at").alias("ts_us"), F.col(seq).cast("long").alias("seq"), "_at")
+    return r.groupBy("generation_id").transformWithStateInPandas(
+        statefulProcessor=_CompletedRuns(ttl // dt.timedelta(microseconds=1)), outputStructType="generation_id string, completed_us long",
+        outputMode="append", timeMode="EventTime")
 
 
 def score_completed_runs(completed: DataFrame, name: str, sink: str,
@@ -228,4 +287,10 @@ def score_completed_runs(completed: DataFrame, name: str, sink: str,
     """Hand each micro-batch of newly completed runs to ``on_generations`` as a
     DataFrame: the handler reads their rows by a semi join (S2), scores (M6) and
     appends (S11) them all in one job.  It must be idempotent per batch id."""
-    run_available_now(completed, name, sink, on_generations)
+    conf, key = completed.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key, None)
+    conf.set(key, ROCKSDB)  # lists and timers need it; read when the query starts
+    try:
+        run_available_now(completed, name, sink, on_generations)
+    finally:
+        conf.set(key, before) if before else conf.unset(key)

@@ -62,19 +62,46 @@ def test_repeat_suppression_over_many_chunks_and_batches(spark):
     assert sorted(r["ts_us"] - base for r in _collect(spark, out)) == want
 
 
-def test_completed_runs_fire_once(spark):
+def test_completed_runs_over_late_rows(spark):
+    """Seven runs of one stream: order by time whatever the arrival, completed ->
+    completed does not fire, silence beyond the time to live does, later rows are lost."""
     d = tempfile.mkdtemp(prefix="runs-")
     src, out = f"{d}/in", f"{d}/out"
     hour = lambda k: T0 + dt.timedelta(hours=k)
-    batches = [[(1, "g", hour(0), "running"), (2, "g", hour(1), "completed"), (3, "h", hour(1), "completed")],
-               [(4, "g", hour(2), "completed"), (5, "h", hour(2), "failed")],
-               [(6, "h", hour(3), "completed"), (7, "g", hour(3), None)]]
+    batches = [[(1, "g", hour(1), "completed"), (2, "h", hour(2), "completed")],
+               [(3, "g", hour(0), "completed"), (4, "g", hour(0.5), "running"), (5, "h", hour(3), "failed")],   # late, in time
+               [(6, "h", hour(4), "completed"), (7, "g", hour(4), None), (8, "g", hour(4.5), "completed")],
+               [(9, "x", hour(20), "running")], [(10, "g", hour(5), "running"), (11, "g", hour(21), "completed")],  # 10 is too late
+               [(12, "h", hour(40), "completed")], [(13, "x", hour(60), "running")]]
     for rows in batches:
         _put(spark, src, rows)
-        done = J.completed_runs(J.file_stream(spark, src, spark.read.parquet(src).schema), "series", "status", "at", "id")
+        done = J.completed_runs(J.file_stream(spark, src, spark.read.parquet(src).schema), "series", "status", "at", "id",
+                                "3 hours", dt.timedelta(hours=24))
         J.score_completed_runs(done, "runs", out, _writer(out))
-    got = sorted((r["batch_id"], r["generation_id"]) for r in _collect(spark, out))
-    assert got == [(0, "g"), (0, "h"), (2, "h")]  # completed -> completed does not fire again
+    got = sorted((r["generation_id"], (r["completed_us"] - int(T0.timestamp() * 1e6)) / 3.6e9) for r in _collect(spark, out))
+    assert got == [("g", 0.0), ("g", 1.0), ("g", 4.5), ("h", 2.0), ("h", 4.0), ("h", 40.0)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != J.ROCKSDB
+
+
+def test_completed_runs_state_is_bounded(spark):
+    """After a long silence no generation has state, however many there were."""
+    d = tempfile.mkdtemp(prefix="runs-")
+    src, out = f"{d}/in", f"{d}/out"
+    for k in range(4):
+        _put(spark, src, [(100 * k + i, f"g{k}-{i}", T0 + dt.timedelta(hours=10 * k), "completed") for i in range(30)])
+        done = J.completed_runs(J.file_stream(spark, src, spark.read.parquet(src).schema), "series", "status", "at", "id",
+                                "1 hour", dt.timedelta(hours=5))
+        J.score_completed_runs(done, "bounded", out, _writer(out))
+    state = spark.read.format("statestore").option("path", J.checkpoint_for(spark, "bounded", out)).option("stateVarName", "last").load()
+    assert state.count() <= 30 and _collect(spark, out) and len(_collect(spark, out)) == 90
+
+
+def test_completions_follow_gaps():
+    import numpy as np
+    at, done = np.array([10, 20, 500, 510]), np.array([True, True, True, False])
+    assert J.completions(at, done, None, False, 100).tolist() == [True, False, True, False]
+    assert J.completions(at, done, 5, True, 100).tolist() == [False, False, True, False]
+    assert J.completions(at[:0], done[:0], 5, True, 100).tolist() == []
 
 
 def test_snapshot_isolates_specs_and_skips_empty_results(spark):
