@@ -1,29 +1,26 @@
-"""Shared helpers: tables, intermediate results in the shared folder."""
+"""Shared helpers: tables, intermediate results in the shared folder, free column names."""
 
 from __future__ import annotations
 
-import os
-import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewell.session import checkpoint_dir
+from scorewell.session import staged
+
+__all__ = ["read", "shuffle_partitions", "staged", "unused"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a DataFrame once to the shared folder and return it re-read.
-
-    Cuts the lineage: a lost executor re-reads files instead of recomputing,
-    and later jobs all see the same rows.
-    """
-    spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def unused(prefix: str, taken: Iterable[str]) -> str:
+    """``prefix`` with as many underscores before it as no taken name begins with it."""
+    taken = [t.lower() for t in taken]
+    while any(t.startswith(prefix.lower()) for t in taken):
+        prefix = "_" + prefix
+    return prefix
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -151,19 +151,25 @@ def vote(scanned: DataFrame) -> DataFrame:
 
 
 def verify(spans: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Spans with the share of the template's words that they hold in order."""
+    """Spans with the share of the template's words that they hold in order.
+
+    A document meets its spans as one list, so its text is moved and split once
+    however many notices it holds."""
     tpl = {i: (label, t) for i, label, t in templates()}
-    withtext = spans.join(scanned.select("rid", "body"), "rid").select("rid", "template", "lo", "hi", "votes", "body")
+    lists = spans.groupBy("rid").agg(F.collect_list(F.struct("template", "lo", "hi", "votes")).alias("spans"))
+    withtext = lists.join(scanned.select("rid", "body"), "rid").select("rid", "spans", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for rid, t, lo, hi, votes, body in zip(*(c.to_pylist() for c in b.columns)):
-                label, want = tpl[t]
-                have = words_of(body)[max(0, lo - len(want)):hi + len(want)]
-                m = SequenceMatcher(None, want, have, autojunk=False)
-                share = sum(x.size for x in m.get_matching_blocks() if x.size >= 2) / len(want)
-                out.append((rid, label, lo, hi, votes, min(1.0, share)))
+            for rid, some, body in zip(*(c.to_pylist() for c in b.columns)):
+                words = words_of(body)
+                for x in some:
+                    label, want = tpl[x["template"]]
+                    have = words[max(0, x["lo"] - len(want)):x["hi"] + len(want)]
+                    m = SequenceMatcher(None, want, have, autojunk=False)
+                    share = sum(y.size for y in m.get_matching_blocks() if y.size >= 2) / len(want)
+                    out.append((rid, label, x["lo"], x["hi"], x["votes"], min(1.0, share)))
             cols = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()),

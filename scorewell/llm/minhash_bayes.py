@@ -286,13 +286,15 @@ def _rest_links(shared: DataFrame, roots: DataFrame, classes: DataFrame, texts:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, th (xxhash64 of the text), n_shingles, component_id and kept for
-    every row: documents whose sets reach ``percent`` are linked."""
+def _grouped(docs: DataFrame, width: int, percent: int, id_col: str, text: str) -> DataFrame:
+    """Every row's (doc_id, th, n, root, component_id); the root names its component,
+    null for an empty set."""
     t = percent / 100
-    rows = staged(scan_sets(docs, width, id_col, text), "sets")
-    classes = staged(rows.where("n > 0").groupBy("cid", "check", "n").agg(
-        F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")), "classes")
+    rows = staged(scan_sets(docs, width, id_col, text).withColumnRenamed("cid", "set_hash"), "sets")
+    # a class is keyed by 128 bits of hash and its size, and then goes by a number
+    classes = staged(rows.where("n > 0").groupBy("set_hash", "check", "n").agg(
+        F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"))
+        .withColumn("cid", F.monotonically_increasing_id()), "classes")
     bands = band_rows(classes)
     many = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = staged(bands.join(many, "bucket"), "buckets")
@@ -316,20 +318,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         first = roots.join(top.select(F.col("root").alias("top"), F.col("node").alias("root")), "root", "left") \
             .select("node", F.coalesce("top", "root").alias("root"))
         roots = staged(first.unionByName(top.join(roots.select("node"), "node", "left_anti")), "roots")
-    named = classes.select("cid", "check", "n", "first_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
+    named = classes.select("cid", "set_hash", "check", "n", "first_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = named.join(smallest, "root").select("cid", "check", "n", "component_id")
-    out = rows.drop("sig").join(of, ["cid", "check", "n"], "left")
+    of = named.join(smallest, "root").select("set_hash", "check", "n", "root", "component_id")
+    return rows.drop("sig").join(of, ["set_hash", "check", "n"], "left").select("doc_id", "th", "n", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, th (xxhash64 of the text), n_shingles, component_id and kept for
+    every row: documents whose sets reach ``percent`` are linked."""
+    out = _grouped(docs, width, percent, id_col, text)
     comp = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all their columns, that stand for their component; of rows
-    equal in id and text, one stays."""
-    kept = near_duplicates(docs, width, percent, id_col, text).where("kept") \
-        .select(F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("_kid"), F.col("th").alias("_th")).distinct()
-    keyed = docs.withColumns({"_kid": F.coalesce(F.xxhash64(id_col), F.lit(0)), "_th": F.xxhash64(F.col(text).cast("string"))})
-    return keyed.join(kept, ["_kid", "_th"]).dropDuplicates(["_kid", "_th"]).select(*[F.col(c) for c in docs.columns])
+    """One row, with all its columns, of each component: that of the smallest id,
+    null ids last, then of the smallest text hash.
+
+    Rows without words are linked with nothing and stay; of rows equal in id and
+    text one stays, also of these.  The row travels as a struct, so any column
+    names will do; an empty table gives an empty result.
+    """
+    g = _grouped(docs, width, percent, id_col, text)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("s")
+    stays = g.where("n > 0").groupBy("root").agg(first).select("s.doc_id", "s.th").unionByName(g.where("n = 0").select("doc_id", "th"))
+    kept = stays.select(F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("kid"), "th").distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(whole, F.coalesce(F.xxhash64(id_col), F.lit(0)).alias("kid"), F.xxhash64(F.col(text).cast("string")).alias("th"))
+    return keyed.join(kept, ["kid", "th"]).dropDuplicates(["kid", "th"]).select("row.*")

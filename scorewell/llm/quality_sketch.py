@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from scorewell.llm.common import staged
+from scorewell.llm.common import staged, unused
 from scorewell.llm.textbytes import PLAIN_WORD, Words, byte_class, pieces
 
 SYMBOL = ~byte_class(b"#*$%&|<>")
@@ -199,9 +199,12 @@ def keep_sound(docs: DataFrame, lang: str = "lang", source: str = "source", text
     of their language and source.
 
     The texts are measured once for the sketches and once more beside the rows,
-    which is cheaper than moving the texts to join a verdict."""
+    which is cheaper than moving the texts to join a verdict.  Null and empty texts
+    fail the base rules; repeated rows are judged each; an empty table gives an empty
+    result; any column names will do."""
     fences = staged(thresholds(rule_features(docs, id_col=docs.columns[0], lang=lang, source=source, text=text)), "fences")
-    at, names = docs.columns.index(text), [f"_q_{c}" for c in COUNTS]
+    q, t = unused("_q_", docs.columns), unused("_t_", docs.columns)
+    at, names = docs.columns.index(text), [f"{q}{c}" for c in COUNTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,11 +216,11 @@ def keep_sound(docs: DataFrame, lang: str = "lang", source: str = "source", text
     measured = docs.mapInArrow(run, StructType(docs.schema.fields + [StructField(n, LongType()) for n in names]))
     fails = F.lit(False)
     for r, (e, side, _m) in RULES.items():
-        v = F.expr(re.sub(r"\b(" + "|".join(COUNTS) + r")\b", r"_q_\1", e)).cast("double")
-        fails = fails | F.coalesce(v > F.col(f"_t_{r}_high"), F.lit(False))
+        v = F.expr(re.sub(r"\b(" + "|".join(COUNTS) + r")\b", rf"{q}\1", e)).cast("double")
+        fails = fails | F.coalesce(v > F.col(f"{t}{r}_high"), F.lit(False))
         if side == "both":
-            fails = fails | F.coalesce(v < F.col(f"_t_{r}_low"), F.lit(False))
-    base = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
-    t = fences.select(*[F.col(c).alias(f"_t_{c}") for c in fences.columns])
-    return measured.join(t, F.col(lang).eqNullSafe(F.col("_t_lang")) & F.col(source).eqNullSafe(F.col("_t_source")), "left") \
-        .where(~base & ~fails).select(*[F.col(c) for c in docs.columns])
+            fails = fails | F.coalesce(v < F.col(f"{t}{r}_low"), F.lit(False))
+    base = (F.col(f"{q}n_words") < 50) | (100 * F.col(f"{q}n_repeat_words") > 50 * F.col(f"{q}n_words"))
+    of = fences.select(*[F.col(c).alias(f"{t}{c}") for c in fences.columns])
+    return measured.join(of, F.col(lang).eqNullSafe(F.col(f"{t}lang")) & F.col(source).eqNullSafe(F.col(f"{t}source")), "left") \
+        .where(~base & ~fails).select(*[F.col(f"`{c}`") for c in docs.columns])

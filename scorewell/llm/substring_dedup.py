@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import staged
+from scorewell.llm.common import staged, unused
 from scorewell.llm.textbytes import PLAIN_WORD, Words, pieces, sliding_min
 
 WINDOW = 35
@@ -318,11 +318,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                    length: str | None = "n_chars") -> DataFrame:
     """The rows, with all their columns, without repeated passages.  A text that
     loses words is its other words joined by one space, and ``length`` (where
-    there is such a column) its new length; other texts stay as they are."""
+    there is such a column) its new length; other texts stay as they are.
+
+    Null and empty texts stay; rows equal in id and text are treated alike; an
+    empty table gives an empty result; any column names will do."""
     _keyed_docs, spans = repeated_spans(docs, window, id_col, text)
-    keyed = docs.withColumns({"_kid": F.coalesce(F.xxhash64(id_col), F.lit(0)), "_th": F.xxhash64(F.col(text).cast("string"))})
-    rows = keyed.join(spans.select(F.col("kid").alias("_kid"), F.col("th").alias("_th"), F.col("spans").alias("_spans")),
-                      ["_kid", "_th"], "left").select(*[F.col(c) for c in docs.columns], "_spans")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(whole, F.coalesce(F.xxhash64(id_col), F.lit(0)).alias("kid"), F.xxhash64(F.col(text).cast("string")).alias("th"))
+    rows = keyed.join(spans, ["kid", "th"], "left").select("row.*", F.col("spans").alias(unused("spans", docs.columns)))
     at = docs.columns.index(text)
     size_at = docs.columns.index(length) if length in docs.columns else None
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import staged
+from scorewell.llm.common import staged, unused
 from scorewell.llm.textbytes import LETTER_WORD, Words, byte_class, pieces
 
 DIMENSIONS = 1 << 20
@@ -215,16 +215,18 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", spans: bool = False,
           keep: list[str] | None = None) -> DataFrame:
     """doc_id (or the ``keep`` columns), score and, if wanted, ``sentences``:
-    the offending ones (first byte, end byte, score), best first."""
+    the offending ones (first byte, end byte, score), best first.  A ``keep`` column
+    may have any name but those of the two outputs."""
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
     bias = model.bias
     cols = keep or [id_col]
-    src = docs.select(*[F.col(c) for c in cols], F.col(text).cast("string").alias("_text"))
+    body = unused("_text", cols)
+    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text).cast("string").alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(weights.value, bias)
         for batch in batches:
-            for b in pieces(batch, "_text", PIECE):
+            for b in pieces(batch, body, PIECE):
                 s, z = _sentence_scores(m, b.column(len(cols)))
                 total = np.bincount(s.row, weights=np.logaddexp(0, np.clip(z, -30, 30)), minlength=s.rows)
                 p = np.where(np.diff(s.first) > 0, -np.expm1(-total), EMPTY_SCORE)

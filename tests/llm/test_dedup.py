@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scorewell.llm import edit_embedding as emb
 from scorewell.llm import minhash_bayes as mb
@@ -187,3 +189,35 @@ def test_near_pairs_finds_edited_copies(spark):
 
 def test_schema_is_stable(none):
     assert none.columns == [x.split()[0] for x in SCHEMA.split(", ")]
+
+
+@pytest.fixture(scope="module")
+def named_alike(docs):
+    """The corpus with columns named like those that the stages use inside."""
+    inner = ["_kid", "_th", "kid", "th", "row", "spans", "_spans", "_q_n_words", "_t_lang", "_t_source", "_text", "set_hash", "root"]
+    return docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(inner)])
+
+
+def test_stages_take_any_column_names(named_alike, docs):
+    from scorewell.llm import quality_sketch, substring_dedup, toxicity
+    model = toxicity.Model(np.zeros(toxicity.DIMENSIONS, np.float32), -3.0)
+    extra = [c for c in named_alike.columns if c not in docs.columns]
+    for stage in (mb.keep_first, substring_dedup.remove_repeats, quality_sketch.keep_sound, lambda d: toxicity.keep_clean(d, model)):
+        got, plain = stage(named_alike), stage(docs)
+        assert got.columns == named_alike.columns and got.count() == plain.count()
+        assert {tuple(r) for r in got.select(*extra).distinct().collect()} == {tuple(range(len(extra)))}
+    keep = [c for c in named_alike.columns if c != "score"]
+    scored = toxicity.score(named_alike, model, keep=keep)
+    assert scored.columns == [*keep, "score"] and scored.where("_text <> 10").count() == 0
+
+
+def test_keep_first_leaves_one_of_each_component(spark):
+    """Null ids, and different texts under one id."""
+    base = [f"w{i}" for i in range(100)]
+    near = lambda k: " ".join(base[:k] + ["x"] + base[k + 1:])
+    rows = [(None, near(3)), (None, near(50)), (None, near(99)), (None, "other words here"), (7, "seven " + near(2)), (7, "seven " + near(2))]
+    got = mb.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2, percent=80).collect()
+    assert sorted((r.doc_id is None, r.text[:5]) for r in got) in ([(False, "seven"), (True, "other")],)
+    two = [(4, near(10)), (4, near(60)), (5, "alone " * 3), (None, ""), (None, ""), (6, None)]
+    got = mb.keep_first(spark.createDataFrame(two, "doc_id bigint, text string"), width=2, percent=80).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["4", "5", "6", "None"]

@@ -300,3 +300,13 @@ def test_warc_records(spark, tmp_path):
         raw, n = rest[size + 4:], n + 1
     assert n == len(got)
     assert warc.derivatives(df.limit(0)).count() == 0
+
+
+def test_many_notices_in_one_text(spark):
+    """Each of 400 notices is a span; the text is read once, not once a span."""
+    import time
+    notice = lic.NOTICES["mit"][0]
+    text = " ".join(f"filler{k} words here between {notice}" for k in range(400))
+    t = time.time()
+    got = lic.license_scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert len(got.spans) == 400 and got.labels == "mit" and got.score == 1.0 and time.time() - t < 60
