@@ -10,6 +10,7 @@ processed by a single task as a whole.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,6 +69,39 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     return out
 
 
+def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_order: Sequence[str],
+               cols: Sequence[str], prefix: str = "", per_bucket: int | None = None) -> DataFrame:
+    """K2 / J6, point in time: every left row with the ``cols`` of its key's newest right row
+    at or before its time (``right_order`` = time, tie-break...); null where there is none.
+
+    Both sides are one sequence per key.  Time is cut into pinned buckets shared by all
+    keys; within a (key, bucket) the last right row is carried forward, and the last of
+    the buckets before comes from a ``(key, bucket)`` table, so a key of any size is
+    spread.  Rows with a null key or time match nothing.
+    """
+    keys = list(keys)
+    t = _order_value(right, right_order[0])
+    sound = lambda c: reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c])
+    own, tie = F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_l"), F.struct(*[F.col(c) for c in right_order]).alias("_o")
+    payload = F.struct(*[F.col(c) for c in cols]).alias("_r")
+    none = lambda c, df: F.lit(None).cast(df.select(c).schema[0].dataType)
+    seen = right.where(sound([*keys, right_order[0]])).select(
+        *keys, t.alias("_t"), F.lit(0).alias("_side"), none(own, left).alias("_l"), tie, payload)
+    asks = left.where(sound([*keys, left_time])).select(
+        *keys, _order_value(left, left_time).alias("_t"), F.lit(1).alias("_side"), own, none(tie, right).alias("_o"), none(payload, right).alias("_r"))
+    both = seen.unionByName(asks)
+    b = both.withColumn(BUCKET, bucket_of("_t", pinned_splits(both, "_t", per_bucket)))
+    here = Window.partitionBy(*keys, BUCKET).orderBy("_t", "_side", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    ends = b.where("_side = 0").groupBy(*keys, BUCKET).agg(F.max_by("_r", F.struct("_t", "_o")).alias("_end"))
+    every = b.select(*keys, BUCKET).distinct().join(ends, [*keys, BUCKET], "left")
+    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.select(*keys, BUCKET, F.last("_end", ignorenulls=True).over(before).alias("_before"))
+    j = b.withColumn("_here", F.last("_r", ignorenulls=True).over(here)).where("_side = 1").join(carried, [*keys, BUCKET])
+    met = j.select("_l", F.coalesce("_here", "_before").alias("_m"))
+    alone = left.where(~sound([*keys, left_time])).select(own, none(payload, right).alias("_m"))
+    return met.unionByName(alone).select("_l.*", *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in cols])
+
+
 def becomes(df: DataFrame, keys: Sequence[str], order: Sequence[str], status: str, value) -> DataFrame:
     """K8: rows where ``status`` becomes ``value`` (the first row counts; value -> value does not)."""
     p = with_previous(df, keys, order, [status])

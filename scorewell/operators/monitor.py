@@ -79,32 +79,65 @@ def status_class(c: Column) -> Column:
     return F.concat(F.substring(c.cast("string"), 1, 1), F.lit("xx"))
 
 
-def request_rate(df: DataFrame, time_col: str, status: Column, window: str = "5 minutes",
-                 slide: str = "1 minute", seconds: int = 300) -> DataFrame:
+PANE = "1 minute"
+PANE_SECONDS = 60
+
+
+def panes(df: DataFrame, time_col: str, keys: dict[str, Column], sums: dict[str, Column]) -> DataFrame:
+    """Partial sums per one-minute pane (``pane``) and key; every row is counted once.
+
+    Works on a stream as well: the state holds panes, not windows."""
+    g = df.groupBy(F.window(time_col, PANE).alias("_w"), *[c.alias(k) for k, c in keys.items()])
+    return g.agg(*[F.sum(c).alias(n) for n, c in sums.items()]).select(F.col("_w.start").alias("pane"), *keys, *sums)
+
+
+def sliding(panes_: DataFrame, keys: Sequence[str], sums: Sequence[str], minutes: int = 5) -> DataFrame:
+    """Windows of ``minutes`` panes sliding by one: each pane, not each row, goes to
+    every window that holds it."""
+    back = F.explode(F.sequence(F.lit(0), F.lit(minutes - 1))).alias("_k")
+    start = F.timestamp_micros(F.unix_micros("pane") - F.col("_k") * (PANE_SECONDS * 1_000_000))
+    return panes_.select("*", back).groupBy(start.alias("window_start"), *keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def request_rate(df: DataFrame, time_col: str, status: Column, minutes: int = 5) -> DataFrame:
     """Requests per second per status over sliding windows."""
-    return (df.groupBy(F.window(time_col, window, slide).alias("w"), status.alias("status"))
-            .agg((F.count(F.lit(1)) / float(seconds)).alias("rate"))
-            .select(F.col("w.start").alias("window_start"), "status", "rate"))
+    w = sliding(panes(df, time_col, {"status": status}, {"n": F.lit(1)}), ["status"], ["n"], minutes)
+    return w.select("window_start", "status", (F.col("n") / float(PANE_SECONDS * minutes)).alias("rate"))
 
 
-def error_rate(df: DataFrame, time_col: str, is_error: Column, window: str = "5 minutes",
-               slide: str = "1 minute") -> DataFrame:
+def error_rate(df: DataFrame, time_col: str, is_error: Column, minutes: int = 5) -> DataFrame:
     """Error share in % per window; no requests -> null."""
-    return (df.groupBy(F.window(time_col, window, slide).alias("w"))
-            .agg(F.count(F.lit(1)).alias("requests"), F.sum(is_error.cast("bigint")).alias("errors"))
-            .select(F.col("w.start").alias("window_start"), "requests", "errors",
-                    F.when(F.col("requests") > 0, 100.0 * F.col("errors") / F.col("requests")).alias("error_pct")))
+    w = sliding(panes(df, time_col, {}, {"requests": F.lit(1), "errors": is_error.cast("bigint")}), [], ["requests", "errors"], minutes)
+    return w.select("window_start", "requests", "errors", error_pct())
 
 
-def latency_histogram(df: DataFrame, time_col: str, latency: str, bounds: Sequence[float] = LATENCY_BUCKETS_MS,
-                      window: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Per window: the count of each bucket (``value <= bound``, first matching bucket)."""
+def error_pct() -> Column:
+    return F.when(F.col("requests") > 0, 100.0 * F.col("errors") / F.col("requests")).alias("error_pct")
+
+
+def bucket_sums(latency: str, bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> dict[str, Column]:
+    """The count of each latency bucket (``value <= bound``, first matching bucket) as sums."""
     arr = F.array(*[F.lit(float(b)) for b in bounds])
-    idx = F.size(F.filter(arr, lambda b: b < F.col(latency)))
-    aggs = [F.sum((idx == i).cast("bigint")).alias(f"b{i}") for i in range(len(bounds))]
-    g = df.where(F.col(latency).isNotNull()).groupBy(F.window(time_col, window, slide).alias("w")).agg(*aggs)
-    return g.select(F.col("w.start").alias("window_start"),
-                    F.array(*[F.col(f"b{i}") for i in range(len(bounds))]).alias("counts"))
+    idx = F.when(F.col(latency).isNotNull(), F.size(F.filter(arr, lambda b: b < F.col(latency))))
+    return {f"b{i}": F.coalesce((idx == i).cast("bigint"), F.lit(0).cast("bigint")) for i in range(len(bounds))}
+
+
+def latency_histogram(df: DataFrame, time_col: str, latency: str, bounds: Sequence[float] = LATENCY_BUCKETS_MS,
+                      minutes: int = 5) -> DataFrame:
+    """Per window: the count of each bucket."""
+    sums = bucket_sums(latency, bounds)
+    w = sliding(panes(df.where(F.col(latency).isNotNull()), time_col, {}, sums), [], list(sums), minutes)
+    return w.select("window_start", F.array(*[F.col(c) for c in sums]).alias("counts"))
+
+
+def request_windows(panes_: DataFrame, minutes: int = 5, qs=(0.5, 0.95, 0.99), bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> DataFrame:
+    """T1-T3 from panes of requests, errors and buckets, of a batch or as a stream left
+    them: requests, errors, rate, error share and latency quantiles per window."""
+    b = [f"b{i}" for i in range(len(bounds))]
+    w = sliding(panes_, [], ["requests", "errors", *b], minutes).withColumn("counts", F.array(*[F.col(c) for c in b])) \
+        .withColumn("_cum", cumulative(F.col("counts")))
+    return w.select("window_start", "requests", "errors", (F.col("requests") / float(PANE_SECONDS * minutes)).alias("rate"), error_pct(),
+                    *[histogram_quantile(q, F.col("counts"), F.col("_cum"), bounds).alias(f"p{int(q * 100)}") for q in qs])
 
 
 def cumulative(counts: Column) -> Column:

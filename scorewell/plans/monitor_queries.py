@@ -125,7 +125,16 @@ def time_range(spark, sf_dir):
     return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
 
 
-QUERIES = {"latest_prediction_features": latest_prediction_features, "time_range": time_range,
+def as_of_join(spark, sf_dir):
+    """K2 / J6, point in time: each purchase with its user's newest view at or before its hour."""
+    ev = events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
+    views = ev.where("event_type = 'view'").select("user_id", "hour", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    out = L.as_of_join(ev.where("event_type = 'purchase'").select("event_id", "user_id", "hour"), views, ["user_id"], "hour",
+                       ["hour", "view_id"], ["view_id", "view_value"])
+    return out.select("event_id", "view_id", r6("view_value").alias("view_value"))
+
+
+QUERIES = {"as_of_join": as_of_join,"latest_prediction_features": latest_prediction_features, "time_range": time_range,
            
     "latest_state": latest_state, "as_of_state": as_of_state, "status_change": status_change,
     "staleness": staleness, "snapshot_gap": snapshot_gap, "request_rate": request_rate,
@@ -151,6 +160,12 @@ _WIN = """w AS (
 )"""
 
 ORACLE = {
+    "as_of_join": """
+WITH e AS (SELECT *, date_trunc('hour', ts) AS hour FROM events),
+v AS (SELECT user_id, hour, event_id AS view_id, value AS view_value FROM e WHERE event_type = 'view'
+      QUALIFY row_number() OVER (PARTITION BY user_id, hour ORDER BY event_id DESC) = 1)
+SELECT p.event_id, v.view_id, round(v.view_value, 6) AS view_value
+FROM (SELECT * FROM e WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.hour >= v.hour""",
     "latest_prediction_features": """
 WITH p AS (SELECT user_id AS c_custkey, max_by(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1)
 SELECT c_custkey, event_id, round(value, 6) AS probability, round(c_acctbal, 6) AS c_acctbal, c_mktsegment

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.functions.columns import r6, ts_micros
+from scorewell.operators import monitor as MO
 from scorewell.operators import validate as V
+from scorewell.plans.monitor_queries import ORACLE as MONITOR_SQL
 from scorewell.plans.tables import table
 from scorewell.session import shared_path
 from scorewell.streaming import jobs as J
@@ -67,21 +69,17 @@ def alert_repeat(spark, sf_dir):
 
 
 def request_windows_stream(spark, sf_dir):
-    """T1 + T3 as a watermarked streaming aggregation (update mode); final state per window."""
+    """T1-T3 as a watermarked stream of panes (update mode), windows finished from their final state."""
     s = _event_stream(spark, sf_dir)
-    w = J.request_windows(s, "ts", F.col("event_type") == "error", "value")
+    w = J.request_panes(s, "ts", F.col("event_type") == "error", "value")
     out = shared_path(spark, "scorewell-stream-out", os.urandom(8).hex())
 
     def sink(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            os.path.join(out, f"b={batch_id}"))
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(os.path.join(out, f"b={batch_id}"))
     J.run_available_now(w, "windows", out, sink, mode="update")
-    r = spark.read.parquet(out)
-    latest = r.groupBy("window_start").agg(F.max_by(F.struct("requests", "errors", "rate", "error_pct"),
-                                                    F.col("batch_id")).alias("x"))
-    return latest.select(ts_micros("window_start").alias("window_start_us"), F.col("x.requests").alias("requests"),
-                         F.col("x.errors").alias("errors"), r6(F.col("x.rate")).alias("rate"),
-                         r6(F.col("x.error_pct")).alias("error_pct"))
+    got = MO.request_windows(J.newest_panes(spark.read.parquet(out).drop("b")))
+    return got.select(ts_micros("window_start").alias("window_start_us"), "requests", "errors", r6("rate").alias("rate"),
+                      r6("error_pct").alias("error_pct"), *[r6(c).alias(c) for c in ("p50", "p95", "p99")])
 
 
 # Fixed values of the fixture: delivery of the run log, in files that arrive one after another.
@@ -154,12 +152,13 @@ chain(k, t) AS (
   SELECT c.k, (SELECT min(f.t) FROM f WHERE f.k = c.k AND f.t >= c.t + 3600000000) FROM chain c WHERE c.t IS NOT NULL
 )
 SELECT 'pipeline_failed' AS rule, k AS user_id, t AS ts_us FROM chain WHERE t IS NOT NULL""",
-    "request_windows_stream": """
+    "request_windows_stream": f"""
 WITH w AS (
   SELECT epoch_us(time_bucket(INTERVAL '1 minute', ts) - to_minutes(k)) AS window_start_us, *
   FROM events, range(0, 5) t(k)
-)
-SELECT window_start_us, count(*) AS requests, CAST(count_if(event_type = 'error') AS BIGINT) AS errors,
-       round(count(*) / 300.0, 6) AS rate, round(100.0 * count_if(event_type = 'error') / count(*), 6) AS error_pct
-FROM w GROUP BY window_start_us""",
+), q AS ({MONITOR_SQL["latency_quantile"]}),
+g AS (SELECT window_start_us, count(*) AS requests, CAST(count_if(event_type = 'error') AS BIGINT) AS errors,
+             round(count(*) / 300.0, 6) AS rate, round(100.0 * count_if(event_type = 'error') / count(*), 6) AS error_pct
+      FROM w GROUP BY window_start_us)
+SELECT g.*, p50, p95, p99 FROM g LEFT JOIN q USING (window_start_us)""",
 }

@@ -2,8 +2,8 @@
 
 The reference polls; here the same work runs as streaming queries:
 
-* ``request_windows``: watermarked sliding windows (T1, T3) and histogram
-  quantiles (T2) over a request stream.
+* ``request_panes``: watermarked one-minute panes of a request stream, from which
+  sliding rates, error shares and latency quantiles are finished (T1-T3).
 * ``notify_with_repeat``: alert routing with repeat suppression (T7), a
   stateful ``applyInPandasWithState`` whose state is one timestamp per key and
   expires with the repeat interval.
@@ -73,21 +73,17 @@ def run_available_now(df: DataFrame, name: str, sink: str, batch_fn: Callable[[D
 
 
 # ---------------------------------------------------------------- T1-T3
-def request_windows(stream: DataFrame, time_col: str, is_error: Column, latency: str,
-                    watermark: str = "10 minutes") -> DataFrame:
-    """Per 5-minute window sliding by 1 minute: rate, error %, latency bucket counts."""
-    bounds = MO.LATENCY_BUCKETS_MS
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    idx = F.size(F.filter(arr, lambda b: b < F.col(latency)))
-    s = stream.withWatermark(time_col, watermark)
-    g = s.groupBy(F.window(time_col, "5 minutes", "1 minute").alias("w")).agg(
-        F.count(F.lit(1)).alias("requests"), F.sum(is_error.cast("bigint")).alias("errors"),
-        *[F.sum((idx == i).cast("bigint")).alias(f"b{i}") for i in range(len(bounds))])
-    counts = F.array(*[F.col(f"b{i}") for i in range(len(bounds))])
-    return g.select(F.col("w.start").alias("window_start"), "requests", "errors",
-                    (F.col("requests") / 300.0).alias("rate"),
-                    F.when(F.col("requests") > 0, 100.0 * F.col("errors") / F.col("requests")).alias("error_pct"),
-                    counts.alias("counts"))
+def request_panes(stream: DataFrame, time_col: str, is_error: Column, latency: str, watermark: str = "10 minutes") -> DataFrame:
+    """Requests, errors and latency buckets per one-minute pane, for update mode; the
+    newest row of each pane gives ``MO.request_windows`` rates, shares and quantiles."""
+    return MO.panes(stream.withWatermark(time_col, watermark), time_col, {},
+                    {"requests": F.lit(1), "errors": is_error.cast("bigint"), **MO.bucket_sums(latency)})
+
+
+def newest_panes(written: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """The last state of each pane from an update-mode sink."""
+    cols = [c for c in written.columns if c not in ("pane", batch)]
+    return written.groupBy("pane").agg(F.max_by(F.struct(*cols), F.col(batch)).alias("x")).select("pane", "x.*")
 
 
 # ---------------------------------------------------------------- T7
