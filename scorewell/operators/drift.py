@@ -22,8 +22,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.operators.ordered import pick_by_rank, running_totals, with_totals
+from scorewell.operators.ordered import running_totals, with_totals
 from scorewell.operators.sampling import hash_sample
+from scorewell.operators.validate import drift_result_constraints, enforce_constraints
+from scorewell.session import staged
 
 # PSI bins, clipping, verdict thresholds, baseline sample size.
 PSI_BINS = 10
@@ -70,27 +72,38 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - d * (1 - t) if t >= 0.5 else a + d * t
 
 
-def quantile_edges(long: DataFrame, n_bins: int = PSI_BINS) -> dict:
-    """Exact quantiles 0, 1/n, ..., 1 of ``num`` per feature (linear interpolation).
+def ranked_values(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """Distinct values per feature with both sides' counts, running counts and totals
+    (feature, num, b, c, cum_b, cum_c, nb, nc), put in order once and staged: quantile
+    edges and KS both read it."""
+    vc = (value_counts(long).where(F.col("feature").isin(list(numeric)) & _valid_num())
+          .groupBy("feature", "num")
+          .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
+               F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c")))
+    vc = staged(vc, "drift-values")
+    rt = with_totals(running_totals(vc, ["feature"], ["num"], ["b", "c"]), ["feature"], {"nb": F.col("b"), "nc": F.col("c")})
+    return staged(rt, "drift-ranks")
+
+
+def quantile_edges(long: DataFrame, n_bins: int = PSI_BINS, ranked: DataFrame | None = None) -> dict:
+    """Exact quantiles 0, 1/n, ..., 1 of the baseline's ``num`` per feature (linear interpolation).
 
     Positions come from distributed running counts; only ``2 (n_bins + 1)``
     values per feature reach the driver.
     """
-    vc = value_counts(long).where(_valid_num()).groupBy("feature", "num").agg(F.sum("n").alias("_n")).persist()
-
-    def targets(n: Column) -> dict[str, Column]:
-        out = {}
-        for i in range(n_bins + 1):
-            lo = F.floor(F.lit(i / n_bins) * (n - 1))
-            out[f"{i}:lo"], out[f"{i}:hi"] = lo, F.least(lo + 1, n - 1)
-        return out
-
-    picks = pick_by_rank(vc, ["feature"], "num", "_n", targets).collect()
-    vc.unpersist()  # shared by the split, offset and pick jobs above
+    if ranked is None:
+        base = value_counts(long).where(F.col("num").isNotNull()).withColumn("side", F.lit(BASE))
+        ranked = ranked_values(base, [r["feature"] for r in base.select("feature").distinct().collect()])  # feature names
+    n = F.col("nb")
+    named = []
+    for i in range(n_bins + 1):
+        lo = F.floor(F.lit(i / n_bins) * (n - 1)).cast("bigint")
+        named += [F.struct(F.lit(f"{i}:lo").alias("name"), lo.alias("pos")), F.struct(F.lit(f"{i}:hi").alias("name"), F.least(lo + 1, n - 1).alias("pos"))]
+    here = F.filter(F.array(*named), lambda t: (t["pos"] >= F.col("cum_b") - F.col("b")) & (t["pos"] < F.col("cum_b")))
+    picks = ranked.where("b > 0").select("feature", "num", "nb", F.explode(here.getField("name")).alias("name")).collect()
     got = {(r["feature"], r["name"]): r["num"] for r in picks}
-    total = {r["feature"]: r["n"] for r in picks}
     edges = {}
-    for f, n in total.items():
+    for f, n in {r["feature"]: r["nb"] for r in picks}.items():
         e = []
         for i in range(n_bins + 1):
             h = (i / n_bins) * (n - 1)
@@ -207,18 +220,12 @@ def ks_pvalue_auto(d: Column, n: Column, m: Column) -> Column:
         .otherwise(ks_pvalue(d, n.cast("double"), m.cast("double")))
 
 
-def ks(long: DataFrame, numeric: Sequence[str]) -> DataFrame:
+def ks(long: DataFrame, numeric: Sequence[str], ranked: DataFrame | None = None) -> DataFrame:
     """``(feature, ks_statistic, p_value, n_baseline, n_current)`` from running counts."""
-    vc = (value_counts(long).where(F.col("feature").isin(list(numeric)) & _valid_num())
-          .groupBy("feature", "num")
-          .agg(F.sum(F.when(F.col("side") == BASE, F.col("n")).otherwise(0)).alias("b"),
-               F.sum(F.when(F.col("side") == CUR, F.col("n")).otherwise(0)).alias("c"))).persist()
-    rt = with_totals(running_totals(vc, ["feature"], ["num"], ["b", "c"]), ["feature"], {"nb": F.col("b"), "nc": F.col("c")})
+    rt = ranked if ranked is not None else ranked_values(long, numeric)
     diff = F.abs(F.try_divide(F.col("cum_b").cast("double"), F.col("nb")) - F.try_divide(F.col("cum_c").cast("double"), F.col("nc")))
     g = rt.groupBy("feature").agg(F.max(diff).alias("ks_statistic"), F.first("nb").alias("n_baseline"), F.first("nc").alias("n_current"))
-    spark = long.sparkSession
-    rows = spark.createDataFrame(g.collect(), g.schema)  # one row per feature
-    vc.unpersist()  # shared by the split, offset and final jobs above
+    rows = long.sparkSession.createDataFrame(g.collect(), g.schema)  # one row per feature
     return rows.select("feature", "ks_statistic", ks_pvalue_auto(F.col("ks_statistic"), F.col("n_baseline"), F.col("n_current")).alias("p_value"),
                        "n_baseline", "n_current")
 
@@ -303,10 +310,11 @@ def drift_check(baseline: DataFrame, current: DataFrame, feature_types: Mapping[
     num = [f for f, t in feature_types.items() if t == "numeric"]
     cat = [f for f, t in feature_types.items() if t == "categorical"]
     long = value_counts(to_long(baseline, num, cat, BASE).unionByName(to_long(current, num, cat, CUR))).persist()
-    p = psi(long, feature_types, n_bins)
+    ranked = ranked_values(long, num) if num else None
+    p = psi(long, feature_types, n_bins, quantile_edges(long, n_bins, ranked) if num else None)
     tests = []
     if num:
-        tests.append(ks(long, num).select("feature", F.lit("ks").alias("statistical_test"),
+        tests.append(ks(long, num, ranked).select("feature", F.lit("ks").alias("statistical_test"),
                                           F.col("ks_statistic").alias("statistic"), "p_value",
                                           "n_baseline", "n_current"))
     if cat:
@@ -320,13 +328,17 @@ def drift_check(baseline: DataFrame, current: DataFrame, feature_types: Mapping[
     t = tests[0]
     for x in tests[1:]:
         t = t.unionByName(x)
-    out = p.join(t, "feature", "left").select(
+    counted = F.when(F.col("feature").isin(num), _valid_num()).otherwise(F.col("cat").isNotNull()) if num else F.col("cat").isNotNull()
+    gone = lambda side: F.coalesce(F.sum(F.when((F.col("side") == side) & ~counted, F.col("n"))), F.lit(0)).cast("bigint")
+    left_out = long.groupBy("feature").agg(gone(BASE).alias("n_excluded_baseline"), gone(CUR).alias("n_excluded_current"))
+    out = p.join(t, "feature", "left").join(left_out, "feature", "left").select(
         "feature", "feature_type", "psi", "statistical_test", "statistic", "p_value",
         verdict(F.col("psi"), F.col("p_value")).alias("verdict"),
         F.when(F.coalesce("n_baseline", F.lit(0)) == 0, "empty baseline").when(F.coalesce("n_current", F.lit(0)) == 0, "empty current")
         .alias("reason"),
         F.col("n_baseline").cast("bigint").alias("sample_size_baseline"),
-        F.col("n_current").cast("bigint").alias("sample_size_current"))
+        F.col("n_current").cast("bigint").alias("sample_size_current"),
+        "n_excluded_baseline", "n_excluded_current")
     rows = out.collect()  # one row per feature
     long.unpersist()
     return long.sparkSession.createDataFrame(rows, out.schema)
@@ -380,6 +392,7 @@ def read_baseline(spark, path: str) -> DataFrame:
 
 
 def append_results(results: DataFrame, path: str, computed_at: Column | None = None) -> None:
-    """One row per feature per run, appended."""
+    """One row per feature per run, appended; a row that breaks the table's rules
+    (V6) fails the write."""
     at = computed_at if computed_at is not None else F.current_timestamp()
-    results.withColumn("computed_at", at).write.mode("append").parquet(path)
+    enforce_constraints(results, drift_result_constraints()).withColumn("computed_at", at).write.mode("append").parquet(path)

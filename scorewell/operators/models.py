@@ -28,6 +28,7 @@ from scorewell.operators import metrics as M
 from scorewell.operators import validate as V
 from scorewell.operators.booster import HistogramBooster
 from scorewell.operators.latest import latest
+from scorewell.operators.ordered import null_safe_join
 from scorewell.operators.sampling import class_weights
 from scorewell.operators.search import draw_uniform, fold_score, is_parameter_error
 from scorewell.operators.smote import smote
@@ -169,6 +170,19 @@ def rank_models(results: DataFrame, by: Sequence[str] = ("pr_auc_test", "recall"
     return r.withColumn("rank", F.when(F.col("passed"), F.row_number().over(w)))
 
 
+def model_metadata(scored: DataFrame, keys: Sequence[str] = ("model",), score: str = "score", label: str = "y") -> DataFrame:
+    """One row per model for its registration: calibrated threshold and mode, the
+    confusion counts and rates there, ROC-AUC, average precision, rows and positives."""
+    keys = list(keys)
+    pts = M.curve(scored, keys, score, label)
+    cal = M.calibrate_threshold(scored, keys, score, label, points=pts).select(*keys, "threshold", "calibration_mode")
+    at = null_safe_join(scored, cal.select(*keys, F.col("threshold").alias("_t")), keys)
+    con = M.confusion(at, keys, "_t", score, label)
+    auc = null_safe_join(M.roc_auc(None, keys, points=pts), M.average_precision(None, keys, points=pts), keys)
+    out = null_safe_join(null_safe_join(cal, con, keys), auc, keys)
+    return out.withColumn("n", F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).withColumn("positives", F.col("tp") + F.col("fn"))
+
+
 def regression_report(tuned: DataFrame, baseline: DataFrame, key: str = "model",
                       metrics: Sequence[str] = ("pr_auc", "recall", "f1")) -> DataFrame:
     """Tuned - baseline per metric; negative = regression."""
@@ -227,9 +241,26 @@ def save_bundle(root: str, version: str, prep, model: PipelineModel, threshold:
     meta = json.dumps({"version": version, "threshold": threshold, "prep": prep.to_json() if prep else None})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(
         os.path.join(path, "meta"))
+    # the registry's row comes last: a version that is listed is whole
+    spark.createDataFrame([(version, float(threshold), type(model.stages[-1]).__name__, time.time_ns())], VERSIONS_SCHEMA).coalesce(1) \
+        .write.mode("append").parquet(os.path.join(root, "_versions"))
     return path
 
 
+VERSIONS_SCHEMA = "version string, threshold double, kind string, saved_ns bigint"
+
+
+def model_versions(spark: SparkSession, root: str) -> DataFrame:
+    """The registry's versions, newest registration of each."""
+    try:
+        log = spark.read.schema(VERSIONS_SCHEMA).parquet(os.path.join(root, "_versions"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], VERSIONS_SCHEMA)
+    return log.groupBy("version").agg(F.max_by(F.struct("threshold", "kind", "saved_ns"), "saved_ns").alias("x")).select("version", "x.*")
+
+
 def load_bundle(root: str, version: str):
     from scorewell.operators.features import FittedPrep
     spark = SparkSession.getActiveSession()

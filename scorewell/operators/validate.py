@@ -127,6 +127,26 @@ def enforce_constraints(df: DataFrame, constraints: Mapping[str, Column]) -> Dat
     return df.where(F.assert_true(cond, "constraint violated").isNull())
 
 
+def drift_result_constraints() -> dict[str, Column]:
+    """V6 rules of the drift results: kinds, tests and verdicts are of fixed lists."""
+    one = lambda c, *v: F.col(c).isin(*v)
+    return {"feature_type": one("feature_type", "numeric", "categorical"), "statistical_test": one("statistical_test", "ks", "chi2"),
+            "verdict": one("verdict", "pass", "flag", "stop"),
+            "p_value": F.col("p_value").isNull() | F.col("p_value").between(0, 1)}
+
+
+def gate_run_constraints() -> dict[str, Column]:
+    """V6 rules of the gate's history."""
+    return {"verdict": F.col("verdict").isin("pass", "flag", "stop"), "row_count": F.col("row_count") >= 0,
+            "source_table": F.col("source_table").isNotNull()}
+
+
+def generation_run_constraints(most: int = 100_000) -> dict[str, Column]:
+    """V6 rules of the generation runs: requested rows in 1..most, a known status, no more inserted than asked for."""
+    return {"requested_count": F.col("requested_count").between(1, most), "status": F.col("status").isin("completed", "failed"),
+            "inserted_count": F.col("inserted_count").between(0, F.col("requested_count"))}
+
+
 def missing_report(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """V7: number of null (or NaN) values per column, optionally per group; long form."""
     aggs = []

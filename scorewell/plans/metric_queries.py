@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import r6
 from scorewell.operators import metrics as M
+from scorewell.operators import models as MD
 from scorewell.plans.tables import events, table
 
 
@@ -71,6 +72,19 @@ def calibrated_threshold(spark, sf_dir):
                     r6("recall").alias("recall"), r6("precision").alias("precision"), "calibration_mode")
 
 
+def model_metadata(spark, sf_dir):
+    """Registration row of every model: threshold, mode, confusion there, AUCs."""
+    m = MD.model_metadata(scored(spark, sf_dir))
+    return m.select("model", r6(F.col("threshold") + 0.0).alias("threshold"), "calibration_mode", "tp", "fp", "tn", "fn", "n", "positives",
+                    *[r6(c).alias(c) for c in ("precision", "recall", "f1", "specificity", "accuracy", "roc_auc", "average_precision")])
+
+
+def resource_summary(spark, sf_dir):
+    """A16 (resources): peak and average of two samples per event type."""
+    r = M.resource_summary(events(spark, sf_dir).withColumn("id", F.col("event_id").cast("double")), ["event_type"], "value", "id")
+    return r.select("event_type", "sample_count", *[r6(c).alias(c) for c in ("cpu_peak", "cpu_avg", "memory_peak", "memory_avg")])
+
+
 def confusion(spark, sf_dir):
     c = M.confusion(scored(spark, sf_dir), ["model"], 0.5)
     return c.select("model", "tp", "fp", "tn", "fn", *[r6(x).alias(x) for x in
@@ -109,13 +123,44 @@ QUERIES = {
     "average_precision": average_precision,
     "pr_curve": pr_curve,
     "calibrated_threshold": calibrated_threshold,
+    "model_metadata": model_metadata,
+    "resource_summary": resource_summary,
     "confusion": confusion,
     "latency_summary_a": latency_summary_a,
     "latency_summary_b": latency_summary_b,
     "spearman": spearman,
 }
 
+_CALIBRATED = f"""WITH {SCORED_SQL}, f AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+  FROM curve
+), best AS (
+  SELECT model, arg_max({{'t': threshold, 'f1': f1, 'r': recall, 'p': precision}}, (f1, -threshold)) AS b
+  FROM f GROUP BY model
+), fl AS (
+  SELECT model, arg_max({{'t': threshold, 'f1': f1, 'r': recall, 'p': precision}}, (f1, -threshold)) AS b
+  FROM f WHERE recall >= 0.6 GROUP BY model
+), pick AS (
+  SELECT best.model, CASE WHEN best.b.r < 0.6 AND fl.b IS NOT NULL THEN fl.b ELSE best.b END AS c,
+         CASE WHEN best.b.r < 0.6 AND fl.b IS NOT NULL THEN 'recall_floor_0.6' ELSE 'f1_optimal' END AS calibration_mode
+  FROM best LEFT JOIN fl USING (model)
+)"""
+
 ORACLE = {
+    "model_metadata": _CALIBRATED + """, m AS (
+  SELECT model, c.t AS t, calibration_mode, count_if(score >= c.t AND y = 1) AS tp, count_if(score >= c.t AND y <> 1) AS fp,
+         count_if(score < c.t AND y <> 1) AS tn, count_if(score < c.t AND y = 1) AS fn FROM scored JOIN pick USING (model) GROUP BY ALL
+), a AS (
+  SELECT model, CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0 THEN sum(neg * (2 * tp - pos)) / (2.0 * max(n_pos) * max(n_neg)) END AS roc_auc,
+         CASE WHEN max(n_pos) > 0 THEN sum(pos / n_pos * precision) END AS average_precision FROM curve GROUP BY model
+), r AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS p, coalesce(tp / nullif(tp + fn, 0), 0.0) AS rc FROM m JOIN a USING (model))
+SELECT model, round(t + 0.0, 6) AS threshold, calibration_mode, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn,
+       CAST(fn AS BIGINT) AS fn, CAST(tp + fp + tn + fn AS BIGINT) AS n, CAST(tp + fn AS BIGINT) AS positives, round(p, 6) AS precision,
+       round(rc, 6) AS recall, round(coalesce(2 * p * rc / nullif(p + rc, 0), 0.0), 6) AS f1,
+       round(coalesce(tn / nullif(tn + fp, 0), 0.0), 6) AS specificity, round((tp + tn) / (tp + fp + tn + fn), 6) AS accuracy,
+       round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision FROM r""",
+    "resource_summary": """SELECT event_type, count(*) AS sample_count, round(max(value), 6) AS cpu_peak, round(avg(value), 6) AS cpu_avg,
+       CAST(max(event_id) AS DOUBLE) AS memory_peak, round(avg(event_id), 6) AS memory_avg FROM events GROUP BY event_type""",
     "roc_auc": f"""WITH {SCORED_SQL}
 SELECT model, round(CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0
                     THEN sum(neg * (2 * tp - pos)) / (2.0 * max(n_pos) * max(n_neg)) END, 6) AS roc_auc

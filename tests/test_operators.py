@@ -170,9 +170,15 @@ def test_gate_sees_new_but_not_vanished_categories(spark, history):
 def test_gate_append_history(spark, history):
     path = tempfile.mkdtemp(prefix="gate-hist-")
     assert Q.read_history(spark, os.path.join(path, "none")).count() == 0
-    Q.append_run(history, path)
-    back = spark.read.parquet(path)
+    run = Q.append_run(history, path)
+    back = Q.read_history(spark, path)
     assert back.count() == 3 and Q.read_recent_runs(back, "src", 7).count() == 3
+    other = Q.append_run(history.limit(1), path)
+    assert run != other and Q.read_history(spark, path, other).count() == 1 and Q.read_history(spark, path).count() == 4
+    assert Q.read_recent_runs(back, "src", 7, verdicts=["stop"]).count() == history.where("verdict = 'stop'").count()
+    with pytest.raises(Exception, match="constraint violated"):
+        Q.append_run(history.withColumn("verdict", F.lit("maybe")), path)
+    assert Q.read_history(spark, path).count() == 4
 
 
 @pytest.mark.parametrize("dev,v", [(0.19, "pass"), (0.20, "flag"), (0.49, "flag"), (0.50, "stop")])
