@@ -3,10 +3,11 @@
 ``rule_features`` measures every whole text.  ``thresholds`` builds one KLL
 sketch per (language, source) and rule in a single aggregate: map tasks sketch
 their own rows, sketches merge at the reducer, so a source holding a third of
-all rows costs the reducer a few kilobytes per map task.  Sketches of small
-groups are merged up to their language and then to the whole corpus (sketches
-merge without re-reading rows).  ``apply_rules`` joins the thresholds back
-and decides.
+all rows costs the reducer a few kilobytes per map task.  Sketches also merge up to
+the language and to the whole corpus (without re-reading rows), and a group's
+quantiles are a weighted mean of the three that leans on its own the more rows it
+has, so no size switches a verdict.  ``apply_rules`` joins the thresholds back and
+decides.
 
 A fence climbs the upper quantiles of the sketch (``LEVELS``).  Each level puts
 it at the median plus a multiple of the level's own distance to the median, plus
@@ -53,7 +54,7 @@ RULES = {
 #: the median that reaches as far as six standard deviations of a normal tail
 LEVELS = (0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 0.99)
 REACH = [6 / NormalDist().inv_cdf(p) for p in LEVELS]
-MIN_GROUP = 200
+LEAN = 20         # a group of so many rows weighs as much as its language
 SKETCH_K = 800    # rank error under 0.5 %, so that the upper levels are told apart
 
 
@@ -132,10 +133,11 @@ def _climb(mid: Column, quantiles: list[Column], margin: float) -> Column:
     return F.aggregate(steps, start, step, lambda acc: acc["fence"])
 
 
-def thresholds(features: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """Fences per (lang, source): ``<rule>_low`` / ``<rule>_high`` and the group's
-    size.  Groups below ``min_group`` documents use the sketches merged over
-    their language, and below that again those merged over everything."""
+def thresholds(features: DataFrame, lean: int = LEAN) -> DataFrame:
+    """Fences per (lang, source): ``<rule>_low`` / ``<rule>_high`` and the group's size.
+
+    A group of n rows has weight n / (n + ``lean``), the rest goes to its language,
+    and what that leaves by the same rule to everything."""
     sound = features.where(~base_failed())
     g = sound.groupBy("lang", "source").agg(
         F.count("*").alias("n"),
@@ -151,11 +153,12 @@ def thresholds(features: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     whole = merged([], "all")
     j = g.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(F.broadcast(whole), F.lit(True), "left")
     cols = []
+    own, own_lang = (F.col(c) / (F.col(c) + lean) for c in ("n", "n_lang"))
     ranks = F.array(*[F.lit(p) for p in (0.5, *LEVELS, *[1 - p for p in LEVELS])])
     for r, (_e, side, margin) in RULES.items():
-        s = (F.when(F.col("n") >= min_group, F.col(f"s_{r}"))
-             .when(F.col("n_lang") >= min_group, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}")))
-        j = j.withColumn(f"q_{r}", F.kll_sketch_get_quantile_double(s, ranks))
+        at = [F.kll_sketch_get_quantile_double(F.col(f"{of}_{r}"), ranks) for of in ("s", "lang", "all")]
+        j = j.withColumn(f"q_{r}", F.zip_with(at[0], F.zip_with(at[1], at[2], lambda x, y: own_lang * x + (1 - own_lang) * y),
+                                              lambda x, y: own * x + (1 - own) * y))
         q = [F.col(f"q_{r}")[i] for i in range(2 * len(LEVELS) + 1)]
         cols.append(_climb(q[0], q[1:len(LEVELS) + 1], margin).alias(f"{r}_high"))
         low = -_climb(-q[0], [-x for x in q[len(LEVELS) + 1:]], margin) if side == "both" else F.lit(None).cast("double")
