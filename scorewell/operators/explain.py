@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from scorewell.functions.columns import parent_feature
 from scorewell.operators.metrics import average_precision, spearman_pearson
 from scorewell.operators.ordered import BUCKET, hash_bucket, null_safe_join, order_hash, rows_per_bucket
+from scorewell.session import staged
 
 # Thresholds of the explanation gates.
 RELEVANCE_MIN = 0.5
@@ -111,7 +112,7 @@ def gate2(attr: DataFrame, permutation: DataFrame | None, expected: Sequence[str
     importance (name or ``name_`` prefix), no unwanted feature in the first five,
     directions by Pearson.  All must pass; an ensemble has no permutation table,
     and then the other three decide."""
-    imp = mean_abs(attr)
+    imp = staged(mean_abs(attr), "importance")  # a row per feature, read by three checks
     parts = [relevance(top_n(imp, "feature", n_top), "feature", expected, True)
              .select(F.col("relevance").alias("attribution_overlap"), F.col("relevance_pass").alias("attribution_pass"))]
     if permutation is not None:

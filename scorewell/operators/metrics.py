@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.operators.ordered import null_safe_join, pick_by_rank, running_totals, value_ranks, with_totals
+from scorewell.session import staged
 
 RECALL_FLOOR = 0.60
 
@@ -148,10 +149,29 @@ def resource_summary(df: DataFrame, keys: Sequence[str], cpu: str, mem: str) ->
 
 # ---------------------------------------------------------------- correlation
 def spearman_pearson(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Spearman (Pearson on average ranks) and Pearson per key; rows with a null dropped."""
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    # both rankings come from value counts, not from each other's joined result
+    """Spearman (Pearson on average ranks) and Pearson per key; rows with a null dropped.
+
+    Rows are reduced to distinct (key, x, y) with counts once; ranks are joined to
+    that table and the correlations are weighted sums about the means (the mean rank
+    is known).  Null for a single row, NaN where a side is constant.
+    """
+    pairs = staged(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n")), "correlation")
+    ranked = pairs
     for v, out in ((x, "_rx"), (y, "_ry")):
-        ranks = value_ranks(d.groupBy(*keys, v).agg(F.count(F.lit(1)).alias("_n")), keys, v, "_n", out)
-        ranked = null_safe_join(d if v == x else ranked, ranks, [*keys, v])
-    return ranked.groupBy(*keys).agg(F.corr("_rx", "_ry").alias("spearman"), F.corr(x, y).alias("pearson"))
+        counts = pairs.groupBy(*keys, v).agg(F.sum("_n").alias("_c"))
+        ranked = null_safe_join(ranked, value_ranks(counts, keys, v, "_c", out), [*keys, v])
+    n = F.col("_n")
+    means = pairs.groupBy(*keys).agg(F.sum("_n").alias("_all"), *[(F.sum(n * F.col(v).cast("double")) / F.sum("_n")).alias(m)
+                                                                 for v, m in ((x, "_mx"), (y, "_my"))])
+    j = null_safe_join(ranked, means, keys)
+    mid = (F.col("_all") + 1) / 2.0
+    sums = []
+    for name, a, b in (("s", F.col("_rx") - mid, F.col("_ry") - mid), ("p", F.col(x) - F.col("_mx"), F.col(y) - F.col("_my"))):
+        sums += [F.sum(n * a * b).alias(f"_{name}xy"), F.sum(n * a * a).alias(f"_{name}xx"), F.sum(n * b * b).alias(f"_{name}yy")]
+    g = j.groupBy(*keys).agg(F.max("_all").alias("_all"), *sums)
+
+    def corr(name: str) -> Column:
+        size = F.sqrt(F.col(f"_{name}xx")) * F.sqrt(F.col(f"_{name}yy"))
+        return F.when(F.col("_all") > 1, F.when(size > 0, F.try_divide(F.col(f"_{name}xy"), size)).otherwise(F.lit(float("nan"))))
+
+    return g.select(*keys, corr("s").alias("spearman"), corr("p").alias("pearson"))

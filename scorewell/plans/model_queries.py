@@ -12,6 +12,7 @@ from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import sampling as S
 from scorewell.plans.tables import table
+from scorewell.session import staged
 
 # Fixed values of the fixtures: three linear "models" and the attribution weights.
 PROBS = ["p1", "p2", "p3"]
@@ -143,11 +144,11 @@ def scorecard(spark, sf_dir):
     """E4-E8 (gate 1): relevance of the top 10 parents, direction, magnitude of the top
     10 features, consistency of three rankings -> score, trials."""
     attr = _attributions(spark, sf_dir, ATTR_WEIGHTS)
-    raw = E.mean_abs(attr)
+    raw = staged(E.mean_abs(attr), "importance")  # a row per feature, read by every check below
     rel = E.relevance(E.top_n(E.parent_importance(raw, PARENTS), "parent", 10), "parent", EXPECTED)
     mag = E.magnitude(E.top_n(raw, "feature", 10))
     dirv = E.direction_verdict(E.direction(attr, EXPECTED_SIGN, "spearman"))
-    con = E.consistency(raw, *[E.mean_abs(_attributions(spark, sf_dir, w)) for w in (ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)])
+    con = E.consistency(raw, *[staged(E.mean_abs(_attributions(spark, sf_dir, w)), "importance") for w in (ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)])
     one = rel.crossJoin(mag).crossJoin(dirv).crossJoin(con)  # one-row aggregates
     score, trials = E.scorecard(F.col("relevance_pass"), F.col("direction_pass"), F.col("magnitude_pass"), F.col("consistency_pass"))
     return one.select(r6("relevance").alias("relevance"), F.col("relevance_pass").cast("int").alias("relevance_pass"),
@@ -163,7 +164,7 @@ def gate2_verdict(spark, sf_dir):
     a permutation table), unwanted features, Pearson directions; and without a
     permutation table, as for an ensemble."""
     attr = _attributions(spark, sf_dir, ATTR_WEIGHTS)
-    second = E.mean_abs(_attributions(spark, sf_dir, ATTR_WEIGHTS_B))
+    second = staged(E.mean_abs(_attributions(spark, sf_dir, ATTR_WEIGHTS_B)), "importance")
     rows = [E.gate2(attr, p, EXPECTED_GATE2, UNWANTED, EXPECTED_SIGN, n_top=4, n_garbage=3).withColumn("model", F.lit(m))
             for m, p in (("single", second), ("ensemble", None))]
     out = rows[0].unionByName(rows[1])
@@ -173,7 +174,7 @@ def gate2_verdict(spark, sf_dir):
 
 def ranking_consistency(spark, sf_dir):
     """Mean pairwise Spearman of three importance rankings (three weight sets)."""
-    r = [E.mean_abs(_attributions(spark, sf_dir, w)) for w in (ATTR_WEIGHTS, ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)]
+    r = [staged(E.mean_abs(_attributions(spark, sf_dir, w)), "importance") for w in (ATTR_WEIGHTS, ATTR_WEIGHTS_B, ATTR_WEIGHTS_C)]
     c = E.consistency(*r)
     return c.select(r6("consistency").alias("consistency"),
                     F.col("consistency_pass").cast("int").alias("consistency_pass"))
