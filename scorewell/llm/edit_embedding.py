@@ -7,8 +7,9 @@ again, so a small edit distance becomes a small Hamming distance (and unrelated
 texts stay apart).  The fingerprint is the embedding at shared sampled
 positions, 64 in each doubling of the length, so texts of any length are
 covered whole and comparable; one hex digit per position.  ``likeness`` is the
-share of the embedding on which two fingerprints agree; ``near_pairs`` finds
-similar texts by bands of sampled positions and verifies by likeness.
+share of the embedding on which two fingerprints agree; ``near_classes`` and
+``near_pairs`` find similar texts by bands of sampled positions and verify by
+likeness.
 
 The walk has period ``PERIOD``: every position is a list indexed by character
 class that holds the next position's list, so a text is walked inside
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import shuffle_partitions
+from scorewell.llm.common import shuffle_partitions, staged
+from scorewell.llm.components import components
 
 PERIOD = 1024
 SAMPLES = 64        # positions per doubling
 BLOCKS = 27         # doublings: embeddings of up to 64 * 2**26 positions
-BANDS, BAND_DIGITS = 24, 6
+BANDS, BAND_DIGITS = 40, 6
+BLOCK = 64          # classes compared as one block
 PIECE_CHARS = 1 << 21
 
 _rng = np.random.default_rng(77031)
@@ -219,37 +222,106 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
                                 "edited_fingerprint string, near_edited double, near_next double")
 
 
-def _top(fp: Column) -> Column:
-    """Number of whole blocks of a fingerprint."""
-    return F.floor(F.length(fp) / SAMPLES).cast("int")
-
-
-def near_pairs(prints: DataFrame, least: float = 0.6) -> DataFrame:
-    """(doc_id, other_id, likeness) of texts whose fingerprints agree on a band.
-
-    Equal fingerprints are one class first.  A band is a few sampled positions
-    of a block pair, taken from the last whole blocks of each text, so bands of
-    texts of about one length meet.  In each bucket every class is compared with
-    the bucket's first class only (no all-pairs of a group); classes that share
-    several bands meet several firsts.  Returned pairs are verified.
-    """
-    cls = prints.where(F.length("fingerprint") > 0).groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    top = _top(F.col("fingerprint"))
-    levels = F.explode(F.array_distinct(F.array(F.greatest(top, F.lit(1)), F.greatest(top - 1, F.lit(1)))))
-    lv = cls.select("doc_id", "fingerprint", levels.alias("level"))
-    keys = F.array(*[F.xxhash64(F.lit(i), "level", *[F.substring("fingerprint", (F.col("level") - 2) * SAMPLES + F.lit(int(p) + 1), F.lit(1)) for p in at])
-                     for i, at in enumerate(_BAND_AT)])
-    b = lv.where(F.col("level") >= 2).select("doc_id", F.explode(keys).alias("band"))
-    firsts = b.groupBy("band").agg(F.min("doc_id").alias("other_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = b.join(firsts, "band").where("doc_id <> other_id").select("doc_id", "other_id").distinct()
-    j = pairs.join(cls, "doc_id").join(cls.select(F.col("doc_id").alias("other_id"), F.col("fingerprint").alias("other_fp")), "other_id")
-
+def band_rows(classes: DataFrame) -> DataFrame:
+    """(cid, bucket): ``BANDS`` groups of sampled digits on each of two levels.
+
+    A long fingerprint is banded on its last two pairs of whole blocks, one under two
+    blocks on its first 2**k digits for the two largest such k, so that texts of about
+    one length, short ones included, share a level."""
+    n = F.length("fingerprint")
+    top = F.floor(n / SAMPLES).cast("int")
+    small = F.floor(F.log2(n.cast("double")) + 1e-9).cast("int")
+    span = lambda first, size: F.struct(first.alias("first"), size.alias("size"))
+    head = lambda k: span(F.lit(0), F.pow(F.lit(2.0), F.greatest(k, F.lit(0))).cast("int"))
+    pair = lambda t: F.when(t >= 2, span((t - 2) * SAMPLES, F.lit(2 * SAMPLES))).otherwise(head(F.lit(6)))
+    spans = F.array_distinct(F.when(top >= 2, F.array(pair(top), pair(top - 1))).otherwise(F.array(head(small), head(small - 1))))
+    lv = classes.select("cid", "fingerprint", F.explode(spans).alias("s"))
+    at = lambda p: F.substring("fingerprint", F.col("s.first") + F.pmod(F.lit(int(p)), F.col("s.size")) + 1, F.lit(1))
+    keys = F.array(*[F.xxhash64(F.lit(i), "s.first", "s.size", *[at(p) for p in places]) for i, places in enumerate(_BAND_AT)])
+    return lv.select("cid", F.explode(F.array_distinct(keys)).alias("bucket"))
+
+
+def _verified(pairs: DataFrame, least: float) -> DataFrame:
+    """Links (a, b, likeness) of rows with two lists of (cid, root, fingerprint): pairs of
+    different roots, the right one's name above the left one's unless its root is the main one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            v = [likeness(p.encode().translate(_UNHEX), q.encode().translate(_UNHEX))
-                 for p, q in zip(x.column(2).to_pylist(), x.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(v, pa.float64())], names=["doc_id", "other_id", "likeness"])
+            out = []
+            for left, right in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
+                coded = [(r, r["fingerprint"].encode().translate(_UNHEX)) for r in right]
+                for p in left:
+                    own = p["fingerprint"].encode().translate(_UNHEX)
+                    for q, other in coded:
+                        if p["root"] != q["root"]:
+                            v = likeness(own, other)
+                            if v >= least:
+                                out.append((p["cid"], q["cid"], v))
+            cols = list(zip(*out)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
+                                             names=["a", "b", "likeness"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint, likeness double")
+
+
+def _classes(prints: DataFrame) -> DataFrame:
+    """Equal fingerprints are one class: (cid, fingerprint, first_id)."""
+    return staged(prints.where(F.length("fingerprint") > 0).groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
+                  .withColumn("cid", F.monotonically_increasing_id()), "print-classes")
+
+
+def _links(cls: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(verified links, component of each linked class).
+
+    Each bucket's most connected class meets all others of the bucket.  Where a
+    bucket then still holds several components, the classes outside its largest one
+    meet all of its classes, in blocks, so two alike classes of a bucket end up in
+    one component whichever of them the stars tried."""
+    bands = band_rows(cls)
+    many = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = staged(bands.join(many, "bucket"), "print-buckets")
+    weight = shared.groupBy("cid").agg(F.sum(F.col("size") - 1).alias("weight"))
+    heads = shared.join(weight, "cid").groupBy("bucket").agg(F.max_by("cid", F.struct("weight", "cid")).alias("head"))
+    star = shared.join(heads, "bucket").where("cid <> head").select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
+    one = lambda c: cls.select(F.col("cid").alias(c), F.array(F.struct("cid", F.col("cid").alias("root"), "fingerprint")).alias(f"{c}_items"))
+    links = staged(_verified(star.join(one("a"), "a").join(one("b"), "b").select("a_items", "b_items"), least), "print-links")
+    roots = staged(components(links), "print-roots")
+    of = shared.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("root", "cid").alias("root"))
+    main = of.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket") \
+        .agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots"), F.sum("k").alias("n")).where("roots > 1")
+    rest = staged(of.join(main, "bucket").join(cls.select("cid", "fingerprint"), "cid").select(
+        "bucket", "cid", "root", "main", "fingerprint", F.ceil(F.col("n") / BLOCK).alias("blocks")), "print-rest")
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    items = F.collect_list(F.struct("cid", "root", "fingerprint"))
+    left = rest.where("root <> main").groupBy("bucket", "blocks", block.alias("i")).agg(items.alias("left")) \
+        .withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    right = rest.groupBy("bucket", block.alias("j")).agg(items.alias("right"))
+    more = staged(_verified(left.join(right, ["bucket", "j"]).select("left", "right"), least).dropDuplicates(["a", "b"]), "print-links")
+    links = links.unionByName(more)
+    return links, (roots if more.isEmpty() else components(links))
+
 
-    kind = prints.schema["doc_id"].dataType.simpleString()
-    return j.select("doc_id", "other_id", "fingerprint", "other_fp") \
-        .mapInArrow(run, f"doc_id {kind}, other_id {kind}, likeness double").where(F.col("likeness") >= least)
+def near_pairs(prints: DataFrame, least: float = 0.6) -> DataFrame:
+    """(doc_id, other_id, likeness): verified links between classes of equal
+    fingerprints, each named by its smallest id (``near_classes`` has the members).
+
+    Of alike classes in one bucket, enough links are returned to connect them all."""
+    cls = _classes(prints)
+    links, _roots = _links(cls, least)
+    name = lambda c, out: cls.select(F.col("cid").alias(c), F.col("first_id").alias(out))
+    both = links.join(name("a", "x"), "a").join(name("b", "y"), "b")
+    return both.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("other_id"), "likeness").distinct()
+
+
+def near_classes(prints: DataFrame, least: float = 0.6) -> DataFrame:
+    """(doc_id, near_class) for every row of (doc_id, fingerprint): the smallest id of the
+    documents reachable through fingerprints alike by ``least``.
+
+    An empty or null fingerprint is a class of its own id; rows with null ids take part
+    but never name a class; equal fingerprints are together; an empty table gives no rows."""
+    cls = _classes(prints)
+    _found, roots = _links(cls, least)
+    named = cls.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    first = named.groupBy("root").agg(F.min("first_id").alias("near_class"))
+    of = named.join(first, "root").select(F.col("fingerprint").alias("_fp"), "near_class")
+    whole = prints.join(of, F.col("fingerprint") == F.col("_fp"), "left")
+    return whole.select("doc_id", F.when(F.length("fingerprint") > 0, F.col("near_class")).otherwise(F.col("doc_id")).alias("near_class"))

@@ -178,13 +178,81 @@ def test_likeness_follows_edits():
     assert sum(near) / 40 > 0.8 and sum(x > max(far) + 0.2 for x in near) >= 32 and max(far) < 0.5
 
 
-def test_near_pairs_finds_edited_copies(spark):
+def linked(pairs, nodes):
+    """Smallest node reachable from each node."""
+    up = {n: n for n in nodes}
+
+    def find(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+    for x, y in pairs:
+        x, y = sorted((find(x), find(y)))
+        up[y] = x
+    return {n: find(n) for n in nodes}
+
+
+def test_near_classes_against_all_pairs(spark):
+    """Edited copies of texts of every length, groups with a shared opening, copies,
+    null ids and empty texts: of all alike pairs at least nine in ten are connected,
+    and nothing else is."""
     rng = random.Random(4)
-    base = [prose(rng, 200, 3000) for _ in range(12)]
-    rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, t[:400] + "??" + t[401:]) for i, t in enumerate(base)]
-    got = {(r.other_id, r.doc_id) for r in emb.near_pairs(emb.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
-    true = {(i, 100 + i) for i in range(12)}
-    assert got <= true and len(got) >= 9  # bands miss walks that meet again late
+    rows = []
+    for n in (30, 60, 120, 250, 500, 2000):
+        for _ in range(15):
+            t = prose(rng, n, 3000)[:n]
+            at = rng.randrange(n // 3, n)
+            rows += [(len(rows), t), (len(rows) + 1, t[:at] + "?" + t[at + 1:])]
+    opening = prose(rng, 60, 3000)
+    for _ in range(10):
+        t = opening + prose(rng, 120, 3000)
+        rows += [(len(rows) + k, t[:500 + 40 * k] + "#!" + t[502 + 40 * k:]) for k in range(3)]
+    prints = {i: emb.fingerprint(t) for i, t in rows}
+    un = {i: f.encode().translate(emb._UNHEX) for i, f in prints.items()}
+    alike = [(i, j) for i in un for j in un if i < j and emb.likeness(un[i], un[j]) >= 0.6]
+    odd = [(9000, ""), (9001, None), (None, rows[0][1]), (9002, rows[0][1]), (9002, rows[0][1])]
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string").repartition(4)
+    fp = emb.fingerprints(docs).persist()
+    got = emb.near_classes(fp).collect()
+    assert len(got) == len(rows) + len(odd)
+    of = {r.doc_id: r.near_class for r in got if r.doc_id is not None}
+    want = linked(alike, prints)
+    assert of[9000] == 9000 and of[9001] == 9001 and of[9002] == of[0] == 0
+    assert {r.near_class for r in got if r.doc_id is None} == {0}
+    assert sum(of[i] == of[j] for i, j in alike) >= 0.9 * len(alike) and len(alike) > 90
+    short = [(i, j) for i, j in alike if len(rows[i][1]) <= 60]
+    assert len(short) > 10 and sum(of[i] == of[j] for i, j in short) >= 0.9 * len(short)
+    assert all(want[of[i]] == want[i] for i in prints)  # no class joins what all pairs would not
+    pairs = emb.near_pairs(fp).collect()
+    assert {(r.other_id, r.doc_id) for r in pairs} <= set(alike)
+    assert all(r.likeness == pytest.approx(emb.likeness(un[r.doc_id], un[r.other_id])) for r in pairs)
+    closed, name = linked([(r.other_id, r.doc_id) for r in pairs], prints), {}
+    for i, f in prints.items():  # equal fingerprints go by their smallest id
+        name.setdefault(f, i)
+    assert all(closed[name[f]] == of[i] for i, f in prints.items())
+
+
+def test_near_classes_of_nothing(none):
+    assert emb.near_classes(emb.fingerprints(none)).count() == 0 and emb.near_pairs(emb.fingerprints(none)).count() == 0
+
+
+def test_walk_equals_a_plain_loop():
+    """The shared walk, character by character."""
+    rng = random.Random(3)
+    for _ in range(20):
+        text = "".join(chr(rng.choice([97, 98, 32, 233, 20013, 128512])) for _ in range(rng.randrange(0, 300)))
+        chars, at, seen = emb.classes(text), 0, []
+        for c in chars:  # a character is copied out until its bit says to move on
+            while True:
+                seen.append(c)
+                move = emb._MOVE[at % emb.PERIOD, c]
+                at += 1
+                if move:
+                    break
+        leave = emb.leave_positions(chars)
+        assert (int(leave[-1]) if len(leave) else 0) == len(seen)
+        digits = emb.sample(chars, leave)
+        assert list(digits) == [int(emb._DIGIT[seen[p], k]) for k, p in enumerate(emb.POSITIONS) if p < len(seen)]
 
 
 def test_schema_is_stable(none):
