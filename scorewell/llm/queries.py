@@ -20,12 +20,15 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of all documents; rows whose id hash leaves 2 are held out of training."""
+    """Toxicity of all documents, with their offending sentences' number and the worst one's
+    place; rows whose id hash leaves 2 are held out of training."""
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn=~toxicity.held_out(F.col("doc_id")))
-    out = toxicity.score(docs, model)
+    out = toxicity.score(docs, model, spans=True)
+    worst = F.get("sentences", F.lit(0))
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
-                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                      F.size("sentences").alias("n_offending"), worst["first"].alias("worst_first_byte"), worst["end"].alias("worst_end_byte"))
 
 
 def _with_edits(docs: DataFrame) -> DataFrame:

@@ -28,10 +28,14 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewell.llm.common import unused
+
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = r"(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>"
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|"
@@ -57,12 +61,12 @@ def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
-def split_http(http: str) -> tuple[str | None, list[tuple[str, str]], str]:
+def split_http(http: bytes) -> tuple[str | None, list[tuple[str, str]], bytes]:
     """(status line, headers in order, payload) of an HTTP response block."""
-    head, blank, payload = http.partition("\r\n\r\n")
-    if not blank or not head.startswith("HTTP/"):
+    head, blank, payload = http.partition(b"\r\n\r\n")
+    if not blank or not head.startswith(b"HTTP/"):
         return None, [], http
-    status, *lines = head.split("\r\n")
+    status, *lines = head.decode(errors="replace").split("\r\n")
     fields: list[tuple[str, str]] = []
     for x in lines:
         if x[:1] in " \t" and fields:  # folded header
@@ -73,6 +77,15 @@ def split_http(http: str) -> tuple[str | None, list[tuple[str, str]], str]:
     return status, fields, payload
 
 
+def _decoded(payload: bytes, kind: str) -> str:
+    """A payload by the charset of its content type (UTF-8 without one)."""
+    charset = next((p.split("=", 1)[1].strip().strip('"') for p in kind.split(";")[1:] if p.strip().lower().startswith("charset=")), "utf-8")
+    try:
+        return payload.decode(charset, errors="replace")
+    except LookupError:
+        return payload.decode(errors="replace")
+
+
 def _one_line(s: str) -> str:
     return " ".join(s.split())
 
@@ -81,27 +94,36 @@ def _head(fields: list[tuple[str, str | None]]) -> str:
     return "WARC/1.1\r\n" + "".join(f"{k}: {_one_line(v)}\r\n" for k, v in fields if v is not None)
 
 
-def derive(record_id: str | None, uri: str | None, date: str | None, http: str | None) -> list[tuple]:
-    """The derivative records of one response, as rows of ``OUT``."""
-    http = http or ""
+def derive(record_id: str | None, uri: str | None, date: str | None, http: str | bytes | None,
+           given: list[tuple[str, str | None]] | None = None) -> list[tuple]:
+    """The derivative records of one response, as rows of ``OUT``.  ``given`` are the
+    source record's own WARC headers; its digests are kept as they are."""
+    raw = http.encode() if isinstance(http, str) else http or b""
     if record_id is None:
-        record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri}|{date}|{digest(http.encode())}')}>"
-    status, fields, payload = split_http(http)
-    source_digest = digest(payload.encode())
+        record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri}|{date}|{digest(raw)}')}>"
+    status, fields, payload = split_http(raw)
+    given = [(k, v) for k, v in given or [] if v is not None]
+    of = {k.lower(): v for k, v in given}
+    source_digest = of.get("warc-payload-digest") or digest(payload)
     kind = next((v for k, v in fields if k.lower() == "content-type"), "text/html")
     base = kind.split(";")[0].strip().lower()
     is_html = base in ("text/html", "application/xhtml+xml")
     ids = {k: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{record_id}#{k}')}>" for k in ("metadata", "conversion")}
-    text = plain_text(payload) if is_html else payload if base.startswith("text/") else None
+    if is_html or base.startswith("text/"):
+        page = payload.decode(errors="replace") if isinstance(http, str) else _decoded(payload, kind)
+    text = plain_text(page) if is_html else page if base.startswith("text/") else None
 
     lines = [("source-record", record_id), ("source-status", status), ("source-payload-digest", source_digest)]
+    if "warc-block-digest" in of:
+        lines.append(("source-block-digest", of["warc-block-digest"]))
+    lines += [("source-warc-header", f"{k}: {v}") for k, v in given]
     lines += [("source-header", f"{k}: {v}") for k, v in fields]
     if is_html:
-        title = _TITLE.search(payload)
+        title = _TITLE.search(page)
         if title:
             lines.append(("title", html.unescape(title[1])))
         links = {}
-        for m in _LINK.findall(_HIDDEN.sub(" ", payload)):
+        for m in _LINK.findall(_HIDDEN.sub(" ", page)):
             link = html.unescape(m[0] or m[1] or m[2])
             try:
                 links[urljoin(uri or "", link)] = None
@@ -127,21 +149,41 @@ def derive(record_id: str | None, uri: str | None, date: str | None, http: str |
     return out
 
 
-def derivatives(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Derivative records of response rows (record_id, target_uri, warc_date,
-    http); ``keep`` columns are carried to every record."""
+def _slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``limit`` bytes of a column each."""
+    end = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = end[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(end, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def derivatives(responses: DataFrame, keep: list[str] | None = None, headers: str | None = None) -> DataFrame:
+    """Derivative records of response rows (record_id, target_uri, warc_date, http);
+    ``keep`` columns are carried to every record (any names but those of the output).
+
+    ``http`` may be text or the record's bytes; bytes are read by the charset they
+    name, and digests are taken over them as they are.  ``headers`` names a
+    map<string,string> of the source records' own WARC headers: they are listed in
+    the metadata record, and a payload digest among them is carried through."""
     keep = keep or []
-    src = responses.select(*[F.col(c) for c in keep], *[F.col(c).cast("string").alias(f"_{c}") for c in COLUMNS])
+    binary = dict(responses.dtypes)["http"] == "binary"
+    own = unused("_", [c for c in keep])
+    src = responses.select(*[F.col(f"`{c}`") for c in keep], *[F.col(c).cast("string").alias(f"{own}{c}") for c in COLUMNS[:3]],
+                           F.col("http").cast("binary" if binary else "string").alias(f"{own}http"),
+                           (F.map_entries(headers) if headers else F.lit(None).cast("array<struct<key:string,value:string>>")).alias(f"{own}given"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from scorewell.llm.textbytes import pieces
+        from scorewell.llm.textbytes import PIECE_BYTES
         types = [pa.string()] * 7 + [pa.int64(), pa.string(), pa.string()]
         names = [x.split()[0] for x in OUT.split(", ")]
         for batch in batches:
-            for b in pieces(batch, "_http"):
+            for b in _slices(batch, len(keep) + 3, PIECE_BYTES):
                 rows, at = [], []
-                for i, x in enumerate(zip(*(b.column(len(keep) + k).to_pylist() for k in range(4)))):
-                    got = derive(*x)
+                for i, (*x, given) in enumerate(zip(*(b.column(len(keep) + k).to_pylist() for k in range(5)))):
+                    got = derive(*x, given and [(h["key"], h["value"]) for h in given])
                     rows += got
                     at += [i] * len(got)
                 cols = list(zip(*rows))

@@ -302,6 +302,22 @@ def test_warc_records(spark, tmp_path):
     assert warc.derivatives(df.limit(0)).count() == 0
 
 
+def test_warc_source_headers_and_bytes(spark):
+    """Source headers and digests come through; bytes in their own charset keep their digest."""
+    body = "<p>Grüße</p>".encode("latin-1")
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n" + body
+    given = {"WARC-Payload-Digest": "sha256:abc", "WARC-Block-Digest": "md5:def", "WARC-IP-Address": "10.0.0.1", "WARC-Null": None}
+    rows = [("<urn:uuid:1>", "http://h.org/", "d", bytearray(http), given), ("<urn:uuid:2>", "u", "d", bytearray(http), None),
+            ("<urn:uuid:3>", "u", "d", None, {}), ("<urn:uuid:4>", "u", "d", bytearray(b"HTTP/1.1 200 OK\r\nContent-Type: text/plain; charset=nope\r\n\r\n\xff"), {})]
+    df = spark.createDataFrame(rows, "record_id string, target_uri string, warc_date string, http binary, warc map<string,string>").withColumn("_http", F.lit(1))
+    got = {(r.refers_to[-2], r.warc_type): r for r in warc.derivatives(df, keep=["_http"], headers="warc").collect()}
+    meta = got["1", "metadata"]
+    assert meta.payload_digest == "sha256:abc" and "source-payload-digest: sha256:abc\r\n" in meta.block and meta._http == 1
+    assert "source-block-digest: md5:def\r\n" in meta.block and "source-warc-header: WARC-IP-Address: 10.0.0.1\r\n" in meta.block and "WARC-Null" not in meta.block
+    assert got["1", "conversion"].block == "Grüße" and got["2", "metadata"].payload_digest == warc.digest(body)
+    assert got["3", "metadata"].payload_digest == warc.digest(b"") and got["4", "conversion"].block == "\ufffd"
+
+
 def test_many_notices_in_one_text(spark):
     """Each of 400 notices is a span; the text is read once, not once a span."""
     import time
