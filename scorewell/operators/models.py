@@ -15,9 +15,8 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -30,7 +29,7 @@ from scorewell.operators.booster import HistogramBooster
 from scorewell.operators.latest import latest
 from scorewell.operators.ordered import null_safe_join
 from scorewell.operators.sampling import class_weights
-from scorewell.operators.search import draw_uniform, fold_score, is_parameter_error
+from scorewell.operators.search import draw_uniform, fit_pipeline, fold_score, is_parameter_error
 from scorewell.operators.smote import smote
 
 # Production threshold, candidate filter, promotion advisory gap.
@@ -104,8 +103,7 @@ def train_evaluate(spark: SparkSession, name: str, estimator, features: Sequence
                    valid: DataFrame, label: str = "y") -> tuple[PipelineModel | None, dict]:
     """M2: fit + evaluate; a failure is recorded as a row, not raised."""
     try:
-        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                                 handleInvalid="keep"), estimator]).fit(train)
+        model = fit_pipeline(train, features, estimator)
         return model, evaluate(probability(model.transform(valid)), name, label)
     except Exception as e:  # noqa: BLE001 - recorded, not raised
         return None, {"model": name, "status": "failed", "error": str(e), "roc_auc": None,
