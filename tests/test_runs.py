@@ -83,3 +83,18 @@ def test_panes_move_fewer_rows(spark):
     alone = {r.window_start: r for r in MO.latency_quantiles(df, "at", "ms").collect()}
     assert all(full[k].p95 == r.p95 and full[k].p50 == r.p50 for k, r in alone.items())
     assert "Expand" not in MO.error_rate(df, "at", F.col("bad"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_tables_can_be_removed(spark):
+    import os
+    from scorewell import session
+    t = session.staged(spark.range(5), "five")
+    folder = session.staging_dir(spark).removeprefix("file:")
+    assert t.count() == 5 and any(f.startswith("five-") for f in os.listdir(folder))
+    kept = sorted(os.listdir(folder))
+    other = os.path.join(os.path.dirname(folder), "scorewell-staged-other")
+    os.makedirs(other, exist_ok=True)
+    if all(f.startswith("five-") for f in kept):  # alone in this session: nobody else reads staged tables
+        session.clear_staged(spark)
+        assert not os.path.exists(folder)
+    assert os.path.exists(other)
