@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import parent_feature
 from scorewell.operators.metrics import average_precision, spearman_pearson
-from scorewell.operators.ordered import BUCKET, hash_bucket, null_safe_join, order_hash, rows_per_bucket
+from scorewell.operators.ordered import BUCKET, hash_bucket, order_hash, rows_per_bucket
 from scorewell.session import staged
 
 # Thresholds of the explanation gates.
@@ -192,21 +192,30 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
     is each feature's variant scored, and scores are reduced at once.  ``df`` should
     hold only the key, the label and what ``score_fn`` reads.
     """
+    buckets = math.ceil(df.count() / rows_per_bucket(df))
+    buckets = 1 << max(0, (buckets - 1).bit_length())
     x = df.select("*", F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("_repeat"))
     x = x.withColumn("_h", order_hash(F.col(key), F.lit(seed), F.col("_repeat")))
-    x = x.withColumn(BUCKET, hash_bucket("_h", math.ceil(df.count() / rows_per_bucket(df))))
-    own = F.struct(*[F.col(f"`{f}`").cast("double").alias(f) for f in features])
-    w = Window.partitionBy("_repeat", BUCKET).orderBy("_h", key)
-    x = x.withColumn("_own", own).withColumn("_before", F.lag("_own").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    last = x.groupBy("_repeat", BUCKET).agg(F.max_by("_own", F.struct("_h", key)).alias("_last"))
+    # one number names repeat and bucket, and each value is carried once: this is what is shuffled
+    x = x.withColumn(BUCKET, F.col("_repeat") * buckets + hash_bucket("_h", buckets)).drop("_repeat")
+    w = Window.partitionBy(BUCKET).orderBy("_h", key)
+    before = {f: f"_before_{i}" for i, f in enumerate(features)}
+    own = {f: F.col(f"`{f}`").cast("double") for f in features}
+    # the last row of a bucket; its columns follow one order, so they are one row's
+    last = x.groupBy(BUCKET).agg(*[F.max_by(own[f], "_h").alias(f"_last_{b}") for f, b in before.items()])
+    last = last.withColumn("_repeat", F.floor(F.col(BUCKET) / buckets))
     wb = Window.partitionBy("_repeat").orderBy(BUCKET)  # one row per repeat and bucket
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edge = last.select("_repeat", BUCKET, F.coalesce(F.lag("_last").over(wb), F.last("_last").over(whole)).alias("_edge"))
-    x = null_safe_join(x, edge, ["_repeat", BUCKET])
-    x = x.withColumn("_value", F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_before")))
+    at_edge = F.row_number().over(wb) == 1
+    edge = last.select(BUCKET, *[F.when(at_edge, F.last(f"_last_{b}").over(whole)).otherwise(F.lag(f"_last_{b}").over(wb)).alias(f"_edge{b}")
+                                 for b in before.values()])
+    x = x.select("*", *[F.lag(own[f]).over(w).alias(b) for f, b in before.items()], (F.row_number().over(w) == 1).alias("_first"))
+    x = x.join(F.broadcast(edge), BUCKET)  # a row per repeat and two million rows
+    x = x.withColumn("_repeat", F.floor(F.col(BUCKET) / buckets).cast("int"))
+    x = x.withColumns({b: F.when(F.col("_first"), F.col(f"_edge{b}")).otherwise(F.col(b)) for b in before.values()})
     x = x.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
     for f in features:
-        x = x.withColumn(f, F.when(F.col("_feature") == f, F.col("_value")[f]).otherwise(F.col(f"`{f}`")))
+        x = x.withColumn(f, F.when(F.col("_feature") == f, F.col(before[f])).otherwise(F.col(f"`{f}`")))
     scored = score_fn(x).select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"), label, "score")
     ap = average_precision(scored, ["feature", "repeat"], label=label)
     base = average_precision(score_fn(df).select(F.lit("_").alias("feature"), F.lit(0).alias("repeat"),
