@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from scorewell.operators import explain as E
 from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
+from scorewell.operators import neighbours as N
 
 
 def _plan(df) -> str:
@@ -65,3 +67,22 @@ def test_permutation_shuffles_rows_once(spark, monkeypatch):
     whole = E.permutation_importance(df, "k", "y", ["a", "b"], lambda d: d.withColumn("score", F.col("a") + 2 * F.col("b")), repeats=3)
     for r in whole.collect():  # the order of a repeat does not depend on its buckets
         assert math.isclose(got[r["feature"]], r["importance_mean"], abs_tol=1e-12)
+
+
+def test_neighbours_meet_only_boxes_in_reach(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.floor(rng.uniform(0, 60, (5000, 3))), [[900.0, 900.0, 900.0]], rng.uniform(0, 1, (200, 3))])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
+    got = N.nearest_neighbours(df, "id", ["a", "b", "c"], 5, per_cell=300).collect()
+    lists = {}
+    for r in got:
+        lists.setdefault(r["id"], []).append((r["rank"], r["neighbour"], round(r["distance"], 9)))
+    for i in range(0, len(x), 37):
+        d2 = ((x - x[i]) ** 2).sum(1)
+        best = [j for j in np.lexsort((np.arange(len(x)), d2)) if j != i][:5]
+        assert sorted(lists[i]) == [(n + 1, j, round(float(np.sqrt(d2[j])), 9)) for n, j in enumerate(best)]
+    assert len(got) == 5 * len(x)
+    # a query's block meets few of the other blocks
+    q = np.unique(x, axis=0)
+    row, _col, _d2, bound = N.near(q, np.full(len(q), np.inf), q, 5)
+    assert len(row) < 40 * len(q) and np.isfinite(bound).all()
