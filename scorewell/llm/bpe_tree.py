@@ -1,7 +1,7 @@
 """BPE encoding of long unsplit text by tree concatenation, and decoding.
 
-Text that a pre-tokenizer does not split makes one long merge problem.  Here it
-is cut in halves down to leaves, the leaves are encoded as one batch (in
+Text that a pre-tokenizer does not split makes one long merge problem.  Here each text
+(``encode_column``), and within it each stretch that is not split (``encode``), is cut in halves down to leaves, the leaves are encoded as one batch (in
 parallel threads where the library may use them), and results are joined
 pairwise up the tree: a window around each join is encoded anew and grows until
 its tokens agree exactly with both sides; the agreed stretches are where left,
@@ -105,6 +105,115 @@ def decode(t, ids: list[int]) -> str:
     return t.decode(ids, skip_special_tokens=False)
 
 
+def _units(starts: np.ndarray, end: int, counts: np.ndarray, ids: np.ndarray) -> list[tuple]:
+    """(first byte, last byte, ids) of units that follow each other."""
+    s, flat, out, at = starts.tolist(), ids.tolist(), [], 0
+    for a, b, n in zip(s, s[1:] + [end], counts.tolist()):
+        out.append((a, b, tuple(flat[at:at + n])))
+        at += n
+    return out
+
+
+def _run(part: list[tuple], window: list[tuple], back: bool = False) -> tuple[int, int] | None:
+    """Places in part and window after (``back``: before) the first (last) equal units
+    in a row with AGREE tokens."""
+    at, tokens = {u: i for i, u in enumerate(part)}, 0
+    for w in (range(len(window) - 1, -1, -1) if back else range(len(window))):
+        i = at.get(window[w])
+        tokens = 0 if i is None else tokens + len(window[w][2])
+        if tokens >= AGREE:
+            return (i, w) if back else (i + 1, w + 1)
+    return None
+
+
+class _Part:
+    """An encoded stretch of a text: bytes lo to hi, its units' first bytes and token counts, its ids."""
+
+    def __init__(self, lo, hi, starts, counts, ids):
+        self.lo, self.hi, self.starts, self.counts, self.ids = lo, hi, starts, counts, ids
+
+    def cut(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a = int(self.counts[:i].sum())
+        return self.starts[i:j], self.counts[i:j], self.ids[a:a + int(self.counts[i:j].sum())]
+
+
+def _spliced(left: _Part, right: _Part, window: _Part) -> _Part | None:
+    """The parts joined where they agree with the window around the join, or None."""
+    mid, all_units = left.hi, _units(window.starts, window.hi, window.counts, window.ids)
+    x, y = (0, 0), (len(right.starts), len(all_units))
+    if window.lo > left.lo:
+        i = int(np.searchsorted(left.starts, window.lo, "right"))
+        x = _run(_units(left.starts[i:], mid, *left.cut(i, None)[1:])[:-1], all_units)  # the last unit touches the join
+        x = x and (i + x[0], x[1])
+    if window.hi < right.hi:
+        i, j = (int(np.searchsorted(right.starts, at, "right")) for at in (mid, window.hi - 1))
+        end = int(right.starts[j]) if j < len(right.starts) else right.hi
+        y = _run(_units(right.starts[i:j], end, *right.cut(i, j)[1:]), all_units, back=True)
+        y = y and (i + y[0], y[1])
+    if not x or not y or x[1] > y[1]:
+        return None
+    parts = left.cut(0, x[0]), window.cut(x[1], y[1]), right.cut(y[0], None)
+    return _Part(left.lo, right.hi, *(np.concatenate(c) for c in zip(*parts)))
+
+
+def _whole_characters(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places moved back to the first byte of their character."""
+    for _ in range(3):
+        at = at - ((at < len(raw)) & ((raw[np.minimum(at, len(raw) - 1)] & 0xC0) == 0x80))
+    return at
+
+
+def encode_column(enc, column: pa.Array, leaf: int = LEAF, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, first id of each row and one entry more) of a text column by tree concatenation.
+
+    Every text is cut into leaves of ``leaf`` bytes, wherever they end; all leaves of the
+    column are one batch.  Then neighbours are joined pairwise, level by level: the windows
+    around a level's joins are one batch, and a window grows until its units (stretches
+    with tokens of their own) agree on both sides of the join, or it is all of both parts.
+    """
+    from scorewell.llm.textbytes import buffers
+    raw, offsets = buffers(column)
+    if not len(raw):
+        return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+    per = np.maximum(1, -(-np.diff(offsets) // leaf))
+    first = np.concatenate([[0], np.cumsum(per)])
+    row = np.repeat(np.arange(len(per)), per)
+    edges = offsets[row] + leaf * (np.arange(first[-1]) - first[row])
+    edges = np.append(np.maximum(offsets[row], _whole_characters(raw, edges)), len(raw))
+
+    def batch(body: np.ndarray, cut: np.ndarray):
+        text = pa.Array.from_buffers(pa.large_string(), len(cut) - 1, [None, pa.py_buffer(np.ascontiguousarray(cut, np.int64)), pa.py_buffer(np.ascontiguousarray(body))])
+        e = enc.encode(text)
+        return [_Part(int(cut[i]), int(cut[i + 1]), e.starts[a:b], e.unit_tokens[a:b], e.ids[s:t]) for i, (a, b, s, t) in
+                enumerate(zip(e.row_units.tolist(), e.row_units[1:].tolist(), e.row_tokens.tolist(), e.row_tokens[1:].tolist()))]
+
+    parts = batch(raw, edges)
+    rows = [parts[a:b] for a, b in zip(first.tolist(), first[1:].tolist())]
+    while True:
+        joins = [[r, i, window] for r, p in enumerate(rows) for i in range(0, len(p) - 1, 2)]
+        if not joins:
+            break
+        done = {}
+        while joins:
+            span = np.array([(max(rows[r][i].lo, rows[r][i].hi - w), min(rows[r][i + 1].hi, rows[r][i].hi + w)) for r, i, w in joins])
+            low = np.maximum([rows[r][i].lo for r, i, _w in joins], _whole_characters(raw, span[:, 0]))
+            high = np.where(span[:, 1] < [rows[r][i + 1].hi for r, i, _w in joins], _whole_characters(raw, span[:, 1]), span[:, 1])
+            cut = np.concatenate([[0], np.cumsum(high - low)])
+            again = []
+            for (r, i, w), a, win in zip(joins, low.tolist(), batch(np.concatenate([raw[a:b] for a, b in zip(low, high)]), cut)):
+                win.starts = win.starts + (a - win.lo)
+                win.lo, win.hi = a, a + win.hi - win.lo
+                got = _spliced(rows[r][i], rows[r][i + 1], win)
+                if got is None:
+                    again.append([r, i, 2 * w])
+                else:
+                    done[r, i] = got
+            joins = again
+        rows = [[done.get((r, i), p[i]) for i in range(0, len(p), 2)] for r, p in enumerate(rows)]
+    ids = [p[0].ids for p in rows]
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
                      with_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if wanted, ``ids``
@@ -125,12 +234,12 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         joined = enc.t.decoder is None  # decoding is then the tokens joined by a blank
         for batch in batches:
             for b in pieces(batch):
-                e = enc.encode(b.column(1))
-                ids, at = np.ascontiguousarray(e.ids, "<u4"), e.row_tokens
+                ids, at = encode_column(enc, b.column(1))
+                ids = np.ascontiguousarray(ids, "<u4")
                 view = memoryview(ids).cast("B")
                 rows = [view[4 * x:4 * y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
                 if joined:
-                    body, edge = enc.decoded(e)
+                    body, edge = enc.decoded(ids, at)
                     text = memoryview(np.ascontiguousarray(body))
                     back = [text[x:max(x, y - 1)] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
                 else:

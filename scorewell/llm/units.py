@@ -214,6 +214,11 @@ class Encoder:
         n = self.t.get_vocab_size(with_added_tokens=True)
         self.token = [(self.t.id_to_token(i) or "").encode() for i in range(n)] if self.t.decoder is None else None
         vocabulary = json.loads(self.t.to_str())["model"]["vocab"]
+        self.spelled = None  # each token with the blank that parts it from the next
+        if self.token is not None:
+            spelled = [x + b" " for x in self.token]
+            self.spelled = _Store(np.uint8)
+            self.spelled.extend(np.frombuffer(b"".join(spelled), np.uint8), np.array([len(x) for x in spelled], np.int64))
         self.lengths = None  # bytes of each token, for a byte-level tokenizer
         if self.core is not None and kind == "spaced":
             self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -224,12 +229,6 @@ class Encoder:
         self.index: dict[bytes, int] = {}
         self.held = 0
         self.ids = _Store(np.uint32)
-        self.text = _Store(np.uint8) if self.kind == "word" else None
-
-    def decode(self, ids: list[int]) -> bytes:
-        if self.token is not None:  # without a decoder, tokens are joined by a blank
-            return b" ".join([self.token[i] for i in ids])
-        return self.t.decode(ids, skip_special_tokens=False).encode()
 
     def _learn(self, units: list[bytes], bulk: bool) -> None:
         """Add units, all of them new."""
@@ -258,10 +257,6 @@ class Encoder:
                 parts.extend(ids)
             flat, sizes = np.frombuffer(parts, np.uint32), np.array([len(x) for x in out], np.int64)
         self.ids.extend(flat, sizes)
-        if self.text is not None:  # each unit's text with the blank that parts it from the next
-            ends, ids = np.cumsum(sizes).tolist(), flat.tolist()
-            back = [self.decode(ids[a:b]) + b" " if b > a else b"" for a, b in zip([0, *ends], ends)]
-            self.text.extend(np.frombuffer(b"".join(back), np.uint8), np.array([len(x) for x in back], np.int64))
         at = len(self.index)
         self.index.update(zip(units, range(at, at + n)))
         self.held += sum(map(len, units))
@@ -316,10 +311,12 @@ class Encoder:
         which = self._known(np.frombuffer(body, np.uint8), np.frombuffer(edge, np.int64, len(coded.dictionary) + 1))[coded.indices.to_numpy()]
         return Encoded(self.ids, which, row_units, starts)
 
-    def decoded(self, e: Encoded) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes, row offsets) of the decoded rows, each with a last blank if not empty."""
-        size = self.text.sizes(e.which)
-        return self.text.gather(e.which, size), np.concatenate([[0], np.cumsum(size)])[e.row_units]
+    def decoded(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, row offsets) of the rows ids[at[i]:at[i + 1]] decoded, each with a last
+        blank if not empty: without a decoder, tokens are joined by a blank."""
+        ids = ids.astype(np.int64)
+        size = self.spelled.sizes(ids)
+        return self.spelled.gather(ids, size), np.concatenate([[0], np.cumsum(size)])[at]
 
 
 def encoder(path: str, kind: str) -> Encoder:

@@ -326,3 +326,21 @@ def test_many_notices_in_one_text(spark):
     t = time.time()
     got = lic.license_scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert len(got.spans) == 400 and got.labels == "mit" and got.score == 1.0 and time.time() - t < 60
+
+
+def test_every_text_is_joined_up_the_tree(monkeypatch):
+    import random
+    rng = random.Random(3)
+    words = ["the", "don't", "café", "Über", "été", "naive,", "x" * 90, "<|endoftext|>", "漢字" * 20, "12345", "\n\n", "a.b.c", " ", "<|"]
+    texts = ["", "one", None] + [" ".join(rng.choices(words, k=n)) for n in (3, 40, 200, 700)] + ["y" * 5000, "漢" * 900, " " * 3000]
+    joined = []
+    spliced = bpe_tree._spliced
+    monkeypatch.setattr(bpe_tree, "_spliced", lambda *a: joined.append(1) or spliced(*a))
+    for path, kind in ((WORD, "word"), (BYTE, "spaced")):
+        enc = units.Encoder(path, kind)
+        for leaf in (64, 300, bpe_tree.LEAF):
+            joined.clear()
+            ids, at = bpe_tree.encode_column(enc, pa.array(texts), leaf=leaf, window=16)
+            assert len(joined) >= sum(max(0, -(-len((x or "").encode()) // leaf) - 1) for x in texts)
+            for x, a, b in zip(texts, at, at[1:]):
+                assert ids[a:b].tolist() == enc.t.encode(x or "", add_special_tokens=False).ids
