@@ -27,8 +27,11 @@ TRIALS_BY_SCORE = {1: 100, 2: 30, 3: 0}
 
 
 def linear_attribution(df: DataFrame, row_id: str, weights: Mapping[str, float],
-                       means: Mapping[str, float]) -> DataFrame:
-    """``phi_j = w_j (x_j - mean_j)`` (closed form for independent features), long form."""
+                       means: Mapping[str, float], prefix: str | None = None) -> DataFrame:
+    """``phi_j = w_j (x_j - mean_j)`` (closed form for independent features), long form;
+    with ``prefix``, as columns ``prefix + feature`` beside those of ``df``."""
+    if prefix is not None:
+        return df.withColumns({prefix + f: F.lit(float(w)) * (F.col(f"`{f}`").cast("double") - F.lit(float(means[f]))) for f, w in weights.items()})
     structs = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("value"),
                         (F.lit(float(w)) * (F.col(f"`{f}`").cast("double") - F.lit(float(means[f])))).alias("phi"))
                for f, w in weights.items()]
@@ -54,6 +57,24 @@ def ensemble_attribution(attrs: Mapping[str, DataFrame], row_id: str, weights: M
     return u.groupBy(row_id, "feature").agg(F.first("value").alias("value"), F.sum("phi").alias("phi"))
 
 
+def ensemble_columns(df: DataFrame, row_id: str, features: Sequence[str], weights: Mapping[str, float]) -> DataFrame:
+    """``ensemble_attribution`` of models whose attributions are columns ``prefix +
+    feature`` of the same rows (``weights`` by prefix): the models are added up in place, and
+    a row is shuffled once, not once per model and feature, to meet others of its id."""
+    tot = float(sum(weights.values()))
+
+    def both(f: str) -> Column:
+        phis = [F.col(f"`{p}{f}`") * (w / tot) for p, w in weights.items()]
+        return F.when(F.coalesce(*phis).isNotNull(), sum((F.coalesce(x, F.lit(0.0)) for x in phis[1:]), F.coalesce(phis[0], F.lit(0.0))))
+
+    few = df.select(row_id, *[F.col(f"`{f}`").cast("double").alias(f"_v{i}") for i, f in enumerate(features)],
+                    *[both(f).alias(f"_p{i}") for i, f in enumerate(features)])
+    n = range(len(features))
+    one = few.groupBy(row_id).agg(*[F.first(f"_v{i}").alias(f"_v{i}") for i in n], *[F.sum(f"_p{i}").alias(f"_p{i}") for i in n])
+    parts = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_v{i}").alias("value"), F.col(f"_p{i}").alias("phi")) for i, f in enumerate(features)])
+    return one.select(row_id, F.explode(parts).alias("a")).select(row_id, "a.feature", "a.value", "a.phi")
+
+
 def mean_abs(attr: DataFrame) -> DataFrame:
     """Mean |phi| per feature."""
     return attr.groupBy("feature").agg(F.avg(F.abs("phi")).alias("importance"))

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BLOCK = 4096
 
@@ -137,13 +138,28 @@ def attribute_block(x: np.ndarray, paths: Sequence[Path]) -> np.ndarray:
     return phi
 
 
-def tree_attribution(df: DataFrame, row_id: str, features: Sequence[str], model) -> DataFrame:
+def tree_attribution(df: DataFrame, row_id: str, features: Sequence[str], model, prefix: str | None = None) -> DataFrame:
     """Rows (``row_id``, feature, value, phi) of a fitted tree model; the phi of a row
     add up to its output minus the model's mean.  ``features`` in the model's order;
-    a null is read as NaN, and goes right at every split."""
+    a null is read as NaN, and goes right at every split.  With ``prefix``, the phi are
+    columns ``prefix + feature`` beside those of ``df``, one row each."""
     features = list(features)
     _constant, paths = leaf_paths(model)
-    src = df.select(F.col(row_id), F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))) for f in features]).alias("x"))
+    x = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))) for f in features])
+    if prefix is not None:
+        wide = df.withColumn("_x", x)
+        at, added = len(df.columns), [prefix + f for f in features]
+        names = df.columns + added
+
+        def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for first in range(0, b.num_rows, BLOCK):
+                    part = b.slice(first, BLOCK)
+                    phi = attribute_block(part.column(at).flatten().to_numpy().reshape(part.num_rows, len(features)), paths)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:at], *(pa.array(np.ascontiguousarray(c)) for c in phi.T)], names=names)
+
+        return wide.mapInArrow(beside, StructType([*df.schema.fields, *(StructField(n, DoubleType()) for n in added)]))
+    src = df.select(F.col(row_id), x.alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

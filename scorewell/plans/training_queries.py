@@ -79,22 +79,22 @@ FIXED_TREE = {"base": 0.0, "cuts": [[], [], []], "trees": [[
 def tree_attribution(spark, sf_dir):
     """Shapley values of a fixed tree for every line, and mean |phi| weights of an ensemble with a linear model."""
     x = _lines(spark, sf_dir)
-    tree = attribute(x, "row_id", LINE_FEATURES, HistogramBoosterModel(json.dumps(FIXED_TREE)))
-    line = E.linear_attribution(x, "row_id", {"l_quantity": 0.02, "l_discount": -3.0, "l_tax": 2.0}, {"l_quantity": 25.0, "l_discount": 0.05, "l_tax": 0.04})
-    both = E.ensemble_attribution({"tree": tree, "line": line}, "row_id", {"tree": 3.0, "line": 1.0})
+    x = attribute(x, "row_id", LINE_FEATURES, HistogramBoosterModel(json.dumps(FIXED_TREE)), prefix="tree_")
+    x = E.linear_attribution(x, "row_id", {"l_quantity": 0.02, "l_discount": -3.0, "l_tax": 2.0}, {"l_quantity": 25.0, "l_discount": 0.05, "l_tax": 0.04}, prefix="line_")
+    both = E.ensemble_columns(x, "row_id", LINE_FEATURES, {"tree_": 3.0, "line_": 1.0})
     return both.select("row_id", "feature", r6("phi").alias("phi"))
 
 
 def adaptive_search(spark, sf_dir):
     """M5: adaptive search of a logistic model's penalty over three folds of the lines."""
-    folds = kfold(_lines(spark, sf_dir), "y", "row_id", k=3)
+    folds = kfold(_lines(spark, sf_dir), "y", "row_id", k=3).select(*LINE_FEATURES, "y", "fold")  # what is cached and fitted
     make = lambda **p: LogisticRegression(featuresCol="features", labelCol="y", maxIter=10, **p)
     return search(folds, LINE_FEATURES, make, {"regParam": (1e-4, 1.0, "log"), "elasticNetParam": (0.0, 1.0)}, trials=8, startup=4, parallel=4)
 
 
 def random_search(spark, sf_dir):
     """M5: seeded random search on the same folds and ranges."""
-    folds = kfold(_lines(spark, sf_dir), "y", "row_id", k=3)
+    folds = kfold(_lines(spark, sf_dir), "y", "row_id", k=3).select(*LINE_FEATURES, "y", "fold")  # what is cached and fitted
     make = lambda **p: LogisticRegression(featuresCol="features", labelCol="y", maxIter=10, **p)
     return MD.random_search(folds, LINE_FEATURES, make, {"regParam": (1e-4, 1.0, "log"), "elasticNetParam": (0.0, 1.0)}, trials=4)
 

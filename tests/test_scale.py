@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -11,10 +12,13 @@ from scorewell.operators import explain as E
 from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import neighbours as N
+from scorewell.operators.booster import HistogramBoosterModel
+from scorewell.operators.trees import tree_attribution
+from scorewell.plans import training_queries as T
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def _counted(spark, df, column: str):
@@ -86,3 +90,22 @@ def test_neighbours_meet_only_boxes_in_reach(spark):
     q = np.unique(x, axis=0)
     row, _col, _d2, bound = N.near(q, np.full(len(q), np.inf), q, 5)
     assert len(row) < 40 * len(q) and np.isfinite(bound).all()
+
+
+def test_ensemble_columns_equal_the_long_form(spark):
+    rows = [("a", 1.0, 0.05, 0.02), ("b", 30.0, None, 0.07), ("b", 40.0, 0.01, 0.01), (None, 26.0, 0.04, None), ("c", None, None, None)]
+    x = spark.createDataFrame(rows, "row_id string, l_quantity double, l_discount double, l_tax double")
+    model, w, m = HistogramBoosterModel(json.dumps(T.FIXED_TREE)), dict.fromkeys(T.LINE_FEATURES, 0.5), dict.fromkeys(T.LINE_FEATURES, 0.1)
+    long = E.ensemble_attribution({"t": tree_attribution(x, "row_id", T.LINE_FEATURES, model), "l": E.linear_attribution(x, "row_id", w, m)}, "row_id", {"t": 3.0, "l": 1.0})
+    wide = E.linear_attribution(tree_attribution(x, "row_id", T.LINE_FEATURES, model, prefix="t_"), "row_id", w, m, prefix="l_")
+    got = E.ensemble_columns(wide, "row_id", T.LINE_FEATURES, {"t_": 3.0, "l_": 1.0})
+    key = lambda d: {(r.row_id, r.feature): None if r.phi is None else round(r.phi, 12) for r in d.collect()}
+    assert key(got) == key(long) and got.count() == 12
+    assert _plan(got).count("Exchange hashpartitioning") == 1 and "Union" not in _plan(got)
+
+
+def test_correlation_counts_pairs_once(spark):
+    df, seen = _counted(spark, spark.range(400).selectExpr("'k' AS k", "id % 20 * 1.0D AS x", "id * 37 % 101 * 1.0D AS y"), "x")
+    out = M.spearman_pearson(df, ["k"], "x", "y")
+    assert _plan(out).count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in _plan(out)
+    assert out.first()["spearman"] is not None and seen.value == 400
