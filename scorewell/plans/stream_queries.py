@@ -84,27 +84,31 @@ def request_windows_stream(spark, sf_dir):
 
 # Fixed values of the fixture: delivery of the run log, in files that arrive one after another.
 ARRIVALS, DELAY_HOURS, TTL_DAYS = 6, 12, 2
+FILE_ROWS = 1_000_000
 
 
-def _late_log(spark, sf_dir) -> str:
-    """Events as a run log of ``ARRIVALS`` files, each row up to ``DELAY_HOURS`` late."""
+def _late_log(spark, sf_dir) -> tuple[str, int]:
+    """Events as a run log of ``ARRIVALS`` deliveries, each row up to ``DELAY_HOURS`` late;
+    the folder and the files of a delivery (about ``FILE_ROWS`` rows each)."""
     ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     late = F.pmod(F.xxhash64("event_id"), F.lit(DELAY_HOURS * 3600 - 60)) * 1_000_000
     ev = ev.withColumn("_come", F.unix_micros("ts") + late)
-    r = ev.agg(F.min("_come").alias("a"), F.max("_come").alias("b")).first()
+    r = ev.agg(F.min("_come").alias("a"), F.max("_come").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    files = max(1, -(-r["n"] // (ARRIVALS * FILE_ROWS)))
     path = shared_path(spark, "scorewell-stream-in", os.urandom(8).hex())
     part = F.least(F.lit(ARRIVALS - 1), F.floor((F.col("_come") - r["a"]) * ARRIVALS / max(1, r["b"] - r["a"])))
     for k in range(ARRIVALS):  # in turn, so the files' times follow the order of arrival
-        ev.where(part == k).drop("_come").coalesce(1).write.mode("append").parquet(path)
-    return path
+        rows = ev.where(part == k).drop("_come")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+    return path, files
 
 
 def completed_runs(spark, sf_dir):
     """A run log from ``events`` (a user is a generation, a purchase completes it) that
     arrives in six micro-batches with late rows: the times at which each becomes
     completed, and the number of rows scored for it."""
-    path = _late_log(spark, sf_dir)
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, files = _late_log(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
     log = stream.withColumn("status", F.when(F.col("event_type") == "purchase", "completed").otherwise("running"))
     out = shared_path(spark, "scorewell-stream-out", os.urandom(8).hex())
     events = table(spark, sf_dir, "events")

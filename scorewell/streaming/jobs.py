@@ -32,6 +32,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -212,68 +213,104 @@ def completions(at: np.ndarray, done: np.ndarray, last_at: int | None, last_done
     return done & ~(before & (gap <= ttl))
 
 
+_HELD = pa.schema([("generation_id", pa.string()), ("ts_us", pa.int64()), ("seq", pa.int64()), ("done", pa.bool_())])
+_LAST = pa.schema([("generation_id", pa.string()), ("ts_us", pa.int64()), ("done", pa.bool_())])
+
+
+def _packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_table(pa.Table.from_pandas(rows, schema, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(parts: list[bytes], schema: pa.Schema) -> pd.DataFrame:
+    return pa.concat_tables([schema.empty_table(), *(pa.ipc.open_stream(p).read_all() for p in parts)]).to_pandas()
+
+
+def _fold(ready: pd.DataFrame, last: pd.DataFrame, ttl: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """(completions, last statuses) of several generations' ``ready`` rows: ``completions``
+    generation by generation, after its last status."""
+    rows = pd.concat([last.assign(seq=-1, old=0), ready.assign(old=1)], ignore_index=True)
+    code = pd.factorize(rows["generation_id"], use_na_sentinel=False)[0]
+    at, done, old = rows["ts_us"].to_numpy(np.int64), rows["done"].to_numpy(bool), rows["old"].to_numpy() == 0
+    by = np.lexsort((done, rows["seq"].to_numpy(np.int64), at, ~old, code))
+    code, at, done, old = code[by], at[by], done[by], old[by]
+    begin = np.diff(code, prepend=-1) != 0
+    # a generation without a last status begins as one whose row before was not completed
+    before = np.roll(done, 1) & ~begin
+    fired = done & ~(before & (at - np.roll(at, 1) <= ttl)) & ~old
+    ends = np.flatnonzero(np.roll(begin, -1))
+    names = rows["generation_id"].to_numpy(object)[by]
+    return (pd.DataFrame({"generation_id": names[fired], "completed_us": at[fired]}),
+            pd.DataFrame({"generation_id": names[ends], "ts_us": at[ends], "done": done[ends]}))
+
+
 class _CompletedRuns(StatefulProcessor):
-    """Rows are held until the watermark passes them, then folded in order of time and
-    ``seq``; the last status is dropped when nothing came for ``ttl``."""
+    """Rows of a group of generations are held until the watermark passes them, then
+    folded per generation in order of time and ``seq``; a last status is dropped when
+    nothing came for ``ttl``.  State is Arrow data, so a batch costs a group a few calls of
+    the store, however many generations and rows it has."""
 
     def __init__(self, ttl_us: int):
         self.ttl = ttl_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "ts_us long, done boolean")
-        self.held = handle.getListState("held", "ts_us long, seq long, done boolean")
+        self.last = handle.getValueState("last", "rows binary")
+        self.held = handle.getListState("held", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues):
         new = pd.concat(list(rows))
-        done = (new["status"] == "completed").to_numpy()
-        self.held.appendList([(int(t), int(q), bool(d)) for t, q, d in zip(new["ts_us"], new["seq"], done)])
+        new = new.assign(done=new["status"] == "completed")
+        self.held.appendValue((_packed(new[_HELD.names], _HELD),))
         self.handle.registerTimer(int(new["ts_us"].min() // 1000 + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs()
-        held = sorted(tuple(r) for r in self.held.get())
-        ready = [r for r in held if r[0] // 1000 < passed]
-        wait = held[len(ready):]
-        old = self.last.get() if self.last.exists() else None
-        at, done = np.array([r[0] for r in ready], np.int64), np.array([r[2] for r in ready], bool)
-        fired = at[completions(at, done, old and old[0], bool(old and old[1]), self.ttl)]
-        if ready:
-            self.last.update((int(at[-1]), bool(done[-1])))
+        held = _unpacked([bytes(r[0]) for r in self.held.get()], _HELD)
+        last = _unpacked([bytes(self.last.get()[0])] if self.last.exists() else [], _LAST)
+        go = held["ts_us"] // 1000 < passed
+        wait = held[~go]
+        fired, last = _fold(held[go], last, self.ttl)
+        if go.any():
             self.held.clear()
-            if wait:
-                self.held.put(wait)
-        newest = int(at[-1]) if ready else old[0] if old else None
-        if wait:
-            self.handle.registerTimer(wait[0][0] // 1000 + 1)
-        elif newest is not None:
-            ends = (newest + self.ttl) // 1000 + 1
-            if ends < passed:
-                self.last.clear()
-            else:
-                self.handle.registerTimer(ends)
+            if len(wait):
+                self.held.appendValue((_packed(wait, _HELD),))
+        ends = (last["ts_us"] + self.ttl) // 1000 + 1
+        last, ends = last[ends >= passed], ends[ends >= passed]
+        if len(last):
+            self.last.update((_packed(last, _LAST),))
+        else:
+            self.last.clear()
+        if len(wait):
+            self.handle.registerTimer(int(wait["ts_us"].min() // 1000 + 1))
+        elif len(last):
+            self.handle.registerTimer(int(ends.min()))
         if len(fired):
-            yield pd.DataFrame({"generation_id": [key[0]] * len(fired), "completed_us": fired})
+            yield fired
 
     def close(self) -> None:
         pass
 
 
 def completed_runs(runs: DataFrame, generation: str, status: str, time_col: str, seq: str, watermark: str = "1 hour",
-                   ttl: dt.timedelta = dt.timedelta(days=30)) -> DataFrame:
+                   ttl: dt.timedelta = dt.timedelta(days=30), groups: int = 1024) -> DataFrame:
     """One row each time a run *becomes* completed (K8 on a stream).
 
     Statuses may come in any order across micro-batches: they are held until the
-    watermark has passed them, and only rows later than the watermark are lost.  State
-    per generation: the rows held and the last status, which is dropped when the
-    generation was silent for ``ttl`` (a later ``completed`` then fires again).  Start
+    watermark has passed them, and only rows later than the watermark are lost.  State,
+    in ``groups`` groups by the generation's hash: the rows held and each last status,
+    which is dropped when the generation was silent for ``ttl`` (a later ``completed``
+    then fires again).  Start
     the query with the RocksDB state store (``score_completed_runs`` does).
     """
     r = runs.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark).select(
         F.col(generation).cast("string").alias("generation_id"), F.col(status).alias("status"),
         F.unix_micros("_at").alias("ts_us"), F.col(seq).cast("long").alias("seq"), "_at")
-    return r.groupBy("generation_id").transformWithStateInPandas(
+    r = r.withColumn("_group", F.pmod(F.xxhash64("generation_id"), F.lit(groups)).cast("int"))
+    return r.groupBy("_group").transformWithStateInPandas(
         statefulProcessor=_CompletedRuns(ttl // dt.timedelta(microseconds=1)), outputStructType="generation_id string, completed_us long",
         outputMode="append", timeMode="EventTime")
 

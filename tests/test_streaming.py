@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from scorewell.streaming import jobs as J
@@ -116,3 +117,25 @@ def test_snapshot_isolates_specs_and_skips_empty_results(spark):
 def test_shared_folder_stays_the_same(spark):
     from scorewell.session import checkpoint_dir
     assert checkpoint_dir(spark) == checkpoint_dir(spark) == J.checkpoint_for(spark, "x", "y").split("/scorewell-streams")[0]
+
+
+def test_generations_of_a_group_fold_alike():
+    rng = np.random.default_rng(8)
+    ready = pd.DataFrame({"generation_id": rng.choice(["a", "b", "c", None, "d"], 300), "ts_us": rng.integers(0, 2000, 300),
+                          "seq": np.arange(300), "done": rng.random(300) < 0.6})
+    last = pd.DataFrame({"generation_id": ["a", None, "z"], "ts_us": [-5, -90, 7], "done": [True, True, False]})
+    none = pd.DataFrame({"generation_id": [], "ts_us": [], "done": []})
+    for old in (last, none):
+        fired, new = J._fold(ready, old, 40)
+        want = set()
+        for g in ("a", "b", "c", "d", None):
+            mine = ready[ready["generation_id"].isna() if g is None else ready["generation_id"] == g].sort_values(["ts_us", "seq"])
+            was = old[old["generation_id"].isna() if g is None else old["generation_id"] == g]
+            at = mine["ts_us"].to_numpy()
+            hit = J.completions(at, mine["done"].to_numpy(), *((int(was["ts_us"].iloc[0]), bool(was["done"].iloc[0])) if len(was) else (None, False)), 40)
+            want |= {(g, int(t)) for t in at[hit]}
+            end = new[new["generation_id"].isna() if g is None else new["generation_id"] == g]
+            assert end["ts_us"].tolist() == [at[-1]] and end["done"].tolist() == [mine["done"].iloc[-1]]
+        assert {(None if pd.isna(g) else g, int(t)) for g, t in fired.itertuples(index=False)} == want
+        assert len(new) == 5 + ("z" in list(old["generation_id"]))
+    assert all(len(x) == 0 for x in J._fold(ready[:0], none, 40))
