@@ -22,9 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,44 +43,50 @@ class SegmentTree:
     """
 
     def __init__(self, text: str, chars: np.ndarray, tokens: np.ndarray):
-        cut = np.arange(0, max(1, len(chars)), BLOCK)
-        self.chars = np.split(chars, cut[1:])
-        self.tokens = np.split(tokens, cut[1:])
-        edge = np.concatenate([[0], np.cumsum([int(c.sum()) for c in self.chars])])
-        self.text = [text[a:b] for a, b in zip(edge[:-1], edge[1:])]
+        cut = range(0, max(1, len(chars)), BLOCK)
+        self.chars = [chars[a:a + BLOCK] for a in cut]
+        self.tokens = [tokens[a:a + BLOCK] for a in cut]
         self.size = 1 << max(0, (len(cut) - 1).bit_length())
-        self.sums = np.zeros((2 * self.size, 2), np.int64)
-        for i, (c, t) in enumerate(zip(self.chars, self.tokens)):
-            self.sums[self.size + i] = c.sum(), t.sum()
-        for i in range(self.size - 1, 0, -1):
-            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+        self.n_chars, self.n_tokens = self._sums(chars, cut), self._sums(tokens, cut)
+        edge = [0, *accumulate(self.n_chars[self.size:self.size + len(cut)])]
+        self.text = [text[a:b] for a, b in zip(edge, edge[1:])]
+
+    def _sums(self, values: np.ndarray, cut: range) -> list[int]:
+        """The sums of all nodes, the root being number 1: lists, as they are read one by one."""
+        level = np.zeros(self.size, np.int64)
+        if len(values):
+            level[:len(cut)] = np.add.reduceat(values, np.array(cut))
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append(levels[-1][::2] + levels[-1][1::2])
+        return [0, *(x for level in reversed(levels) for x in level.tolist())]
 
     def total(self) -> tuple[int, int]:
-        return int(self.sums[1, 0]), int(self.sums[1, 1])
+        return self.n_chars[1], self.n_tokens[1]
 
     def find(self, at: int) -> tuple[int, int]:
         """Block that holds character ``at`` and the characters before it."""
         node, before = 1, 0
         while node < self.size:
             node *= 2
-            if at - before >= self.sums[node, 0] and self.sums[node + 1, 0] > 0:
-                before += int(self.sums[node, 0])
+            if at - before >= self.n_chars[node] and self.n_chars[node + 1] > 0:
+                before += self.n_chars[node]
                 node += 1
         return min(node - self.size, len(self.chars) - 1), before
 
     def refresh(self, block: int) -> None:
         i = self.size + block
-        self.sums[i] = self.chars[block].sum(), self.tokens[block].sum()
-        while i > 1:
+        more = int(self.chars[block].sum()) - self.n_chars[i], int(self.tokens[block].sum()) - self.n_tokens[i]
+        while i:
+            self.n_chars[i] += more[0]
+            self.n_tokens[i] += more[1]
             i //= 2
-            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
 
     def whole(self) -> str:
         return "".join(self.text)
 
-    def replace(self, start: int, n_delete: int, insert: str, count) -> int:
-        """Apply one edit; ``count(text) -> (chars, tokens)`` encodes the region.
-        Returns the characters that were encoded."""
+    def region(self, start: int, n_delete: int, insert: str) -> tuple[str, tuple]:
+        """The text that one edit leaves to be encoded, and what ``replace`` needs with its leaves."""
         length = self.total()[0]
         start = min(max(0, start), length)
         stop = min(start + max(0, n_delete), length)
@@ -110,15 +118,17 @@ class SegmentTree:
         a, b = int(edge[i]), int(edge[j])
         s, e = start - before, stop - before
         region = text[a:s] + insert + text[e:b]
-        new_chars, new_tokens = count(region)
-        self.text[first] = text[:a] + region + text[b:]
-        self.chars[first] = np.concatenate([chars[:i], new_chars, chars[j:]])
-        self.tokens[first] = np.concatenate([tokens[:i], new_tokens, tokens[j:]])
+        return region, (first, last, text[:a] + region + text[b:], chars[:i], chars[j:], tokens[:i], tokens[j:])
+
+    def replace(self, place: tuple, new_chars: np.ndarray, new_tokens: np.ndarray) -> None:
+        """Apply the edit of a ``region`` by the leaves of its text."""
+        first, last, self.text[place[0]], *beside = place
+        self.chars[first] = np.concatenate([beside[0], new_chars, beside[1]])
+        self.tokens[first] = np.concatenate([beside[2], new_tokens, beside[3]])
         for k in range(first + 1, last + 1):
-            self.text[k], self.chars[k], self.tokens[k] = "", chars[:0], tokens[:0]
+            self.text[k], self.chars[k], self.tokens[k] = "", new_chars[:0], new_tokens[:0]
         for k in range(first, last + 1):
             self.refresh(k)
-        return len(region)
 
 
 def _leaves(raw: np.ndarray, e) -> tuple[np.ndarray, np.ndarray]:
@@ -128,6 +138,13 @@ def _leaves(raw: np.ndarray, e) -> tuple[np.ndarray, np.ndarray]:
     return np.add.reduceat((raw & 0xC0) != 0x80, e.starts, dtype=np.int64), e.unit_tokens
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """Each row's numbers of a list column."""
+    edge = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())]).tolist()
+    flat = column.flatten().to_numpy().astype(np.int64)
+    return [flat[a:b] for a, b in zip(edge, edge[1:])]
+
+
 def build_trees(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
                 edits: str | None = None) -> DataFrame:
     """doc_id, text, ``unit_chars`` and ``unit_tokens`` (the leaves), n_tokens;
@@ -163,29 +180,35 @@ def apply_edits(trees: DataFrame, tokenizer_path: str, with_text: bool = False)
         from scorewell.llm.units import encoder
         enc = encoder(tokenizer_path, "spaced")
 
-        def count(region: str):
-            column = pa.array([region])
-            return _leaves(buffers(column)[0], enc.encode(column))
+        def count(regions: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """The leaves of each text; all are encoded as one column."""
+            column = pa.array(regions, pa.large_string())
+            e = enc.encode(column)
+            chars, tokens = _leaves(buffers(column)[0], e)
+            edge = e.row_units.tolist()
+            return ((chars[a:b], tokens[a:b]) for a, b in zip(edge, edge[1:]))
 
         for batch in batches:
             for b in pieces(batch):
+                texts, edits = [t or "" for t in b.column(1).to_pylist()], [x or [] for x in b.column(2).to_pylist()]
+                trees = [SegmentTree(*x) for x in zip(texts, _lists(b.column(3)), _lists(b.column(4)))]
+                before, encoded = [t.total()[1] for t in trees], [0] * len(trees)
+                # the rows' edits go on side by side: the next of each row is located, and all are encoded at once
+                left = [(i, iter([e for e in x if e is not None])) for i, x in enumerate(edits)]
+                while left := [(i, rest, e) for i, rest, e in ((i, rest, next(rest, None)) for i, rest, *_ in left) if e is not None]:
+                    found = [trees[i].region(e["start"] or 0, e["n_delete"] or 0, e["insert"] or "") for i, _rest, e in left]
+                    for (i, *_), (region, place), new in zip(left, found, count([r for r, _place in found])):
+                        trees[i].replace(place, *new)
+                        encoded[i] += len(region)
                 rows = []
-                for text, edits, chars, tokens in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), b.column(4)):
-                    text = text or ""
-                    c, k = chars.values.to_numpy().astype(np.int64), tokens.values.to_numpy().astype(np.int64)
-                    tree = SegmentTree(text, c, k)
-                    before, encoded = tree.total()[1], 0
-                    for e in edits or []:
-                        if e is None:
-                            continue
-                        encoded += tree.replace(e["start"] or 0, e["n_delete"] or 0, e["insert"] or "", count)
-                    new = tree.whole()
-                    if edits and ("<|" in new or "<|" in text):
-                        # a special token may span units: such a text is cut at blanks only, so count it anew
-                        c, k = count(new)
-                        tree, encoded = SegmentTree(new, c, k), encoded + len(new)
+                whole = [t.whole() for t in trees]
+                # a special token may span units: such a text is cut at blanks only, so count it anew
+                anew = [i for i, (text, x, new) in enumerate(zip(texts, edits, whole)) if x and ("<|" in new or "<|" in text)]
+                for i, new in zip(anew, count([whole[i] for i in anew]) if anew else ()):
+                    trees[i], encoded[i] = SegmentTree(whole[i], *new), encoded[i] + len(whole[i])
+                for i, (tree, new) in enumerate(zip(trees, whole)):
                     n_chars, n_tokens = tree.total()
-                    rows.append((before, n_tokens, len(edits or []), n_chars, encoded, sha256(new.encode()).hexdigest())
+                    rows.append((before[i], n_tokens, len(edits[i]), n_chars, encoded[i], sha256(new.encode()).hexdigest())
                                 + ((new, np.concatenate(tree.chars).astype(np.int32), np.concatenate(tree.tokens).astype(np.int32)) if with_text else ()))
                 types = [pa.int64()] * 5 + [pa.string()] + ([pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())] if with_text else [])
                 cols = list(zip(*rows))

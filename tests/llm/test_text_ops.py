@@ -268,6 +268,29 @@ def test_edit_counts_equal_a_full_encoding(spark, rows, none):
     assert edit_counts.apply_edits(edit_counts.build_trees(none, BYTE), BYTE).count() == 0
 
 
+def test_edits_of_rows_are_encoded_together(spark, monkeypatch):
+    """The encoder is called per round of edits, not per edit of every row."""
+    rows = [(i, "some words " * (i % 9), [(3, 2, "ab"), (5, 0, " cd"), (0, 1, None)][:i % 4]) for i in range(200)]
+    df = spark.createDataFrame(rows, f"doc_id bigint, text string, edits {edit_counts.EDITS}").coalesce(1)
+    trees = edit_counts.build_trees(df, BYTE, edits="edits")
+    table, calls = trees.select("doc_id", "text", "edits", "unit_chars", "unit_tokens").toArrow().combine_chunks(), []
+
+    class Local:
+        schema = trees.schema
+        select = lambda self, *_c: self
+        mapInArrow = lambda self, run, _schema: list(run(iter(table.to_batches())))
+
+    real = units.Encoder.encode
+    monkeypatch.setattr(units.Encoder, "encode", lambda self, column: (calls.append(len(column)), real(self, column))[1])
+    got = [r for b in edit_counts.apply_edits(Local(), BYTE) for r in b.to_pylist()]
+    assert len(calls) == 3 and sum(calls) == sum(len(r[2]) for r in rows)
+    for (i, text, edits), r in zip(rows, got):
+        for a, d, new in edits:
+            at = min(a, len(text))
+            text = text[:at] + (new or "") + text[at + d:]
+        assert (r["n_chars"], r["n_tokens"]) == (len(text), len(units.tokenizer(BYTE).encode(text, add_special_tokens=False).ids)), i
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><script>var a = "</p><b>";</script><style>p{}</style></head>
 <body><!-- no --><p class="a>b">One&nbsp;two</p><ul><li><a href='/x'>three</a></li><li><A HREF=y.html>four</A></ul>1 < 2 &lt;b&gt;</body>"""
 
