@@ -12,6 +12,7 @@ from scorewell.operators import explain as E
 from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import neighbours as N
+from scorewell.operators import smote as SM
 from scorewell.operators.booster import HistogramBoosterModel
 from scorewell.operators.trees import tree_attribution
 from scorewell.plans import training_queries as T
@@ -109,3 +110,19 @@ def test_correlation_counts_pairs_once(spark):
     out = M.spearman_pearson(df, ["k"], "x", "y")
     assert _plan(out).count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in _plan(out)
     assert out.first()["spearman"] is not None and seen.value == 400
+
+
+def test_smote_does_not_lay_neighbours_out(spark, monkeypatch):
+    """No written table of the interpolation has a row per neighbour."""
+    df = spark.range(90).selectExpr("id", "cast(id % 7 AS double) AS a", "cast(id * id % 31 AS double) AS b", "cast(id < 30 AS int) AS y")
+    sizes = {}
+
+    def noted(d, name, real=SM.staged):
+        out = real(d, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(SM, "staged", noted)
+    new = SM.smote(df, "y", "id", ["a", "b"]).where("draw is not null")
+    assert sorted(r.draw for r in new.collect()) == list(range(30))
+    assert sizes and max(sizes.values()) == 30
