@@ -13,7 +13,8 @@ from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import neighbours as N
 from scorewell.operators import smote as SM
-from scorewell.operators.booster import HistogramBoosterModel
+from scorewell.operators.booster import HistogramBooster, HistogramBoosterModel, histograms, split_gains
+from scorewell.operators.search import fit_pipeline
 from scorewell.operators.trees import tree_attribution
 from scorewell.plans import training_queries as T
 
@@ -126,3 +127,43 @@ def test_smote_does_not_lay_neighbours_out(spark, monkeypatch):
     new = SM.smote(df, "y", "id", ["a", "b"]).where("draw is not null")
     assert sorted(r.draw for r in new.collect()) == list(range(30))
     assert sizes and max(sizes.values()) == 30
+
+
+def test_booster_level_moves_sums_once(spark):
+    rows = spark.createDataFrame([(float(i % 3 == 0), 1.0, bytearray([i % 4, i % 5])) for i in range(60)], "y double, w double, b binary").repartition(3)
+    gains = split_gains(histograms(rows, [], [{}], [0], 0.0, 2, 8))
+    best = gains.groupBy("node").agg(F.max("gain").alias("g"))
+    got = {(r.feature, r.bin): r.n_left for r in gains.collect()}
+    assert got == {(f, b): float(sum(i % m <= b for i in range(60))) for f, m in ((0, 4), (1, 5)) for b in range(m - 1)}
+    assert len(best.collect()) == 1 and "Exchange hashpartitioning" not in _plan(best)  # dealt by node: one node is one partition
+
+
+def _forms(spark, n=240):
+    return spark.range(n).selectExpr("id", "id % 12 * 1.0D AS a", "id % 5 * 1.0D AS b", "cast(id % 12 > 6 OR id % 5 = 0 AS int) AS y")
+
+
+def test_models_score_rows_once(spark):
+    df = _forms(spark)
+    fitted = {n: fit_pipeline(df, ["a", "b"], e) for n, e in MD.estimators(trees=1).items()}
+    valid, seen = _counted(spark, df, "a")
+    got = MD.evaluate_models(fitted, valid, "vote")
+    assert seen.value == 240 and list(got) == [*fitted, "vote"]
+    for name, m in fitted.items():
+        assert got[name] == MD.evaluate(MD.probability(m.transform(df)), name)
+    plain = HistogramBooster(labelCol="y", maxIter=1).fit(fitted["logistic"].stages[0].transform(df))
+    assert plain.transform(fitted["logistic"].stages[0].transform(df)).columns[-2:] == ["probability", "prediction"]
+
+
+def test_model_that_cannot_score_is_a_row(spark):
+    df = _forms(spark)
+    fitted = {n: fit_pipeline(df, ["a", "b"], e) for n, e in MD.estimators(trees=1).items() if n in ("logistic", "histogram_trees")}
+
+    class Broken:
+        def transform(self, _df):
+            return _df.withColumn("probability", F.raise_error(F.lit("no scores")))
+
+    got = MD.evaluate_models(fitted | {"broken": Broken()}, df, "vote")
+    assert got["broken"]["status"] == "failed" and got["broken"]["roc_auc"] is None
+    assert {n: r["status"] for n, r in got.items() if n != "broken"} == {"logistic": "ok", "histogram_trees": "ok", "vote": "ok"}
+    assert got["vote"] == MD.evaluate_models(fitted, df, "vote")["vote"]
+    assert MD.evaluate_models({"broken": Broken()}, df, "vote")["broken"]["error"] and MD.evaluate_models({}, df, "vote") == {}
