@@ -16,6 +16,7 @@ from scorewell.operators import smote as SM
 from scorewell.operators.booster import HistogramBooster, HistogramBoosterModel, histograms, split_gains
 from scorewell.operators.search import fit_pipeline
 from scorewell.operators.trees import tree_attribution
+from scorewell.plans import scoring_queries as SQ
 from scorewell.plans import training_queries as T
 
 
@@ -167,3 +168,25 @@ def test_model_that_cannot_score_is_a_row(spark):
     assert {n: r["status"] for n, r in got.items() if n != "broken"} == {"logistic": "ok", "histogram_trees": "ok", "vote": "ok"}
     assert got["vote"] == MD.evaluate_models(fitted, df, "vote")["vote"]
     assert MD.evaluate_models({"broken": Broken()}, df, "vote")["broken"]["error"] and MD.evaluate_models({}, df, "vote") == {}
+
+
+def test_train_score_fits_the_whole_family(spark, tmp_path, monkeypatch):
+    flags, first = "RAN", "1-URGENT 2-HIGH 3-MEDIUM 4-NOT 5-LOW".split()
+    spark.createDataFrame([(i, first[i % 5], "FO"[i % 2]) for i in range(60)], "o_orderkey bigint, o_orderpriority string, o_orderstatus string") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i % 60, i // 60, i, i, 1.0 + i * 7 % 50, i % 11 / 100, i % 9 / 100, flags[i % 7 % 3], "FO"[i % 2]) for i in range(240)],
+                          "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, l_tax double, "
+                          "l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    asked = {}
+
+    def noted(_spark, name, est, *_a):
+        asked[name] = est
+        return None, {"model": name, "status": "failed", "error": "not fitted", "roc_auc": None, "pr_auc": None, "f1": None, "recall": None, "precision": None}
+
+    monkeypatch.setattr(MD, "train_evaluate", noted)
+    rows = SQ.train_score(spark, str(tmp_path)).collect()
+    assert len(rows) == 8 and sorted(asked) == sorted(f"{n}+{k}" for n in MD.estimators() for k in ("weight", "smote"))
+    size = {"gradient_trees": ("maxIter", 20), "histogram_trees": ("maxIter", 20), "random_forest": ("numTrees", 40), "logistic": ("maxIter", 50)}
+    for name, est in asked.items():
+        param, n = size[name.split("+")[0]]
+        assert est.getOrDefault(param) == n, name
