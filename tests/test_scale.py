@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import threading
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from scorewell.operators import metrics as M
 from scorewell.operators import models as MD
 from scorewell.operators import neighbours as N
 from scorewell.operators import smote as SM
-from scorewell.operators.booster import HistogramBooster, HistogramBoosterModel, histograms, split_gains
+from scorewell.operators.booster import (HistogramBooster, HistogramBoosterModel, Layout, advanced, best_splits, histograms, packed,
+                                         split_gains)
 from scorewell.operators.search import fit_pipeline
 from scorewell.operators.trees import tree_attribution
 from scorewell.plans import scoring_queries as SQ
@@ -190,3 +192,38 @@ def test_train_score_fits_the_whole_family(spark, tmp_path, monkeypatch):
     for name, est in asked.items():
         param, n = size[name.split("+")[0]]
         assert est.getOrDefault(param) == n, name
+
+
+def test_booster_blocks_hold_margins_and_best_splits(spark):
+    bins, n = [32, 9, 2, 3, 32, 2], 400  # several features are counted together
+    layout = Layout(bins, most=288)
+    assert sorted(f for g in layout.groups for f in g) == list(range(6)) and len(layout.groups) < 6 and max(layout.cells) <= 288
+    draw = np.random.default_rng(3)
+    x = np.column_stack([draw.integers(0, b, n) for b in bins]).astype(np.uint8)
+    y, w = (draw.random(n) < 0.2 + 0.02 * x[:, 0]).astype(float), draw.random(n) + 0.5
+    binned = spark.createDataFrame([(float(a), float(b), bytearray(r.tobytes())) for a, b, r in zip(y, w, x)], "y double, w double, b binary").repartition(3)
+    first = [{"feature": 0, "bin": 11, "left": 1, "right": 2}, {"value": -0.4}, {"feature": 3, "bin": 0, "left": 3, "right": 4}, {"value": 0.1}, {"value": 0.7}]
+    growing = [{"feature": 4, "bin": 15, "left": 1, "right": 2}, {"value": 0.0}, {"value": 0.0}]
+    blocks = advanced(packed(binned, layout, -0.3), first, layout)  # the tree is added once, not at every level after it
+    got = {r["node"]: r for r in best_splits(blocks, growing, [1, 2], layout, 1.0, 1e-3).collect()}
+    want = split_gains(histograms(binned, [first], growing, [1, 2], -0.3, 6, 32)).where("h_left >= 1e-3 AND h_right >= 1e-3").collect()
+    for node in (1, 2):
+        best = max((r for r in want if r["node"] == node), key=lambda r: (r["gain"], -r["feature"], -r["bin"]))
+        assert (got[node]["feature"], got[node]["bin"], got[node]["n_left"]) == (best["feature"], best["bin"], best["n_left"])
+        for c in ("gain", "g_left", "h_right", "g_all"):
+            assert math.isclose(got[node][c], best[c], rel_tol=1e-9, abs_tol=1e-9)
+    one = binned.where(F.col("b") == F.lit(bytearray(x[0].tobytes())))
+    assert best_splits(packed(one, layout, 0.0), [{}], [0], layout, 1.0, 1e-3).collect() == []  # equal rows cannot be split
+
+
+def test_family_is_fitted_side_by_side(spark, monkeypatch):
+    df, all_there = _forms(spark), threading.Barrier(4, timeout=60)
+
+    def fit(_spark, name, *_a):
+        all_there.wait()  # breaks where one fit waits for another to end
+        return None, {"model": name, "status": "failed", "error": "no", "roc_auc": None, "pr_auc": None, "f1": None, "recall": None, "precision": None}
+
+    monkeypatch.setattr(MD, "train_evaluate", fit)
+    monkeypatch.setattr(MD, "smote", lambda train, *_a: train)
+    rows = [r["model"] for r in MD.train_family(df, df, ["a", "b"]).collect()]
+    assert rows == [f"{n}+{k}" for k in ("weight", "smote") for n in MD.estimators()]
